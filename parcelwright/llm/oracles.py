@@ -1,7 +1,5 @@
 """DuckDB SQL for the dealt operators' queries, where SQL can express the whole result."""
 
-WORDS = r"[^\x20\x09-\x0D]+"
-
 OP3 = r"""
 with d as (
   select doc_id, source, coalesce(source, chr(1114111) || chr(1114111)) as sk,
@@ -26,6 +24,23 @@ select doc_id, size::bigint as size, source_size, target,
        (epochs * size + case when before + size / 2 <= budget then size else 0 end)::bigint as taken from r
 """
 
+_FOLDED = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP7 = f"""
+with b as (select cast(item_id as varchar) as item, {_FOLDED} as w from benchmark),
+b2 as (select item, w, least(len(w), 10) as k from b where len(w) > 0),
+bw as (select distinct item, k, list_slice(w, i, i + k - 1) as g from (select item, w, k, unnest(generate_series(1, len(w) - k + 1)) as i from b2)),
+d as (select row_number() over () as r, doc_id, {_FOLDED} as w from documents),
+dw as (select r, k, i, list_slice(w, i, i + k - 1) as g
+       from (select r, w, k, unnest(generate_series(1, len(w) - k + 1)) as i from d, (select distinct k from bw) where len(w) >= k)),
+h as (select r, item, i, dw.k from dw join bw on dw.g = bw.g and dw.k = bw.k),
+p as (select r, count(distinct pos)::bigint as n_hit from (select r, unnest(generate_series(i, i + k - 1)) as pos from h) group by r),
+n as (select r, count(distinct item)::bigint as n_items, string_agg(distinct item, ',' order by item) as items from h group by r)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+       sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join p using (r) left join n using (r)
+"""
+
 OP8 = r"""
 with a as (select page_id, case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) else '' end as rest from pages),
 b as (select page_id, regexp_extract(rest, '^[^?#]*') as bare from a),
@@ -41,4 +56,4 @@ from f
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_source_mix": OP3, "op8_url_filter": OP8}
+    return {"op3_source_mix": OP3, "op7_decontaminate": OP7, "op8_url_filter": OP8}
