@@ -52,7 +52,7 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     spans = F.array_distinct(F.flatten(F.array(*(_chunks(F.col("hashes"), F.col("counts"), k) for k in range(FAMILIES)))))
     spread = base.select("doc_id", "th", "hashes", F.explode(spans).alias("c"))
     chunks = spread.select("doc_id", "th", "c.start", "c.n", F.xxhash64(F.slice("hashes", F.col("c.start") + 1, F.col("c.n")), "c.n").alias("chunk"))
-    twice = chunks.groupBy("chunk").agg(F.count("*").alias("k")).where("k > 1").select("chunk")
+    twice = store.written(chunks.groupBy("chunk").agg(F.count("*").alias("k")).where("k > 1").select("chunk"), "twice")
     again = store.written(chunks.join(twice, "chunk"), "chunks")
 
     held = again.groupBy("doc_id", "th").agg(F.collect_set(F.struct("start", "n", "chunk")).alias("spans"))
@@ -60,7 +60,7 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     cut = texts.join(held, F.col("_d").eqNullSafe(F.col("doc_id")) & (F.col("_t") == F.col("th"))).select(F.split("text", "\n", -1).alias("lines"), F.explode("spans").alias("c"))
     strings = cut.groupBy(F.col("c.chunk").alias("chunk"), F.array_join(F.slice("lines", F.col("c.start") + 1, F.col("c.n")), "\n").alias("bytes")).agg(F.lit(1).alias("one"))
     proven = strings.groupBy("chunk").agg(F.sum("one").alias("k")).where("k = 1").select("chunk")
-    first = again.groupBy("chunk").agg(F.min(_key()).alias("first")).join(proven, "chunk")
+    first = store.written(again.groupBy("chunk").agg(F.min(_key()).alias("first")).join(proven, "chunk"), "first")
     return again.join(first, "chunk").where(_key() != F.col("first")).select("doc_id", "th", "start", "n")
 
 

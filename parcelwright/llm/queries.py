@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from parcelwright.llm import chat, decontaminate, licenses, lines, mixing, quality, urls
+from parcelwright.llm import chat, decontaminate, licenses, lines, mixing, near, quality, urls
 
 #: The conversation that is added to the given ones.
 EXTRA_TURNS = (
@@ -33,6 +33,10 @@ def op4_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_windows(turns))
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_duplicates(table(spark, sf_dir, "documents")).drop("th")
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_report(table(spark, sf_dir, "documents"))
 
@@ -52,4 +56,4 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_license_scan, op3_source_mix, op4_chat_windows, op6_line_dedup, op7_decontaminate, op8_url_filter, op9_quality_rules)}
+    return {f.__name__: f for f in (op1_license_scan, op3_source_mix, op4_chat_windows, op5_near_duplicates, op6_line_dedup, op7_decontaminate, op8_url_filter, op9_quality_rules)}
