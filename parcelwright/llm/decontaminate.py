@@ -97,13 +97,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 10, spans:
     rows of documents without a hit come through unchanged.
     """
     bad = contamination(docs, benchmark, width).where("contaminated")
-    key = [docs["doc_id"].eqNullSafe(F.col("_d")), F.xxhash64(docs["text"]) == F.col("th")]
-    marks = bad.select(F.col("doc_id").alias("_d"), "th", "hits").dropDuplicates(["_d", "th"])
+    marks = bad.select(F.col("doc_id").alias("_hit_doc"), F.col("th").alias("_hit_text"), F.col("hits").alias("_hits")).dropDuplicates(["_hit_doc", "_hit_text"])
+    key = [docs["doc_id"].eqNullSafe(F.col("_hit_doc")), F.xxhash64(docs["text"]) == F.col("_hit_text")]
     if not spans:
         return docs.join(marks, key, "left_anti")
     got = docs.join(marks, key, "left")
     pieces = F.regexp_extract_all("text", F.lit(f"[{RAW_GAP}]*[^{RAW_GAP}]+"), F.lit(0))
     tail = F.regexp_extract("text", rf"([{RAW_GAP}]*)\z", 1)
-    inside = lambda i: F.exists("hits", lambda h: (i >= h["start"]) & (i < h["start"] + h["width"]))
+    inside = lambda i: F.exists("_hits", lambda h: (i >= h["start"]) & (i < h["start"] + h["width"]))
     cut = F.concat(F.array_join(F.transform(pieces, lambda p, i: F.when(inside(i), F.when(inside(i + 1), "").otherwise(" ")).otherwise(p)), ""), tail)
-    return got.select(*(F.when(F.col("hits").isNotNull(), cut).otherwise(F.col("text")).alias("text") if c == "text" else docs[c] for c in docs.columns))
+    return got.select(*(F.when(F.col("_hits").isNotNull(), cut).otherwise(F.col("text")).alias("text") if c == "text" else docs[c] for c in docs.columns))

@@ -81,6 +81,16 @@ def line_report(docs: DataFrame) -> DataFrame:
     return met.select("doc_id", F.size("counts").cast("long").alias("n_lines"), total("counts").alias("n_words"), F.size(taken).cast("long").alias("n_removed"), total(taken).alias("removed_words"))
 
 
+def _cleaned(docs: DataFrame) -> DataFrame:
+    """docs as the struct _row, with the new text and the array of lines taken out."""
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"))
+    met = whole.join(_gone(docs), F.col("_row.doc_id").eqNullSafe(F.col("_d")) & (F.xxhash64("_row.text") == F.col("_t")), "left")
+    lines = F.split("_row.text", "\n", -1)
+    left = F.when(F.col("_gone").isNull(), F.col("_row.text")).otherwise(F.array_join(F.filter(lines, lambda x, i: ~_lost(i)), "\n"))
+    taken = F.when(F.col("_gone").isNull(), F.array().cast("array<string>")).otherwise(F.filter(lines, lambda x, i: _lost(i)))
+    return met.select("_row", left.alias("_text"), taken.alias("_taken"))
+
+
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """docs with the lines of repeated chunks taken from their texts; adds n_lines, n_removed and removed_words.
 
@@ -90,14 +100,16 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     Rows of one doc_id and text are one document: they keep or lose the same lines. Null doc_ids are
     one document each by text. Long texts are arrays of lines in one row, never gathered from others.
     """
-    keep = docs.drop("n_lines", "n_removed", "removed_words")
-    met = keep.join(_gone(docs), keep["doc_id"].eqNullSafe(F.col("_d")) & (F.xxhash64(keep["text"]) == F.col("_t")), "left")
-    lines = F.split("text", "\n", -1)
-    left = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(F.filter(lines, lambda x, i: ~_lost(i)), "\n"))
-    taken = F.when(F.col("_gone").isNull(), F.array().cast("array<string>")).otherwise(F.filter(lines, lambda x, i: _lost(i)))
-    return met.select(
-        *(left.alias("text") if c == "text" else F.col(f"`{c}`") for c in keep.columns),
-        F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1)).cast("long").alias("n_lines"),
-        F.size(taken).cast("long").alias("n_removed"),
-        F.aggregate(taken, F.lit(0), lambda a, x: a + _words(x)).cast("long").alias("removed_words"),
-    )
+    added = {
+        "n_lines": F.size(F.split(F.coalesce("_row.text", F.lit("")), "\n", -1)).cast("long"),
+        "n_removed": F.size("_taken").cast("long"),
+        "removed_words": F.aggregate("_taken", F.lit(0), lambda a, x: a + _words(x)).cast("long"),
+    }
+    kept = [F.col("_text").alias("text") if c == "text" else F.col(f"_row.`{c}`") for c in docs.columns if c not in added]
+    return _cleaned(docs).select(*kept, *(x.alias(k) for k, x in added.items()))
+
+
+def keep_first_lines(docs: DataFrame) -> DataFrame:
+    """dedup_lines with the columns of docs only, and without documents that lost all their words."""
+    kept = _cleaned(docs).where((F.size("_taken") == 0) | (_words(F.col("_text")) > 0))
+    return kept.select(*(F.col("_text").alias("text") if c == "text" else F.col(f"_row.`{c}`") for c in docs.columns))

@@ -54,8 +54,10 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most:
     return shared.select("source_key", "source_size", F.when(F.col("capped"), cap.cast("double")).otherwise(share).alias("target"))
 
 
-def mix(docs: DataFrame, seed: str = "mix", weights: tuple[int, ...] = (1, 2, 3), most: int = 3, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """What the mix takes of each document: doc_id, source, size, source_size, target, epochs, taken.
+def mix(docs: DataFrame, seed: str = "mix", weights: tuple[int, ...] = (1, 2, 3), most: int = 3, bucket_rows: int = BUCKET_ROWS, whole: bool = False) -> DataFrame:
+    """What the mix takes of each document: doc_id, source, size, source_size, target, epochs, drawn, taken.
+
+    With whole, all columns of docs go along; of these, ones that are named like the new ones are replaced.
 
     Every document of a source is taken for each complete epoch that fits its target. The rest of the
     target goes to documents in the order of their exponential keys: those before the running sum of
@@ -68,15 +70,19 @@ def mix(docs: DataFrame, seed: str = "mix", weights: tuple[int, ...] = (1, 2, 3)
     The draw depends on seed and doc_id only, so reruns agree.
     """
     text = F.col("text")
-    rows = docs.select("doc_id", "source", F.coalesce("source", F.lit(NO_SOURCE)).alias("source_key"), words_in(text).alias("size"), exponential_key(F.col("doc_id"), quality_weight(text), seed).alias("key"))
-    sizes = rows.groupBy("source_key").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
+    row = F.struct(*(F.col(f"`{c}`") for c in (docs.columns if whole else ["doc_id", "source"]))).alias("_row")
+    rows = docs.select(row, "doc_id", F.coalesce("source", F.lit(NO_SOURCE)).alias("source_key"), words_in(text).alias("size"), exponential_key(F.col("doc_id"), quality_weight(text), seed).alias("key"))
+    sizes = rows.drop("_row").groupBy("source_key").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
     targets = source_targets(sizes.select("source_key", "source_size"), weights, most)
     plan = sizes.drop("source_size").join(targets, "source_key").withColumn("epochs", F.floor(F.col("target") / F.greatest(F.col("source_size"), F.lit(1))).cast("long"))
     plan = plan.withColumn("budget", F.col("target") - F.col("epochs") * F.col("source_size")).withColumn("buckets", F.ceil(F.col("n_docs") / bucket_rows))
     dealt = rows.join(plan, "source_key").withColumn("bucket", F.floor((1 - F.exp(-F.col("key"))) * F.col("buckets")).cast("long"))
-    sums = dealt.groupBy("source_key", "bucket").agg(F.sum("size").alias("in_bucket"))
+    sums = dealt.drop("_row").groupBy("source_key", "bucket").agg(F.sum("size").alias("in_bucket"))
     offsets = sums.select("source_key", "bucket", (F.sum("in_bucket").over(W.partitionBy("source_key").orderBy("bucket")) - F.col("in_bucket")).alias("offset"))
     inside = W.partitionBy("source_key", "bucket").orderBy("key", "doc_id", "size").rowsBetween(W.unboundedPreceding, W.currentRow)
     placed = dealt.join(offsets, ["source_key", "bucket"]).withColumn("before", F.col("offset") + F.sum("size").over(inside) - F.col("size"))
     drawn = F.col("before") + F.col("size") / 2 <= F.col("budget")
-    return placed.select("doc_id", "source", "size", "source_size", "target", "epochs", (F.col("epochs") * F.col("size") + F.when(drawn, F.col("size")).otherwise(0)).alias("taken"), drawn.alias("drawn"))
+    taken = F.col("epochs") * F.col("size") + F.when(drawn, F.col("size")).otherwise(0)
+    new = {"size": F.col("size"), "source_size": F.col("source_size"), "target": F.col("target"), "epochs": F.col("epochs"), "drawn": drawn, "taken": taken}
+    old = [F.col(f"_row.`{c}`") for c in (docs.columns if whole else ["doc_id", "source"]) if c not in new]
+    return placed.select(*old, *(x.alias(k) for k, x in new.items()))

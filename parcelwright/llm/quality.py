@@ -229,6 +229,24 @@ def fit(docs: DataFrame, labels: DataFrame, max_labels: int = 20_000, label: str
     return boost(x[order], y[order], np.array([s for _, s in FEATURES]))
 
 
+def passes(x: dict[str, np.ndarray], trees: Trees, threshold: float, min_words: int, max_repeat_percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Base failures, probabilities and verdicts of texts with these statistics."""
+    failed = (x["n_words"] < min_words) | (100 * x["n_repeat_words"] > max_repeat_percent * x["n_words"])
+    p = trees.probability(matrix(x))
+    return failed, p, ~failed & (p >= threshold)
+
+
+def keep_good(docs: DataFrame, trees: Trees, threshold: float = 0.5, min_words: int = 50, max_repeat_percent: int = 50) -> DataFrame:
+    """The rows of docs that `score` would keep, with the columns of docs as they are."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in tb.slices(whole):
+                yield batch.filter(pa.array(passes(statistics(batch.column("text")), trees, threshold, min_words, max_repeat_percent)[2]))
+
+    return docs.mapInArrow(rows, docs.schema)
+
+
 def score(docs: DataFrame, trees: Trees, threshold: float = 0.5, min_words: int = 50, max_repeat_percent: int = 50) -> DataFrame:
     """docs with word and repetition counts, the trees' probability of good quality, and the verdict.
 
@@ -244,9 +262,8 @@ def score(docs: DataFrame, trees: Trees, threshold: float = 0.5, min_words: int
         for whole in batches:
             for batch in tb.slices(whole):
                 x = statistics(batch.column("text"))
-                failed = (x["n_words"] < min_words) | (100 * x["n_repeat_words"] > max_repeat_percent * x["n_words"])
-                p = trees.probability(matrix(x))
-                more = [*(pa.array(np.asarray(x[n], np.int64)) for n in COUNTS), pa.array(failed), pa.array(p), pa.array(~failed & (p >= threshold))]
+                verdict = passes(x, trees, threshold, min_words, max_repeat_percent)
+                more = [*(pa.array(np.asarray(x[n], np.int64)) for n in COUNTS), *map(pa.array, verdict)]
                 yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, *added])
 
     return keep.mapInArrow(rows, schema)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from parcelwright.llm import chat, decontaminate, licenses, lines, mixing, near, quality, urls
+from parcelwright.llm import chat, decontaminate, licenses, lines, mixing, near, ngrams, quality, toxicity, urls
 
 #: The conversation that is added to the given ones.
 EXTRA_TURNS = (
@@ -23,6 +23,10 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngrams.lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -55,5 +59,10 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs.select("doc_id", "text"), trees).drop("text")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_license_scan, op3_source_mix, op4_chat_windows, op5_near_duplicates, op6_line_dedup, op7_decontaminate, op8_url_filter, op9_quality_rules)}
+    return {f.__name__: f for f in (op1_license_scan, op2_lm_score, op3_source_mix, op4_chat_windows, op5_near_duplicates, op6_line_dedup, op7_decontaminate, op8_url_filter, op9_quality_rules, op10_toxicity)}
