@@ -1,12 +1,52 @@
-"""A corpus from raw documents: five stages, each written as Parquet and read again."""
+"""A corpus from raw documents: five stages, each written as Parquet and read again.
+
+Stages take (spark, docs, sf_dir); all but the last return the columns of docs. The first keeps documents of good
+quality, the second takes out repeated passages of lines, the third leaves one document of each group of
+near-duplicates, the fourth drops documents with passages of the benchmark, and the last draws the mix.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES = []
+from parcelwright.llm import decontaminate, lines, mixing, near, quality, store
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.keep_good(docs, quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return lines.keep_first_lines(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return near.keep_one(docs)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the mix takes, with the words it takes of each (repeats counted)."""
+    return mixing.mix(docs, whole=True).where("taken > 0").drop("epochs", "drawn")
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("source_mix", source_mix),
+]
+
+#: Trees and sketches have no SQL twin; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = store.written(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
