@@ -1,0 +1,3 @@
+"""Queries over the given tables, a module for each group of operators."""
+
+from parcelwright.plans import matching, profiling, publishing, scalar, scanning, shaping, validating  # noqa: F401
