@@ -49,7 +49,7 @@ def exact_decimal(c: Column, kind: str) -> Column:
     wide = F.length(F.regexp_extract(trimmed, r"\.([0-9]+)\z", 1)) > scale
     code = F.when(c.isNull(), None).when(~matches(trimmed, grammar), "bad_grammar").when(value.isNull() | wide, "unsupported_width")
     if low is not None:
-        code = code.when((value < F.lit(str(low)).cast("decimal(38,0)")) | (value > F.lit(str(high)).cast("decimal(38,0)")), "out_of_range")
+        code = code.when((value < F.lit(str(low)).cast(f"decimal({precision},{scale})")) | (value > F.lit(str(high)).cast(f"decimal({precision},{scale})")), "out_of_range")
     return F.struct(F.when(code.isNull(), value).alias("value"), code.alias("code"))
 
 

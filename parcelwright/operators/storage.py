@@ -16,7 +16,7 @@ def content_keys(df: DataFrame, content: Column, locator: Column) -> DataFrame:
 
 
 def content_inventory(spark: SparkSession, path: str) -> DataFrame:
-    """content_keys of the files under path; each file is hashed in the task that reads it."""
+    """content_keys of the files under path; each file is hashed in the task that reads it. The file source skips empty files."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     return content_keys(files, F.col("content"), F.col("path"))
 
