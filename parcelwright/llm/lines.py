@@ -16,23 +16,55 @@ CHUNK_WORDS = 12
 PASSAGE_WORDS = 50
 
 
+#: A span is kept as one long: start times this, plus the number of lines.
+_SPAN = 1 << 31
+
+
 def _words(line: Column) -> Column:
     return F.regexp_count(line, F.lit(r"[^ \t-\r]+"))
 
 
-def _chunks(hashes: Column, counts: Column, family: int) -> Column:
-    """Array of (start, n, family key) of one family's chunks with enough words; start from 0.
+def _blanks(line: Column) -> Column:
+    """Blanks and tabs of a line and one more: its words, where they stand apart by one each."""
+    return F.length(line) - F.length(F.replace(F.replace(line, F.lit(" "), F.lit("")), F.lit("\t"), F.lit(""))) + 1
+
 
-    The hash of line hashes rolls over two lines, so a boundary depends on nothing else. A line of
-    PASSAGE_WORDS ends a chunk, and the one before it does, so it is a chunk by itself in every family.
+def _ends(family: int) -> Column:
+    """Last lines of one family's chunks, counted from 0.
+
+    The hash of line hashes rolls over two lines, so a boundary depends on nothing else; families read
+    other bits of it. A line of PASSAGE_WORDS ends a chunk, and so does the one before it, so it is a chunk
+    by itself in every family.
     """
-    n = F.size(hashes)
-    long_line = lambda i: F.coalesce(F.get(counts, i), F.lit(0)) >= PASSAGE_WORDS
-    rolled = lambda i: F.pmod(F.xxhash64(F.get(hashes, i - 1), F.get(hashes, i), F.lit(family)), F.lit(SPACING))
-    ends = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == n - 1) | long_line(i) | long_line(i + 1) | (rolled(i) == 0))
-    spans = F.transform(ends, lambda e, k: F.struct((F.coalesce(F.get(ends, k - 1), F.lit(-1)) + 1).alias("start"), (e - F.coalesce(F.get(ends, k - 1), F.lit(-1))).alias("n")))
-    weight = lambda s: F.aggregate(F.slice(counts, s["start"] + 1, s["n"]), F.lit(0), lambda a, c: a + c)
-    return F.filter(spans, lambda s: F.when(s["n"] > 1, weight(s) >= CHUNK_WORDS).otherwise(weight(s) >= PASSAGE_WORDS))
+    rolled = lambda i: F.pmod(F.shiftright(F.get("rolled", i), 8 * family), F.lit(SPACING))
+    long_line = lambda i: F.get("counts", i) >= PASSAGE_WORDS
+    last = F.size("counts") - 1
+    return F.filter(F.sequence(F.lit(0), last), lambda i: (i == last) | (rolled(i) == 0) | long_line(i) | F.coalesce(long_line(i + 1), F.lit(False)))
+
+
+def _spans(ends: str) -> Column:
+    before = F.concat(F.array(F.lit(-1)), F.slice(ends, F.lit(1), F.size(ends) - 1))
+    return F.zip_with(ends, before, lambda e, p: (p + 1).cast("long") * _SPAN + (e - p))
+
+
+def _heavy(span: Column) -> Column:
+    """Whether a span has the words to count: CHUNK_WORDS over several lines, or PASSAGE_WORDS in one."""
+    start, n = F.shiftright(span, 31).cast("int"), span.bitwiseAND(_SPAN - 1).cast("int")
+    weight = F.aggregate(F.slice("counts", start + 1, n), F.lit(0), lambda a, c: a + c)
+    return F.when(n > 1, weight >= CHUNK_WORDS).otherwise(weight >= PASSAGE_WORDS)
+
+
+def chunks(docs: DataFrame) -> DataFrame:
+    """(doc_id, th, start, n, chunk): every chunk of every family that counts, with the hash of its line hashes; one scan."""
+    lines = docs.select("doc_id", F.xxhash64("text").alias("th"), F.split(F.coalesce("text", F.lit("")), "\n", -1).alias("lines"))
+    base = lines.select("doc_id", "th", F.transform("lines", lambda x: F.xxhash64(x)).alias("hashes"), F.transform("lines", _blanks).alias("counts"))
+    before = F.concat(F.array(F.lit(0).cast("long")), F.slice("hashes", F.lit(1), F.size("hashes") - 1))
+    rolled = base.withColumn("rolled", F.zip_with("hashes", before, lambda h, p: F.xxhash64(p, h)))
+    ended = rolled.select("doc_id", "th", "hashes", "counts", *(_ends(k).alias(f"e{k}") for k in range(FAMILIES)))
+    spans = F.filter(F.array_distinct(F.concat(*(_spans(f"e{k}") for k in range(FAMILIES)))), _heavy)
+    spread = ended.select("doc_id", "th", "hashes", F.explode(spans).alias("span"))
+    placed = spread.select("doc_id", "th", "hashes", F.shiftright("span", 31).cast("int").alias("start"), F.col("span").bitwiseAND(_SPAN - 1).cast("int").alias("n"))
+    return placed.select("doc_id", "th", "start", "n", F.xxhash64(F.slice("hashes", F.col("start") + 1, F.col("n")), "n").alias("chunk"))
 
 
 def _key(doc_id: str = "doc_id", th: str = "th") -> Column:
@@ -47,13 +79,9 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     one row for each task. Bytes are cut out for the hashes found more than once and grouped: a
     hash that stands for two different byte strings is no repeat, and its chunks stay.
     """
-    base = docs.select("doc_id", F.xxhash64("text").alias("th"), F.split(F.coalesce("text", F.lit("")), "\n", -1).alias("lines"))
-    base = base.select("doc_id", "th", F.transform("lines", lambda x: F.xxhash64(x)).alias("hashes"), F.transform("lines", _words).alias("counts"))
-    spans = F.array_distinct(F.flatten(F.array(*(_chunks(F.col("hashes"), F.col("counts"), k) for k in range(FAMILIES)))))
-    spread = base.select("doc_id", "th", "hashes", F.explode(spans).alias("c"))
-    chunks = spread.select("doc_id", "th", "c.start", "c.n", F.xxhash64(F.slice("hashes", F.col("c.start") + 1, F.col("c.n")), "c.n").alias("chunk"))
-    twice = store.written(chunks.groupBy("chunk").agg(F.count("*").alias("k")).where("k > 1").select("chunk"), "twice")
-    again = store.written(chunks.join(twice, "chunk"), "chunks")
+    found = store.written(chunks(docs), "chunks")
+    twice = store.written(found.groupBy("chunk").agg(F.count("*").alias("k")).where("k > 1").select("chunk"), "twice")
+    again = store.written(found.join(twice, "chunk"), "again")
 
     held = again.groupBy("doc_id", "th").agg(F.collect_set(F.struct("start", "n", "chunk")).alias("spans"))
     texts = docs.select(F.col("doc_id").alias("_d"), F.xxhash64("text").alias("_t"), "text")
