@@ -20,7 +20,7 @@ AMOUNTS = {
     "percent": (r"[0-9]{1,3}(\.[0-9]{1,6})?", 9, 6, 0, 100),
 }
 CONTROLS = r"[\x00-\x1f\x7f-\x9f]"
-KEPT_HEADERS = ("content-type", "content-length", "etag", "last-modified", "content-disposition")
+KEPT_HEADERS = ("content-length", "content-type", "etag", "last-modified", "accept-ranges")
 
 
 def ascii_trim(c: Column) -> Column:
@@ -62,12 +62,12 @@ def decode_numeric(buffer: Column, precision: Column, scale: int) -> Column:
     digits = F.length(whole.cast("string"))
     code = (
         F.when(buffer.isNull(), None)
-        .when(F.length(buffer) != 17, "bad_width")
-        .when(~sign.isin("00", "01"), "bad_sign")
-        .when((precision < 1) | (precision > 28), "bad_precision")
-        .when(F.lit(scale) > precision, "bad_scale")
+        .when(F.length(buffer) != 17, "invalid_numeric_buffer")
+        .when(~sign.isin("00", "01"), "invalid_numeric_sign")
+        .when((precision < 1) | (precision > 28), "invalid_numeric_precision")
+        .when(F.lit(scale) > precision, "invalid_numeric_scale")
         .when((sign == "01") & (whole == 0) & (part(0) == 0), "negative_zero")
-        .when((part(0) != 0) | (digits > precision), "overflow")
+        .when((part(0) != 0) | (digits > precision), "numeric_precision_overflow")
     )
     unscaled = F.when(sign == "01", -whole).otherwise(whole)
     value = F.try_divide(unscaled, F.lit(10**scale).cast(f"decimal({scale + 1},0)")).cast(f"decimal(38,{scale})") if scale else unscaled
@@ -98,9 +98,13 @@ def ascii_fold(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 
 
-def layout_fingerprint(headers: Column) -> Column:
-    """SHA-256 of the canonical JSON of a set of header names."""
-    return F.sha2(F.concat(F.lit('{"headers":'), F.to_json(F.array_sort(F.array_distinct(headers))), F.lit("}")).cast("binary"), 256)
+def layout_fingerprint(headers: Column, version: int | None = None) -> Column:
+    """SHA-256 of the canonical JSON of a set of header names, and of the parser's contract version if given.
+
+    Canonical: sorted keys and names, no blanks, characters beyond ASCII as they are.
+    """
+    tail = f',"parser_contract_version":{version}}}' if version is not None else "}"
+    return F.sha2(F.concat(F.lit('{"headers":'), F.to_json(F.array_sort(F.array_distinct(headers))), F.lit(tail)).cast("binary"), 256)
 
 
 def sanitize_url(c: Column) -> Column:
@@ -112,7 +116,7 @@ def sanitize_url(c: Column) -> Column:
 def sanitize_headers(headers: Column, most: int = 512) -> Column:
     """The allowed header names in lower case, values without control characters and at most `most` long."""
     kept = F.map_filter(F.transform_keys(headers, lambda k, v: ascii_fold(k)), lambda k, v: k.isin(*KEPT_HEADERS))
-    return F.transform_values(kept, lambda k, v: F.left(F.regexp_replace(v, CONTROLS, ""), F.lit(most)))
+    return F.transform_values(kept, lambda k, v: F.left(F.btrim(F.regexp_replace(v, CONTROLS, ""), F.lit(NAME_BLANKS)), F.lit(most)))
 
 
 def media_type(c: Column) -> Column:

@@ -20,11 +20,11 @@ def header_diagnostics(headers: DataFrame, required: list[str]) -> DataFrame:
     duplicate = named.where("n > 1").select("member", F.lit("duplicate_header").alias("code"), "name")
     folded = named.withColumn("_f", t.ascii_fold(F.col("_t")))
     several = folded.groupBy("member", "_f").agg(F.count("*").alias("k")).where("k > 1")
-    collide = folded.join(several, ["member", "_f"], "left_semi").select("member", F.lit("header_collision").alias("code"), "name")
+    collide = folded.join(several, ["member", "_f"], "left_semi").select("member", F.lit("header_name_collision").alias("code"), "name")
     spark = headers.sparkSession
     wanted = spark.createDataFrame([(r,) for r in required], "name string")
     missing = headers.select("member").distinct().crossJoin(F.broadcast(wanted)).join(named, ["member", "name"], "left_anti").select("member", F.lit("missing_required_header").alias("code"), "name")
-    extra = named.join(F.broadcast(wanted), "name", "left_anti").select("member", F.lit("extra_header").alias("code"), "name")
+    extra = named.join(F.broadcast(wanted), "name", "left_anti").select("member", F.lit("extra_columns_present").alias("code"), "name")
     return reduce(DataFrame.unionByName, (blank, duplicate, collide, missing, extra))
 
 
@@ -35,8 +35,8 @@ def descriptor_diagnostics(observed: DataFrame, contract: DataFrame, attributes:
     """
     o, c = observed.alias("o"), contract.alias("c")
     both = o.join(c, (F.col("o.table") == F.col("c.table")) & (F.col("o.column") == F.col("c.column")), "full_outer")
-    differs = [F.when(~F.col(f"o.{a}").eqNullSafe(F.col(f"c.{a}")), f"{a}_mismatch") for a in attributes]
-    codes = F.when(F.col("o.column").isNull(), F.array(F.lit("missing_column"))).when(F.col("c.column").isNull(), F.array(F.lit("extra_column"))).otherwise(F.array_compact(F.array(*differs)))
+    differs = [F.when(~F.col(f"o.{a}").eqNullSafe(F.col(f"c.{a}")), f"incompatible_{a}") for a in attributes]
+    codes = F.when(F.col("o.column").isNull(), F.array(F.lit("missing_required_column"))).when(F.col("c.column").isNull(), F.array(F.lit("extra_columns_present"))).otherwise(F.array_compact(F.array(*differs)))
     return both.select(F.coalesce("o.table", "c.table").alias("table"), F.coalesce("o.column", "c.column").alias("column"), F.explode(codes).alias("code"))
 
 
@@ -50,11 +50,11 @@ def layout_gate(members: DataFrame, pinned: DataFrame) -> DataFrame:
 def width_diagnostics(lines: DataFrame, width: int) -> DataFrame:
     """(member, physical_row_number, code): rows whose width is not the first row's; the first row if it is short itself.
 
-    A member with a control character gets control_character diagnostics alone: its widths mean nothing.
+    A member with a control character gets invalid_source_text diagnostics alone: its widths mean nothing.
     """
     measured = lines.select("member", "physical_row_number", F.length("value").alias("w"), t.has_control(F.col("value")).alias("bad"))
     by = measured.groupBy("member").agg(F.min_by("w", "physical_row_number").alias("w1"), F.bool_or("bad").alias("any_bad"))
-    code = F.when(F.col("any_bad"), F.when(F.col("bad"), "control_character")).when(F.col("w") != F.col("w1"), "record_width_mismatch").when((F.col("physical_row_number") == 1) & (F.col("w") < width), "record_too_short")
+    code = F.when(F.col("any_bad"), F.when(F.col("bad"), "invalid_source_text")).when(F.col("w") != F.col("w1"), "record_width_mismatch").when((F.col("physical_row_number") == 1) & (F.col("w") < width), "record_width_mismatch")
     return measured.join(by, "member").select("member", "physical_row_number", code.alias("code")).where("code is not null")
 
 
@@ -97,7 +97,7 @@ def account_group_profile(rows: DataFrame, key: list[str], facts: list[str], own
 def child_orphans(children: DataFrame, parents: DataFrame, key: list[str], core: Column) -> DataFrame:
     """children with `code`: null where the parent is there, blocking for core tables, a warning for others. No row is lost."""
     known = parents.select(*key).distinct().withColumn("_known", F.lit(True))
-    code = F.when(F.col("_known").isNull(), F.when(core, "orphan_child").otherwise("orphan_child_warning"))
+    code = F.when(F.col("_known").isNull(), F.when(core, "core_child_orphaned").otherwise("legal_child_orphaned"))
     return children.join(known, key, "left").withColumn("code", code).drop("_known")
 
 
@@ -140,15 +140,15 @@ def archive_audit(members: DataFrame, suffixes: list[str], most_bytes: int, most
     codes = F.array_compact(
         F.array(
             F.when(F.col("name").rlike(r"(\A|/)\.\.(/|\z)|\A/|\\|\A[A-Za-z]:"), "path_traversal"),
-            F.when(~suffix.isin(*suffixes), "media_suffix"),
-            F.when(F.col("declared") > most_bytes, "member_size"),
-            F.when((F.col("compressed") > 0) & (ratio > most_ratio), "member_ratio"),
-            F.when((F.col("compressed") == 0) & (F.col("declared") > 0), "member_ratio"),
+            F.when(~suffix.isin(*suffixes), "unsupported_media_type"),
+            F.when(F.col("declared") > most_bytes, "member_too_large"),
+            F.when((F.col("compressed") > 0) & (ratio > most_ratio), "compression_ratio_too_high"),
+            F.when((F.col("compressed") == 0) & (F.col("declared") > 0), "compression_ratio_too_high"),
         )
     )
     rows = members.select("archive", "name", F.explode(codes).alias("code"))
     sums = members.groupBy("archive").agg(F.count("*").alias("n"), F.sum("declared").alias("d"), F.sum("compressed").alias("c"))
-    whole = F.array_compact(F.array(F.when(F.col("n") > most_members, "member_count"), F.when(F.col("d") > most_total, "total_size"), F.when(F.col("d") > F.col("c") * most_ratio, "aggregate_ratio")))
+    whole = F.array_compact(F.array(F.when(F.col("n") > most_members, "too_many_members"), F.when(F.col("d") > most_total, "expansion_too_large"), F.when(F.col("d") > F.col("c") * most_ratio, "compression_ratio_too_high")))
     return rows.unionByName(sums.select("archive", F.lit(None).cast("string").alias("name"), F.explode(whole).alias("code")))
 
 

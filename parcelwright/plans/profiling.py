@@ -11,7 +11,7 @@ from parcelwright.sources import views
 from parcelwright.sources.views import accounts, counties, members, observations, owner_rows, table
 
 A, O, M, V = views.ACCOUNTS_SQL, views.OWNER_ROWS_SQL, views.MEMBERS_SQL, views.OBSERVATIONS_SQL
-_DIAGS = "list_filter([case when o_orderkey % 97 = 0 then 'bad_account' end, case when tax_year not between 1996 and 2000 then 'bad_year' end, case when value > 400000 then 'out_of_range' end], lambda x: x is not null)"
+_DIAGS = "list_filter([case when o_orderkey % 97 = 0 then 'invalid_account_id' end, case when tax_year not between 1996 and 2000 then 'invalid_tax_year' end, case when value > 400000 then 'out_of_range' end], lambda x: x is not null)"
 
 
 def rolls(spark, sf_dir):

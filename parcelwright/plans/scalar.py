@@ -69,7 +69,7 @@ def exact_decimal_parse(spark, sf_dir):
 
 @query(
     "decode_numeric_wrapper",
-    "select o_orderkey, case when o_orderkey % 5 = 1 then -1 else 1 end * (o_orderkey * 4294967296.0 + o_custkey) / 100 as amount, cast(null as varchar) as code from orders where o_orderkey % 10 <> 9 and not (o_orderkey % 5 = 1 and o_orderkey = 0) union all select o_orderkey, null, 'overflow' from orders where o_orderkey % 10 = 9",
+    "select o_orderkey, case when o_orderkey % 5 = 1 then -1 else 1 end * (o_orderkey * 4294967296.0 + o_custkey) / 100 as amount, cast(null as varchar) as code from orders where o_orderkey % 10 <> 9 and not (o_orderkey % 5 = 1 and o_orderkey = 0) union all select o_orderkey, null, 'numeric_precision_overflow' from orders where o_orderkey % 10 = 9",
 )
 def decode_numeric_wrapper(spark, sf_dir):
     """Buffers with the key in the third word and the customer in the fourth; every tenth has its first word set."""
@@ -118,11 +118,11 @@ def normalize_header(spark, sf_dir):
 @query(
     "layout_fingerprint",
     """with h as (select o_custkey as layout, list_sort(list_distinct(list(o_orderpriority))) as names from orders group by 1)
-    select layout, len(names) as n_names, sha256('{"headers":' || '["' || array_to_string(names, '","') || '"]' || '}') as fingerprint from h""",
+    select layout, len(names) as n_names, sha256('{"headers":' || '["' || array_to_string(names, '","') || '"]' || ',"parser_contract_version":1}') as fingerprint from h""",
 )
 def layout_fingerprint(spark, sf_dir):
     h = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("layout")).agg(F.collect_set("o_orderpriority").alias("names"))
-    return h.select("layout", F.size("names").cast("long").alias("n_names"), t.layout_fingerprint(F.col("names")).alias("fingerprint"))
+    return h.select("layout", F.size("names").cast("long").alias("n_names"), t.layout_fingerprint(F.col("names"), 1).alias("fingerprint"))
 
 
 @query(

@@ -19,9 +19,9 @@ _HEADERS_SQL = """h as (select o_custkey % 50 as member, o_orderkey as position,
     f"""with {_HEADERS_SQL}, n as (select member, name, count(*) as n from h where trim(name) <> '' group by all), r(name) as (values ('1-URGENT'), ('5-LOW'), ('9-NONE')), m as (select distinct member from h)
     select member, 'blank_header' as code, name from h where trim(name) = ''
     union all select member, 'duplicate_header', name from n where n > 1
-    union all select n.member, 'header_collision', n.name from n where (select count(*) from n k where k.member = n.member and lower(k.name) = lower(n.name)) > 1
+    union all select n.member, 'header_name_collision', n.name from n where (select count(*) from n k where k.member = n.member and lower(k.name) = lower(n.name)) > 1
     union all select m.member, 'missing_required_header', r.name from m cross join r where not exists (select 1 from n where n.member = m.member and n.name = r.name)
-    union all select member, 'extra_header', name from n where name not in (select name from r)""",
+    union all select member, 'extra_columns_present', name from n where name not in (select name from r)""",
 )
 def header_contract(spark, sf_dir):
     o = table(spark, sf_dir, "orders").where("o_orderkey % 7 = o_custkey % 7")
@@ -33,8 +33,8 @@ def header_contract(spark, sf_dir):
     "column_descriptor_contract",
     """with o as (select cast(p_size as varchar) as "table", p_brand as "column", max(length(p_name)) as width, min(p_type) as kind from part group by all), c as (select cast(p_size as varchar) as "table", p_brand as "column", min(10) as width, max(p_type) as kind from part where p_partkey % 3 > 0 group by all),
     j as (select coalesce(o."table", c."table") as t, coalesce(o."column", c."column") as k, o."column" as ok, c."column" as ck, o.width as ow, c.width as cw, o.kind as okind, c.kind as ckind from o full join c on o."table" = c."table" and o."column" = c."column")
-    select t as "table", k as "column", 'missing_column' as code from j where ok is null union all select t, k, 'extra_column' from j where ck is null
-    union all select t, k, 'width_mismatch' from j where ok is not null and ck is not null and ow is distinct from cw union all select t, k, 'kind_mismatch' from j where ok is not null and ck is not null and okind is distinct from ckind""",
+    select t as "table", k as "column", 'missing_required_column' as code from j where ok is null union all select t, k, 'extra_columns_present' from j where ck is null
+    union all select t, k, 'incompatible_width' from j where ok is not null and ck is not null and ow is distinct from cw union all select t, k, 'incompatible_kind' from j where ok is not null and ck is not null and okind is distinct from ckind""",
 )
 def column_descriptor_contract(spark, sf_dir):
     p = table(spark, sf_dir, "part").select(F.col("p_size").cast("string").alias("table"), F.col("p_brand").alias("column"), "p_name", "p_type", "p_partkey")
@@ -54,7 +54,7 @@ def layout_gate(spark, sf_dir):
     "record_width",
     """with l as (select o_custkey as member, row_number() over (partition by o_custkey order by o_orderkey) as rn, length(case when o_orderkey % 101 = 0 then 'short' else lpad(cast(o_orderkey as varchar), 17, '0') end) as w, o_orderkey % 499 = 0 as bad from orders),
     b as (select member, min_by(w, rn) as w1, bool_or(bad) as any_bad from l group by 1),
-    d as (select l.member, rn, case when any_bad then case when bad then 'control_character' end when w <> w1 then 'record_width_mismatch' when rn = 1 and w < 17 then 'record_too_short' end as code from l join b using (member))
+    d as (select l.member, rn, case when any_bad then case when bad then 'invalid_source_text' end when w <> w1 then 'record_width_mismatch' when rn = 1 and w < 17 then 'record_width_mismatch' end as code from l join b using (member))
     select member, rn as physical_row_number, code from d where code is not null""",
 )
 def record_width(spark, sf_dir):
@@ -73,14 +73,14 @@ def row_width(spark, sf_dir):
 
 
 _RULES_SQL = f"""with {A} select o_orderkey, len(list_filter([case when o_orderkey % 97 = 0 then 1 end, case when tax_year not between 1996 and 2000 then 2 end, case when value > 400000 then 3 end], lambda x: x is not null)) as n,
-    array_to_string(list_filter([case when o_orderkey % 97 = 0 then 'bad_account' end, case when tax_year not between 1996 and 2000 then 'bad_year' end, case when value > 400000 then 'out_of_range' end], lambda x: x is not null), ',') as codes from accounts"""
+    array_to_string(list_filter([case when o_orderkey % 97 = 0 then 'invalid_account_id' end, case when tax_year not between 1996 and 2000 then 'invalid_tax_year' end, case when value > 400000 then 'out_of_range' end], lambda x: x is not null), ',') as codes from accounts"""
 
 
 def _rules():
     """Rules of the account rows; every 97th account is spoilt by the caller."""
     from parcelwright.functions import text as t
 
-    return [("bad_account", "account_id", ~t.matches(F.col("account_id"), t.ACCOUNTS["digits17"])), ("bad_year", "tax_year", ~F.col("tax_year").between(1996, 2000)), ("out_of_range", "value", F.col("value") > 400000)]
+    return [("invalid_account_id", "account_id", ~t.matches(F.col("account_id"), t.ACCOUNTS["digits17"])), ("invalid_tax_year", "tax_year", ~F.col("tax_year").between(1996, 2000)), ("out_of_range", "value", F.col("value") > 400000)]
 
 
 def judged(spark, sf_dir):
@@ -104,7 +104,7 @@ def duplicate_key_first_wins(spark, sf_dir):
 
 @query(
     "fail_fast_first_error",
-    f"""with {A}, d as (select county, tax_year, o_orderkey as rn, unnest(list_filter([case when o_orderkey % 97 = 0 then 'bad_account' end, case when tax_year not between 1996 and 2000 then 'bad_year' end, case when value > 400000 then 'out_of_range' end], lambda x: x is not null)) as code from accounts)
+    f"""with {A}, d as (select county, tax_year, o_orderkey as rn, unnest(list_filter([case when o_orderkey % 97 = 0 then 'invalid_account_id' end, case when tax_year not between 1996 and 2000 then 'invalid_tax_year' end, case when value > 400000 then 'out_of_range' end], lambda x: x is not null)) as code from accounts)
     select county, tax_year, rn as physical_row_number, code from d qualify rn = min(rn) over (partition by county, tax_year)""",
 )
 def fail_fast_first_error(spark, sf_dir):
@@ -141,7 +141,7 @@ def children(spark, sf_dir):
     return validate.child_orphans(c, parents, ["prop_id"], F.col("child_table") != "lawsuit")
 
 
-@query("child_orphans", f"with {_CHILD_SQL} select prop_id, l_linenumber, l_partkey, child_table, case when not exists (select 1 from p where p.prop_id = c.prop_id) then case when child_table = 'lawsuit' then 'orphan_child_warning' else 'orphan_child' end end as code from c")
+@query("child_orphans", f"with {_CHILD_SQL} select prop_id, l_linenumber, l_partkey, child_table, case when not exists (select 1 from p where p.prop_id = c.prop_id) then case when child_table = 'lawsuit' then 'legal_child_orphaned' else 'core_child_orphaned' end end as code from c")
 def child_orphans(spark, sf_dir):
     return children(spark, sf_dir)
 
@@ -197,8 +197,8 @@ def redirect_chain_check(spark, sf_dir):
 @query(
     "archive_member_audit",
     f"""with {M}, s as (select archive, count(*) as n, sum(declared) as d, sum(compressed) as c from members group by 1)
-    select archive, name, 'media_suffix' as code from members where name like 'es/%' union all select archive, name, 'member_size' from members where declared > 5000
-    union all select archive, name, 'member_ratio' from members where declared / compressed > 4 union all select archive, null, 'member_count' from s where n > 48 union all select archive, null, 'total_size' from s where d > 120000 union all select archive, null, 'aggregate_ratio' from s where d > c * 4.0""",
+    select archive, name, 'unsupported_media_type' as code from members where name like 'es/%' union all select archive, name, 'member_too_large' from members where declared > 5000
+    union all select archive, name, 'compression_ratio_too_high' from members where declared / compressed > 4 union all select archive, null, 'too_many_members' from s where n > 48 union all select archive, null, 'expansion_too_large' from s where d > 120000 union all select archive, null, 'compression_ratio_too_high' from s where d > c * 4.0""",
 )
 def archive_member_audit(spark, sf_dir):
     m = members(spark, sf_dir).withColumn("name", F.when(F.col("lang") == "es", F.col("name")).otherwise(F.col("name")))

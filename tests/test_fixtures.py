@@ -96,7 +96,7 @@ def test_number_buffers(spark, buffer, precision, scale, want):
 
 @pytest.mark.parametrize(
     "buffer, precision, code",
-    [("00", 4, "bad_width"), ("02" + "00" * 16, 4, "bad_sign"), ("00" * 17, 29, "bad_precision"), ("01" + "00" * 16, 4, "negative_zero"), ("0001000000" + "00" * 12, 28, "overflow"), ("00" * 13 + "10270000", 4, "overflow")],
+    [("00", 4, "invalid_numeric_buffer"), ("02" + "00" * 16, 4, "invalid_numeric_sign"), ("00" * 17, 29, "invalid_numeric_precision"), ("01" + "00" * 16, 4, "negative_zero"), ("0001000000" + "00" * 12, 28, "numeric_precision_overflow"), ("00" * 13 + "10270000", 4, "numeric_precision_overflow")],
 )
 def test_bad_number_buffers(spark, buffer, precision, code):
     df = spark.createDataFrame([(bytes.fromhex(buffer),)], "b binary")
