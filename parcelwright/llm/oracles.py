@@ -24,6 +24,18 @@ select doc_id, size::bigint as size, source_size, target,
        (epochs * size + case when before + size / 2 <= budget then size else 0 end)::bigint as taken from r
 """
 
+OP5 = r"""
+with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ \t\n\x0B\f\r]+') as w from documents),
+s as (select doc_id, unnest(case when len(w) >= 5 then list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(list_slice(w, i, i + 4), ' '))) when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as g from w),
+n as (select doc_id, count(*) as n from s group by 1),
+p as (select a.doc_id as x, b.doc_id as y, count(*) as shared from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by all),
+l as (select x, y from p join n i on x = i.doc_id join n j on y = j.doc_id where 100 * shared >= 85 * (i.n + j.n - shared)),
+e as (select x, y from l union select y, x from l),
+r(doc_id, other) as (select doc_id, doc_id from documents union select r.doc_id, e.y from r join e on r.other = e.x),
+c as (select doc_id, min(other) as m from r group by 1)
+select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, c.m as component_id, d.doc_id = c.m as kept from documents d left join n using (doc_id) join c using (doc_id)
+"""
+
 _FOLDED = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 OP7 = f"""
@@ -56,4 +68,4 @@ from f
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_source_mix": OP3, "op7_decontaminate": OP7, "op8_url_filter": OP8}
+    return {"op3_source_mix": OP3, "op5_near_duplicates": OP5, "op7_decontaminate": OP7, "op8_url_filter": OP8}

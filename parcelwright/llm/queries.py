@@ -38,7 +38,7 @@ def op4_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near.near_duplicates(table(spark, sf_dir, "documents")).drop("th")
+    return near.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
