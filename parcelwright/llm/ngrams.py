@@ -71,9 +71,10 @@ class EliasFano:
         self.high = (np.flatnonzero(bits) - np.arange(self.n)).astype(np.uint64)
 
     def access(self, i: np.ndarray) -> np.ndarray:
-        low = np.zeros((len(i), 8), np.uint8)
-        low[:, : self.low.shape[1]] = self.low[i]
-        return low.view("<u8").ravel() + (self.high[i] << np.uint64(8 * self.low.shape[1])) + self.first
+        out = self.high[i]
+        for k in range(self.low.shape[1] - 1, -1, -1):
+            out = (out << np.uint64(8)) | self.low[i, k]
+        return out + self.first
 
     def decode(self) -> np.ndarray:
         return self.access(np.arange(self.n))
@@ -181,7 +182,7 @@ def packed_blocks(docs: DataFrame, blocks: int) -> DataFrame:
         for whole in batches:
             for batch in tb.slices(whole):
                 raw, at = tb.column_bytes(batch.column("text"))
-                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("block", "doc_id", "held_out")), pa.array([zlib.compress(raw[lo:hi].tobytes(), 1) for lo, hi in zip(at, at[1:])], pa.binary())], names=["block", "doc_id", "held_out", "packed"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("block", "doc_id", "held_out")), pa.array([zlib.compress(raw[lo:hi].tobytes(), 6) for lo, hi in zip(at, at[1:])], pa.binary())], names=["block", "doc_id", "held_out", "packed"])
 
     block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block")
     held = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(FOLDS)) == 0, F.lit(False)).alias("held_out")
@@ -227,96 +228,109 @@ def _total(blocks: int):
     return rows
 
 
-def block_model(block: Block, counts: list[np.ndarray], n: int, v: int, concentration: dict[int, float]) -> tuple[Trie, np.ndarray, float]:
-    """The trie of the seen n-grams that occur in a block; also its word places, and log10 p of an unseen word.
+class Grams:
+    """The distinct n-grams of a block, order by order.
+
+    For order k: `back` maps a token to the n-gram that it ends and `ends` the other way, `counts` has counts over the corpus, `word` the last word
+    and `context` the distinct (k - 1)-gram before it: -1 where that would be start tokens alone, except for
+    order 2, where the start token is the word behind all others.
+    """
+
+    def __init__(self, block: Block, counts_of):
+        self.back, self.ends, self.counts, self.word, self.context = [], [], [], [], []
+        for k in range(1, counts_of.order + 1):
+            keys, at, back = np.unique(block.keys(k), return_index=True, return_inverse=True)
+            self.back.append(back)
+            self.ends.append(at)
+            self.counts.append(counts_of(k, len(keys)))
+            self.word.append(self.back[0][at])
+            if k > 1:
+                begins = block.place[at] == 0
+                before = self.back[k - 2][np.maximum(at - 1, 0)]
+                self.context.append(np.where(begins, len(self.counts[0]) if k == 2 else -1, before))
+        ends = self.back[0][block.first[1:] - 1]
+        self.starts = int(self.counts[0][ends[0]]) if len(ends) else 0  # the end token is counted once a training document
+
+
+def block_model(grams: Grams, n: int, v: int, concentration: dict[int, float]) -> tuple[Trie, float]:
+    """The trie of the seen n-grams of a block, and log10 p of an unseen word.
 
     p(w) = (c + 0.1) / (N + 0.1 (V + 1)); with a context h and its shorter h', p(w | h) =
     (c(hw) + m p(w | h')) / (c(h) + m), so every context's probabilities sum to one, unseen words
     included. A context's weight of backing off is m / (c(h) + m).
     """
-    words, word = np.unique(np.append(block.tokens, _START), return_inverse=True)
-    start, word = word[-1], word[:-1]
-    p = (counts[0] + 0.1) / (n + 0.1 * (v + 1))
+    order = len(grams.counts)
+    m = [concentration.get(k, 30.0) for k in range(order + 2)]
     unseen = float(np.log10(0.1 / (n + 0.1 * (v + 1))))
-    train_docs = counts[0][block.first[1:] - 1][:1]  # the end token is counted once for each training document
-    c_start = int(train_docs[0]) if len(train_docs) else 0
-    prior = [np.where(block.place >= k, np.concatenate([np.full(k, start), word[: max(len(word) - k, 0)]])[: len(word)], start) for k in range(1, len(counts))]
-    # level 1: all words of the block that were seen, and the start token, so that it can be a context
-    c_word = np.zeros(len(words), np.int64)
-    c_word[word] = counts[0]
-    c_word[start] = c_start
-    m = [concentration.get(k, 30.0) for k in range(1, len(counts) + 2)]
-    log1 = np.full(len(words), unseen)
-    log1[word] = np.log10(p)
-    weight1 = np.log10(m[1] / (c_word + m[1])) if len(counts) > 1 else np.zeros(len(words))
-    seen = np.flatnonzero((c_word > 0) | (np.arange(len(words)) == start))
-    levels = [(np.zeros(len(seen), np.int64), seen, log1[seen], weight1[seen])]
-    place = np.full(len(words), -1)
-    place[seen] = np.arange(len(seen))
-    # a token's context of k - 1 words as a place in level k - 1, its count, and p given the shorter context
-    lower = p
-    for k in range(2, len(counts) + 1):
-        here, c_here = place[prior[k - 2]], c_word[prior[k - 2]]
-        for j in range(k - 3, -1, -1):
-            here, c_here = _step(levels, k - 2 - j, here, prior[j], len(words), node_counts)
-        known = here >= 0
-        p_k = np.where(known, (counts[k - 1] + m[k - 1] * lower) / (c_here + m[k - 1]), lower)
-        seen = np.flatnonzero(known & (counts[k - 1] > 0))
-        code, one = np.unique(here[seen] * len(words) + word[seen], return_index=True)
-        one = seen[one]
-        c_node = counts[k - 1][one]
-        # a context that begins with the start token alone, repeated, is counted as the documents are
-        weight = np.log10(m[k] / (c_node + m[k])) if k < len(counts) else np.zeros(len(one))
-        levels.append((code // len(words), code % len(words), np.log10(p_k[one]), weight))
-        node_counts = {**(node_counts if k > 2 else {}), k: c_node}
-        lower = p_k
-    return Trie(len(words), levels), (word, prior), unseen
-
-
-def _step(levels, k, here, words, n_words, node_counts):
-    parent, word, _, _ = levels[k]
-    code = parent * n_words + word
-    want = here * n_words + words
-    at = np.minimum(np.searchsorted(code, want), max(len(code) - 1, 0))
-    hit = (here >= 0) & (code[at] == want) if len(code) else np.zeros(len(here), bool)
-    return np.where(hit, at, -1), np.where(hit, node_counts[k + 1][at] if len(code) else 0, 0)
-
-
-def score_tokens(trie: Trie, word: np.ndarray, prior: list[np.ndarray], unseen: float, order: int) -> np.ndarray:
-    """log10 p of each token given up to order - 1 tokens before it, by walking its contexts through the trie."""
-    none = np.zeros(len(word), np.int64)
-    at = trie.find(0, none, word)
-    best = np.where(at >= 0, trie.log_p(0, np.maximum(at, 0)) if len(trie.levels[0][2]) else unseen, unseen)
+    # the start token is a word behind all others: only ever a context
+    count = np.append(grams.counts[0], grams.starts)
+    p = (count + 0.1) / (n + 0.1 * (v + 1))
+    parent, word = np.zeros(len(count), np.int64), np.arange(len(count))
+    keep = np.append(grams.counts[0] > 0, True)
+    levels, n_words = [], len(count)
+    for k in range(1, order + 1):
+        if k > 1:
+            context, word, count = grams.context[k - 2], grams.word[k - 1], grams.counts[k - 1]
+            at = np.maximum(context, 0)
+            parent = np.where(context >= 0, place[at], -1)
+            shorter = p[word] if k == 2 else p[grams.back[k - 2][grams.ends[k - 1]]]
+            known = parent >= 0
+            p = np.where(known, (count + m[k] * shorter) / (before[at] + m[k]), shorter)
+            keep = known & (count > 0)
+        chosen = np.flatnonzero(keep)
+        chosen = chosen[np.lexsort((word[chosen], parent[chosen]))]
+        weight = np.log10(m[k + 1] / (count[chosen] + m[k + 1])) if k < order else np.zeros(len(chosen))
+        levels.append((parent[chosen], word[chosen], np.log10(p[chosen]), weight))
+        place = np.full(len(count), -1)
+        place[chosen] = np.arange(len(chosen))
+        before = count
+    return Trie(n_words, levels), unseen
+
+
+def score_grams(trie: Trie, grams: Grams, unseen: float) -> np.ndarray:
+    """log10 p of each token given the tokens before it: every distinct n-gram is looked up once, from its context's node."""
+    order = len(grams.counts)
+    words = np.arange(len(grams.counts[0]) + 1)
+    at = trie.find(0, np.zeros(len(words), np.int64), words)
+    best = np.where(at >= 0, trie.log_p(0, np.maximum(at, 0)), unseen)
     for k in range(2, order + 1):
-        context = trie.find(0, none, prior[k - 2])
-        for j in range(k - 3, -1, -1):
-            context = trie.find(k - 2 - j, context, prior[j])
-        at = trie.find(k - 1, context, word)
-        weight = np.where(context >= 0, trie.weight(k - 2, np.maximum(context, 0)), 0.0) if len(trie.levels[k - 2][3]) else np.zeros(len(word))
-        hit = trie.log_p(k - 1, np.maximum(at, 0)) if len(trie.levels[k - 1][2]) else best
-        best = np.where(at >= 0, hit, best + weight)
-    return best
+        context, word = grams.context[k - 2], grams.word[k - 1]
+        parent = np.where(context >= 0, at[np.maximum(context, 0)], -1)
+        shorter = best[word] if k == 2 else best[grams.back[k - 2][grams.ends[k - 1]]]
+        weight = np.where(parent >= 0, trie.weight(k - 2, np.maximum(parent, 0)), 0.0)
+        at = trie.find(k - 1, parent, word)
+        seen = trie.log_p(k - 1, np.maximum(at, 0)) if len(trie.levels[k - 1][2]) else shorter
+        best = np.where(at >= 0, seen, shorter + weight)
+    return best[grams.back[order - 1]]
+
+
+class _Answers:
+    """Counts of a block's distinct n-grams, order by order, from the shards' replies."""
+
+    def __init__(self, replies: pa.Table, order: int):
+        self.replies = replies.sort_by([("n", "ascending"), ("shard", "ascending")])
+        self.which, self.order = self.replies.column("n").to_numpy(), order
+
+    def __call__(self, k: int, n: int) -> np.ndarray:
+        parts = self.replies.column("counts").filter(pa.array(self.which == k))
+        got = [np.frombuffer(zlib.decompress(x.as_py()), "<u4") for x in parts]
+        return np.concatenate(got).astype(np.int64) if got else np.zeros(n, np.int64)
 
 
 def _scored(order: int, concentration: dict[int, float]):
     def rows(table: pa.Table, replies: pa.Table) -> pa.Table:
         block = Block(table)
-        replies = replies.sort_by([("n", "ascending"), ("shard", "ascending")])
-        which = replies.column("n").to_numpy()
         n, v = (int(replies.column(c).to_numpy().sum()) for c in ("tokens", "types"))
-        counts = []
-        for k in range(1, order + 1):
-            _, back = np.unique(block.keys(k), return_inverse=True)
-            parts = replies.column("counts").filter(pa.array(which == k))
-            counts.append(np.concatenate([np.zeros(0, "<u4"), *(np.frombuffer(zlib.decompress(x.as_py()), "<u4") for x in parts)])[back].astype(np.int64))
-        base = np.log10((counts[0] + 0.1) / (n + 0.1 * (v + 1)))
-        trie, (word, prior), unseen = block_model(block, counts, n, v, concentration)
-        score = score_tokens(trie, word, prior, unseen, order)
+        grams = Grams(block, _Answers(replies, order))
+        trie, unseen = block_model(grams, n, v, concentration)
+        score = score_grams(trie, grams, unseen)
+        counts = grams.counts[0][grams.back[0]]
+        base = np.log10((counts + 0.1) / (n + 0.1 * (v + 1)))
         columns = {
             "doc_id": table.column("doc_id"),
             "held_out": table.column("held_out"),
             "n_tokens": pa.array(block.counts, pa.int64()),
-            "n_known": pa.array(tb.per_doc((counts[0] > 0).astype(np.int64), block.first)),
+            "n_known": pa.array(tb.per_doc((counts > 0).astype(np.int64), block.first)),
             "train_tokens": pa.array([n] * table.num_rows, pa.int64()),
             "base_score": pa.array(tb.per_doc(base, block.first)),
             "score": pa.array(tb.per_doc(score, block.first)),
