@@ -182,7 +182,7 @@ def packed_blocks(docs: DataFrame, blocks: int) -> DataFrame:
         for whole in batches:
             for batch in tb.slices(whole):
                 raw, at = tb.column_bytes(batch.column("text"))
-                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("block", "doc_id", "held_out")), pa.array([zlib.compress(raw[lo:hi].tobytes(), 6) for lo, hi in zip(at, at[1:])], pa.binary())], names=["block", "doc_id", "held_out", "packed"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("block", "doc_id", "held_out")), pa.array([zlib.compress(raw[lo:hi].tobytes(), 4) for lo, hi in zip(at, at[1:])], pa.binary())], names=["block", "doc_id", "held_out", "packed"])
 
     block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block")
     held = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(FOLDS)) == 0, F.lit(False)).alias("held_out")
@@ -196,8 +196,11 @@ def _requests(order: int, shards: int):
         block, out = Block(table), []
         name = table.column("block")[0].as_py()
         for k in range(1, order + 1):
-            keys, back = np.unique(block.keys(k), return_inverse=True)
-            counts = np.bincount(back, weights=block.train, minlength=len(keys)).astype("<u4")
+            # the lowest bit tells training tokens, so one sort gives distinct keys and their counts
+            marked = np.sort((block.keys(k) << np.uint64(1)) | block.train.astype(np.uint64))
+            starts = np.flatnonzero(np.append(True, (marked[1:] >> np.uint64(1)) != (marked[:-1] >> np.uint64(1)))) if len(marked) else np.zeros(0, np.int64)
+            keys = marked[starts] >> np.uint64(1)
+            counts = np.add.reduceat(marked & np.uint64(1), starts).astype("<u4") if len(marked) else np.zeros(0, "<u4")
             cuts = np.searchsorted(keys // width, np.arange(shards + 1))
             out += [(k, s, name, EliasFano.encode(keys[lo:hi]), zlib.compress(counts[lo:hi].tobytes(), 1)) for s, (lo, hi) in enumerate(zip(cuts, cuts[1:])) if lo < hi]
         return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()))], names=["n", "shard", "block", "keys", "counts"])
@@ -239,7 +242,9 @@ class Grams:
     def __init__(self, block: Block, counts_of):
         self.back, self.ends, self.counts, self.word, self.context = [], [], [], [], []
         for k in range(1, counts_of.order + 1):
-            keys, at, back = np.unique(block.keys(k), return_index=True, return_inverse=True)
+            keys, back = np.unique(block.keys(k), return_inverse=True)
+            at = np.empty(len(keys), np.int64)
+            at[back] = np.arange(len(back))
             self.back.append(back)
             self.ends.append(at)
             self.counts.append(counts_of(k, len(keys)))
