@@ -52,7 +52,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, broadc
     rows, the exploded hashes meet it in a broadcast hash join, and only hits and one marker row of each
     document are shuffled; beyond that, hashes and places are shuffled to a larger table. Hash hits are verified
     against the window's own words. Null and empty texts have no words. Rows of equal doc_id and text count as one
-    document and give one row each. A table without items marks nothing.
+    document and give one row each. A table without items marks nothing; an
+    item without an id marks words, and is not among the items counted.
     """
     found = benchmark_windows(benchmark, width)
     sizes = sorted((r.width, r.n) for r in found.groupBy("width").agg(F.count("*").alias("n")).collect())  # at most `width` rows
