@@ -55,6 +55,11 @@ def _power(base: int, n: int) -> np.ndarray:
     return have[:n]
 
 
+def forget() -> None:
+    """Drop the tables of powers, so that a driver that has used them doesn't send them with its tasks."""
+    _powers.clear()
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hash of each byte span; equal spans get equal hashes wherever they stand."""
     if not len(starts):

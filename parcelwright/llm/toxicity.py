@@ -16,7 +16,7 @@ BUCKETS = 1 << 18
 DIM = 8
 GRAMS = (3, 4, 5, 6)
 #: At most this many labelled documents of each class are fitted on, chosen by a hash of doc_id.
-MAX_LABELS = 2_500
+MAX_LABELS = 2_000
 HELD_OUT = 2
 
 _MARKED = np.frombuffer(b"<>", np.uint8)
@@ -71,30 +71,46 @@ class Bag:
 def train(texts: pa.Array, y: np.ndarray, epochs: int = 120, rate: float = 2.0, decay: float = 1e-4, seed: int = 7) -> Bag:
     """Embeddings of subword buckets and softmax weights, by full-batch Adagrad on the log loss.
 
-    A word's vector is the mean of its subwords' vectors, a document's the mean of its words'. One class
+    A word's vector is the mean of its subwords' vectors, a document's the mean of its words'. Texts are
+    read in slices, and what stays are the distinct words' buckets and the documents' words. One class
     only, or no rows, gives the prior.
     """
     prior = (y.sum() + 1) / (len(y) + 2)
     bias0 = float(np.log(prior / (1 - prior)))
     if not 0 < y.sum() < len(y):
         return Bag(np.zeros(BUCKETS), bias0)
-    w = tb.Words(texts, tb.NOT_ALNUM, lower=True)
-    _, which, back = np.unique(w.hashes(), return_index=True, return_inverse=True)
-    # distinct (document, word) pairs with the word's share of the document
-    pair, weight = np.unique(w.doc * len(which) + back, return_counts=True)
-    doc, word = pair // len(which), pair % len(which)
-    share = weight / np.maximum(w.counts, 1)[doc]
-    buckets, first = subwords(w, which)
-    used, local = np.unique(buckets, return_inverse=True)
-    owner = np.repeat(np.arange(len(which)), np.diff(first))
-    each = 1 / np.diff(first)
+    ids: dict[int, int] = {}
+    docs, words, shares, buckets, sizes, done = [], [], [], [], [], 0
+    for part in tb.slices(pa.RecordBatch.from_arrays([texts], names=["text"])):
+        w = tb.Words(part.column("text"), tb.NOT_ALNUM, lower=True)
+        hashes, which, back = np.unique(w.hashes(), return_index=True, return_inverse=True)
+        fresh = [i for i, h in enumerate(hashes.tolist()) if h not in ids]
+        ids.update(zip(hashes[fresh].tolist(), range(len(ids), len(ids) + len(fresh))))
+        own, first = subwords(w, which[fresh])
+        buckets.append(own.astype(np.int32))
+        sizes.append(np.diff(first))
+        named = np.array([ids[h] for h in hashes.tolist()], np.int64)
+        # distinct (document, word) pairs with the word's share of the document
+        pair, n_in = np.unique(w.doc * len(hashes) + back, return_counts=True)
+        docs.append(pair // max(len(hashes), 1) + done)
+        words.append(named[pair % max(len(hashes), 1)])
+        shares.append(n_in / np.maximum(w.counts, 1)[docs[-1] - done])
+        done += part.num_rows
+    doc, word, share = np.concatenate(docs), np.concatenate(words), np.concatenate(shares)
+    size = np.concatenate(sizes)
+    first = np.concatenate([[0], np.cumsum(size)])
+    used, local = np.unique(np.concatenate(buckets), return_inverse=True)
+    local = local.astype(np.int32)
+    owner = np.repeat(np.arange(len(size), dtype=np.int32), size)
+    each = 1 / size
     n = len(y)
     by_doc = np.searchsorted(doc, np.arange(n + 1))
     order = np.argsort(word, kind="stable")
-    by_word = np.searchsorted(word[order], np.arange(len(which)))
+    by_word = np.searchsorted(word[order], np.arange(len(size)))
     order_used = np.argsort(local, kind="stable")
     by_used = np.searchsorted(local[order_used], np.arange(len(used)))
     doc_of, share_of, owner_of = doc[order], share[order], owner[order_used]
+    del order, order_used, owner
     rng = np.random.default_rng(seed)
     e = rng.normal(0, 1 / DIM, (len(used), DIM))
     c = rng.normal(0, 1, DIM)
@@ -142,6 +158,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS, label:
     y = got.column("y").to_numpy().astype(float)
     texts = got.column("text").combine_chunks() if got.num_rows else pa.array([], pa.string())
     model = train(texts, y)
+    tb.forget()
     if 0 < y.sum() < len(y):
         true, seen = counts[1] / counts[0], y.sum() / (len(y) - y.sum())
         return Bag(model.logits, model.bias + float(np.log(true / seen)))
