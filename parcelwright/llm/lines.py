@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from parcelwright.llm import store
+from parcelwright.sources import workspace as store
 
 #: Each family draws its own boundaries, so that a line at the edge of a repeated passage lies whole inside
 #: a repeated chunk in most of them.
-FAMILIES = 6
+FAMILIES = 16
 #: A line ends a chunk if the rolling hash of it and the line before is a multiple of this.
 SPACING = 2
 #: A chunk of several lines counts with this many words; a single line only as a passage of PASSAGE_WORDS.
@@ -36,7 +36,7 @@ def _ends(family: int) -> Column:
     other bits of it. A line of PASSAGE_WORDS ends a chunk, and so does the one before it, so it is a chunk
     by itself in every family.
     """
-    rolled = lambda i: F.pmod(F.shiftright(F.get("rolled", i), 8 * family), F.lit(SPACING))
+    rolled = lambda i: F.pmod(F.shiftright(F.get("rolled", i), 4 * family), F.lit(SPACING))
     long_line = lambda i: F.get("counts", i) >= PASSAGE_WORDS
     last = F.size("counts") - 1
     return F.filter(F.sequence(F.lit(0), last), lambda i: (i == last) | (rolled(i) == 0) | long_line(i) | F.coalesce(long_line(i + 1), F.lit(False)))
