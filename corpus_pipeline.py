@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelwright.llm import decontaminate, lines, mixing, near, quality, store
+from parcelwright.llm import decontaminate, lines, mixing, near, quality
+from parcelwright.sources import workspace as store
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

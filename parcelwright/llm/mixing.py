@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from parcelwright.sources import workspace as store
+
 #: Rows of one source that share a key bucket, about.
 BUCKET_ROWS = 20_000
 NO_SOURCE = "\U0010ffff\U0010ffff"
@@ -76,6 +78,7 @@ def mix(docs: DataFrame, seed: str = "mix", weights: tuple[int, ...] = (1, 2, 3)
     targets = source_targets(sizes.select("source_key", "source_size"), weights, most)
     plan = sizes.drop("source_size").join(targets, "source_key").withColumn("epochs", F.floor(F.col("target") / F.greatest(F.col("source_size"), F.lit(1))).cast("long"))
     plan = plan.withColumn("budget", F.col("target") - F.col("epochs") * F.col("source_size")).withColumn("buckets", F.ceil(F.col("n_docs") / bucket_rows))
+    plan = store.written(plan, "plan")  # of known size: sent whole while small, else joined by a plain shuffle that splits hot sources
     dealt = rows.join(plan, "source_key").withColumn("bucket", F.floor((1 - F.exp(-F.col("key"))) * F.col("buckets")).cast("long"))
     sums = dealt.drop("_row").groupBy("source_key", "bucket").agg(F.sum("size").alias("in_bucket"))
     offsets = sums.select("source_key", "bucket", (F.sum("in_bucket").over(W.partitionBy("source_key").orderBy("bucket")) - F.col("in_bucket")).alias("offset"))
