@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from parcelwright.sources import workspace as store
 
 #: Rows of one source that share a key bucket, about.
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 NO_SOURCE = "\U0010ffff\U0010ffff"
 
 
