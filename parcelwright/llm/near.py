@@ -25,6 +25,9 @@ NODE_LIMIT = 24
 BRANCHES = (2, 3)
 #: Equal sketch bytes below which a pair is not looked at: five standard deviations below 0.85 of SKETCH.
 LEAST_EQUAL = 138
+#: Shingles and sets in a group of a node that stays large; two groups meet in a tile, and all its pairs are compared.
+TILE_SHINGLES = 400_000
+TILE_SETS = 2048
 
 _SALTS = [int(tb.seeded(1000 + c)) for c in range(SKETCH)]
 
@@ -126,7 +129,7 @@ def _node_pairs(labelled: bool):
                 node = part.column("node").to_numpy()
                 whole = np.flatnonzero(node != node[-1])
                 cut = int(whole[-1]) + 1 if len(whole) else 0
-                if part.num_rows - cut > 40_000:  # a block of many sets: neighbours in sketch order are compared
+                if part.num_rows - cut > 40_000:  # a block of many sets, only without labels: neighbours in sketch order
                     cut = part.num_rows - NODE_LIMIT
                 yield pairs(part.slice(0, min(cut + NODE_LIMIT, part.num_rows) if cut and node[cut - 1] == node[-1] else cut))
                 rest = part.slice(cut)
@@ -142,23 +145,24 @@ def _star_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("pivot").filter(ok), batch.column("set_key").filter(ok)], names=["a", "b"])
 
 
-def grow_trees(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The leaves of all trees: (node, set_key, sketch) of small nodes, and (pivot, set_key) pairs of nodes that branched.
+def grow_trees(sets: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The leaves of all trees: (node, set_key, sketch, small), (pivot, set_key) pairs of large nodes, (node, set_key) of leaves still large.
 
     sets (set_key, minwise, sketch) has one row for each distinct set. A node's path hashes the tree and the
     minwise values chosen so far; a node of more than NODE_LIMIT sets branches by another coordinate that its
     path chooses, several at a time as BRANCHES says. Nodes of one set end there. What is still large
-    at the end (sets that agree in half a dozen minwise values) is cut into blocks of sets next to each other in
-    sketch order, in each tree another one.
+    at the end (sets that agree in half a dozen minwise values) is returned as it is, to be compared whole. It is
+    also cut into blocks of sets next to each other in sketch order (not small), which only save work.
     """
     trees = F.explode(F.array(*(F.struct(F.lit(t).alias("t"), F.get("minwise", t).alias("v")) for t in range(TREES))))
     level = sets.select("set_key", trees.alias("x")).select("set_key", F.xxhash64("x.t", "x.v").alias("node"))
     small, stars = [], []
+    over = level.limit(0)
     slim = sets.select("set_key", "minwise", "sketch")
     for depth in range(len(BRANCHES) + 1):
         counted = store.written(level.groupBy("node").agg(F.count("*").alias("members")).where("members > 1"), "counts")
         held = store.written(level.join(counted, "node"), "nodes")
-        small.append(held.where(F.col("members") <= NODE_LIMIT).select("node", "set_key"))
+        small.append(held.where(F.col("members") <= NODE_LIMIT).select("node", "set_key", F.lit(True).alias("small")))
         large = held.where(F.col("members") > NODE_LIMIT)
         if large.isEmpty():
             break
@@ -170,14 +174,15 @@ def grow_trees(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
         else:
             place = F.conv(F.expr("substring(hex(sketch), cast(abs(xxhash64(node)) % 180 * 2 + 1 as int), 8)"), 16, 10).cast("double") / 2**32
             block = F.xxhash64("node", F.floor(place * F.ceil(F.col("members") * 2 / NODE_LIMIT)))
-            small.append(large.join(slim, "set_key").select(block.alias("node"), "set_key"))
+            small.append(large.join(slim, "set_key").select(block.alias("node"), "set_key", F.lit(False).alias("small")))
+            over = large.select("node", "set_key")
     leaves = small[0]
     for more in small[1:]:
         leaves = leaves.unionByName(more)
     pairs = stars[0] if stars else leaves.select(F.col("set_key").alias("pivot"), "set_key").limit(0)
     for more in stars[1:]:
         pairs = pairs.unionByName(more)
-    return leaves.join(slim.drop("minwise"), "set_key"), pairs.distinct()
+    return leaves.join(slim.drop("minwise"), "set_key"), pairs.distinct(), over
 
 
 def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -195,15 +200,16 @@ def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return met.groupBy("set_key").agg(F.min("packed").alias("packed"))
 
 
-def _verified(percent: int):
-    def sets_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        return shingle_hashes(tb.Words(pa.array([zlib.decompress(x) for x in column.to_pylist()], pa.binary()).cast(pa.large_string()), lower=True))
+def _sets_of(packed: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    return shingle_hashes(tb.Words(pa.array([zlib.decompress(x) for x in packed.to_pylist()], pa.binary()).cast(pa.large_string()), lower=True))
+
 
+def _verified(percent: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for lo in range(0, whole.num_rows, 256):
                 batch = whole.slice(lo, 256)
-                (ha, fa), (hb, fb) = sets_of(batch.column("pa")), sets_of(batch.column("pb"))
+                (ha, fa), (hb, fb) = _sets_of(batch.column("pa")), _sets_of(batch.column("pb"))
                 keep = []
                 for i in range(batch.num_rows):
                     one, two = np.unique(ha[fa[i] : fa[i + 1]]), np.unique(hb[fb[i] : fb[i + 1]])
@@ -222,6 +228,103 @@ def links(candidates: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "pa", "pb").mapInArrow(_verified(percent), "a binary, b binary")
 
 
+def common_counts(row: np.ndarray, shingle: np.ndarray, n: int) -> np.ndarray:
+    """How many shingles each two of n sets share; (row, shingle) are distinct. Shingles of many sets go through a product of matrices."""
+    both = np.zeros((n, n), np.float32)
+    _, number, held = np.unique(shingle, return_inverse=True, return_counts=True)
+    order = np.argsort(number, kind="stable")
+    row, held, number = row[order], held[number[order]], number[order]
+    dense = held > max(1, n // 16)
+    at, (_, column) = row[dense], np.unique(number[dense], return_inverse=True)
+    width = max(1, 8_000_000 // n)
+    for lo in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        a, b = np.searchsorted(column, [lo, lo + width])
+        held_by = np.zeros((n, min(width, int(column[-1]) + 1 - lo)), np.float32)
+        held_by[at[a:b], column[a:b] - lo] = 1
+        both += held_by @ held_by.T
+    few = ~dense & (held > 1)
+    at, number = row[few], number[few]
+    for k in range(1, n // 16 + 1):
+        met = np.flatnonzero(number[k:] == number[:-k])
+        if not len(met):
+            break
+        np.add.at(both, (at[met], at[met + k]), 1)
+        np.add.at(both, (at[met + k], at[met]), 1)
+    return both
+
+
+def linked(hashes: np.ndarray, first: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of sets compared: the first of each component of their links, for each other member of it, and the member."""
+    n = len(first) - 1
+    row = np.repeat(np.arange(n), np.diff(first))
+    order = np.lexsort((hashes, row))
+    row, shingle = row[order], hashes[order]
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (shingle[1:] != shingle[:-1])
+    row, shingle = row[new], shingle[new]
+    size = np.bincount(row, minlength=n)
+    both = common_counts(row, shingle, n)
+    link = np.empty((n, n), bool)
+    for lo in range(0, n, 256):
+        part = both[lo : lo + 256].astype(np.int64)
+        link[lo : lo + 256] = 100 * part >= percent * (size[lo : lo + 256, None] + size - part)
+    seed = np.full(n, -1)
+    for i in range(n):
+        reached = np.array([i]) if seed[i] < 0 else []
+        while len(reached):
+            seed[reached] = i
+            reached = np.flatnonzero(link[reached].any(axis=0) & (seed < 0))
+    others = np.flatnonzero(seed != np.arange(n))
+    return seed[others], others
+
+
+def _tile_links(percent: int):
+    """(a, b) of one component within a tile, for whole tiles that come sorted: at most one row for each set."""
+
+    def joined(batch: pa.RecordBatch) -> pa.RecordBatch:
+        a, b = linked(*_sets_of(batch.column("packed")), percent)
+        keys = batch.column("set_key")
+        return pa.RecordBatch.from_arrays([keys.take(pa.array(a)), keys.take(pa.array(b))], names=["a", "b"])
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_tile, held = None, []
+        for batch in batches:
+            tile = batch.column("tile").to_numpy()
+            edges = [0, *(np.flatnonzero(tile[1:] != tile[:-1]) + 1).tolist(), len(tile)]
+            for lo, hi in zip(edges, edges[1:]):
+                if lo == hi:
+                    continue
+                if held and tile[lo] != open_tile:
+                    yield joined(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
+                    held = []
+                open_tile = tile[lo]
+                held.append(batch.slice(lo, hi - lo))
+        if held:
+            yield joined(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
+
+    return rows
+
+
+def tiles(over: DataFrame) -> DataFrame:
+    """(tile, set_key) such that any two sets of a node with unequal labels meet in a tile of bounded size.
+
+    over: node, set_key, n_shingles, label. The sets of a node's most frequent label need not meet each other. They
+    and the rest are dealt into groups by hash; each group of the rest meets all groups. Nodes of one label have no tile.
+    """
+    of_label = over.groupBy("node", "label").agg(F.sum("n_shingles").alias("s"), F.count("*").alias("n"))
+    most = F.struct("n", "label", "s")
+    summed = of_label.groupBy("node").agg(F.max(most).alias("main"), F.sum("s").alias("s"), F.sum("n").alias("n")).where("n > main.n")
+    groups = lambda s, n: F.ceil(F.greatest(s / TILE_SHINGLES, n / TILE_SETS)).cast("int")
+    sized = summed.select("node", F.col("main.label").alias("main"), groups(F.col("main.s"), F.col("main.n")).alias("ga"), groups(F.col("s") - F.col("main.s"), F.col("n") - F.col("main.n")).alias("gb"))
+    in_main = F.col("label") == F.col("main")
+    dealt = over.join(sized, "node").withColumn("i", F.pmod(F.xxhash64("set_key", F.lit(7)), F.when(in_main, F.col("ga")).otherwise(F.col("gb"))).cast("int"))
+    with_main = lambda a, b: F.xxhash64("node", F.lit(1), a, b)
+    upto = lambda g: F.sequence(F.lit(0), F.col(g) - 1)
+    among = F.transform(F.filter(upto("gb"), lambda j: j != F.col("i")), lambda j: F.xxhash64("node", F.lit(2), F.least("i", j), F.greatest("i", j)))
+    met = F.when(in_main, F.transform(upto("gb"), lambda j: with_main(F.col("i"), j))).otherwise(F.concat(F.transform(upto("ga"), lambda j: with_main(j, F.col("i"))), among))
+    return dealt.select(F.explode(met).alias("tile"), "set_key")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(set_key, root) of all keys in edges (a, b): root is the least key reachable.
 
@@ -252,14 +355,15 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     Equal sets fall together first, so a group of exact copies is one set. Trees are grown over the minwise
     values of distinct sets; star pairs of large nodes and best pairs of small ones are verified on full sets
     and give components; then all remaining pairs of small nodes that join two components are verified too.
+    Of nodes that stay large, all pairs that could join two components are compared on full sets, tile by tile.
     A set's texts travel deflated, only for sets that are in a pair. Null and empty texts have no set and
     are linked with nothing. Rows of equal doc_id are told apart by their sets.
     """
     held = store.written(sketches(docs), "sketches")
     filled = held.where("set_key is not null")
-    one = filled.groupBy("set_key").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "th", "minwise", "sketch")).alias("x"), F.count("*").alias("copies_of_set"))
-    sets = store.written(one.select("set_key", "copies_of_set", "x.doc_id", "x.th", "x.minwise", "x.sketch"), "sets")
-    leaves, stars = grow_trees(sets.select("set_key", "minwise", "sketch"))
+    one = filled.groupBy("set_key").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "th", "minwise", "sketch", "n_shingles")).alias("x"), F.count("*").alias("copies_of_set"))
+    sets = store.written(one.select("set_key", "copies_of_set", "x.doc_id", "x.th", "x.minwise", "x.sketch", "x.n_shingles"), "sets")
+    leaves, stars, over = grow_trees(sets.select("set_key", "minwise", "sketch"))
     dealt = store.written(leaves, "leaves")
     slim = sets.select("set_key", "sketch")
     starred = stars.join(slim, "set_key").join(slim.select(F.col("set_key").alias("pivot"), F.col("sketch").alias("pivot_sketch")), "pivot").select("pivot", "set_key", "sketch", "pivot_sketch")
@@ -268,16 +372,22 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     best = sorted_leaves.select("node", "set_key", "sketch").mapInArrow(_node_pairs(False), "a binary, b binary")
     ordered = (F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     candidates = store.written(star_pairs.unionByName(best).select(*ordered).distinct(), "candidates")
-    # a set with any pair to verify has its best one among the candidates, so these are all the texts needed
+    # a set with any pair to verify in a small node has its best one among the candidates, so these are all the texts needed
     paired = candidates.select(F.explode(F.array("a", "b")).alias("set_key")).distinct()
     texts = store.written(_texts(docs, sets.select("set_key", "doc_id", "th").join(paired, "set_key")), "texts")
     found = store.written(links(candidates, texts, percent), "links")
     roots = components(found)
-    labelled = dealt.join(roots, "set_key", "left").select("node", "set_key", "sketch", F.coalesce("root", "set_key").alias("label"))
+    labelled = dealt.where("small").join(roots, "set_key", "left").select("node", "set_key", "sketch", F.coalesce("root", "set_key").alias("label"))
     labelled = store.written(labelled, "labelled")
     mixed = labelled.groupBy("node").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("node")
     more = labelled.join(mixed, "node").repartition("node").sortWithinPartitions("node", "sketch", "set_key").select("node", "set_key", "sketch", "label").mapInArrow(_node_pairs(True), "a binary, b binary").select(*ordered).distinct()
     rest = store.written(links(more.join(candidates, ["a", "b"], "left_anti"), texts, percent), "links")
+    numbered = over.join(sets.select("set_key", "n_shingles"), "set_key").join(roots, "set_key", "left").select("node", "set_key", "n_shingles", F.coalesce("root", "set_key").alias("label"))
+    tiled = store.written(tiles(store.written(numbered, "over")), "tiles")
+    if not tiled.isEmpty():
+        met = sets.select("set_key", "doc_id", "th").join(tiled.select("set_key").distinct(), "set_key")
+        whole = tiled.join(store.written(_texts(docs, met), "texts"), "set_key").repartition("tile").sortWithinPartitions("tile", "set_key")
+        rest = rest.unionByName(store.written(whole.select("tile", "set_key", "packed").mapInArrow(_tile_links(percent), "a binary, b binary").distinct(), "links"))
     if not rest.isEmpty():
         roots = components(found.unionByName(rest))
     named = sets.select("set_key", "doc_id", "copies_of_set").join(roots, "set_key", "left").withColumn("root", F.coalesce("root", "set_key"))

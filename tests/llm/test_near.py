@@ -4,6 +4,8 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from parcelwright.llm import near
@@ -61,3 +63,52 @@ def test_components(spark, sf_dir):
 
 def test_empty(spark):
     assert near.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def dense_components(rows):
+    """brute for groups of thousands: shared shingles counted by one product of matrices."""
+    sets = [shingles(t) for _, t in rows]
+    held = Counter(x for s in sets for x in s)
+    number = {x: k for k, x in enumerate(x for x, k in held.items() if k > 1)}
+    has = np.zeros((len(sets), len(number)), np.float32)
+    for i, s in enumerate(sets):
+        has[i, [number[x] for x in s if x in number]] = 1
+    both, size = (has @ has.T).astype(int), np.array([len(s) for s in sets])
+    link = 100 * both >= 85 * (size[:, None] + size - both)
+    least = {}
+    for i in range(len(rows)):
+        todo = [i] if i not in least else []
+        group = set(todo)
+        while todo:
+            more = set(np.flatnonzero(link[todo].any(axis=0)).tolist()) - group
+            group |= more
+            todo = list(more)
+        least |= {j: min(rows[k][0] for k in group) for j in group}
+    return {d: least[i] for i, (d, _) in enumerate(rows)}
+
+
+@pytest.mark.parametrize("tile_sets", [near.TILE_SETS, 300])
+def test_hub(spark, monkeypatch, tile_sets):
+    """Thousands of copies that are linked with their base only, which is not the least set_key."""
+    monkeypatch.setattr(near, "TILE_SETS", tile_sets, raising=False)
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    base = [word() for _ in range(150)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 3000):
+        copy = list(base)
+        for at in rng.sample(range(5, 145), 2):
+            copy[at] = word()
+        rows.append((i, " ".join(copy)))
+    got = {r.doc_id: r.component_id for r in near.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = dense_components(rows)
+    assert got == want and len(set(want.values())) < 3
+
+
+def test_common_counts():
+    rng = np.random.default_rng(4)
+    sets = [set(rng.integers(0, 60, 20).tolist()) | set(rng.integers(100, 4000, 40).tolist()) for _ in range(200)]
+    row = np.repeat(np.arange(200), [len(s) for s in sets])
+    shingle = np.array([x for s in sets for x in s], np.uint64)
+    both = near.common_counts(row, shingle, 200)
+    assert all(both[i, j] == len(sets[i] & sets[j]) for i in range(200) for j in range(200) if i != j)
