@@ -6,11 +6,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from parcelwright.sources import workspace as store
 
-#: Each family draws its own boundaries, so that a line at the edge of a repeated passage lies whole inside
-#: a repeated chunk in most of them.
-FAMILIES = 16
-#: A line ends a chunk if the rolling hash of it and the line before is a multiple of this.
-SPACING = 2
 #: A chunk of several lines counts with this many words; a single line only as a passage of PASSAGE_WORDS.
 CHUNK_WORDS = 12
 PASSAGE_WORDS = 50
@@ -29,22 +24,28 @@ def _blanks(line: Column) -> Column:
     return F.length(line) - F.length(F.replace(F.replace(line, F.lit(" "), F.lit("")), F.lit("\t"), F.lit(""))) + 1
 
 
-def _ends(family: int) -> Column:
-    """Last lines of one family's chunks, counted from 0.
+def _least(counts: Column) -> Column:
+    """How many of the first lines make a chunk that counts: two or more, with CHUNK_WORDS; more than there are if none do."""
+    start = F.struct(F.lit(0).alias("s"), F.lit(0).alias("n"))
+    full = lambda a: (a["n"] > 1) & (a["s"] >= CHUNK_WORDS)
+    met = F.aggregate(counts, start, lambda a, c: F.when(full(a), a).otherwise(F.struct((a["s"] + c).alias("s"), (a["n"] + 1).alias("n"))))
+    return F.when(full(met), met["n"]).otherwise(CHUNK_WORDS + 1)
 
-    The hash of line hashes rolls over two lines, so a boundary depends on nothing else; families read
-    other bits of it. A line of PASSAGE_WORDS ends a chunk, and so does the one before it, so it is a chunk
-    by itself in every family.
-    """
-    rolled = lambda i: F.pmod(F.shiftright(F.get("rolled", i), 4 * family), F.lit(SPACING))
-    long_line = lambda i: F.get("counts", i) >= PASSAGE_WORDS
-    last = F.size("counts") - 1
-    return F.filter(F.sequence(F.lit(0), last), lambda i: (i == last) | (rolled(i) == 0) | long_line(i) | F.coalesce(long_line(i + 1), F.lit(False)))
 
+def _spans() -> Column:
+    """The shortest chunk that counts from each line on, and the shortest that ends with each; long lines by themselves.
 
-def _spans(ends: str) -> Column:
-    before = F.concat(F.array(F.lit(-1)), F.slice(ends, F.lit(1), F.size(ends) - 1))
-    return F.zip_with(ends, before, lambda e, p: (p + 1).cast("long") * _SPAN + (e - p))
+    The lines of a chunk alone decide on it, so a repeated passage of several lines with CHUNK_WORDS has its
+    lines in such chunks wherever it stands: a line too near its end to start one lies in the one that ends there.
+    A line has a word at least, so a chunk has CHUNK_WORDS lines at most.
+    """
+    lines = F.sequence(F.lit(0), F.size("counts") - 1)
+    span = lambda start, n: start.cast("long") * _SPAN + n
+    onward = F.transform(lines, lambda i: span(i, F.least(_least(F.slice("counts", i + 1, F.lit(CHUNK_WORDS))), F.size("counts") - i)))
+    back = F.transform(lines, lambda i: F.least(_least(F.reverse(F.slice("counts", F.greatest(i + 2 - CHUNK_WORDS, F.lit(1)), F.least(i + 1, F.lit(CHUNK_WORDS))))), i + 1))
+    ended = F.transform(back, lambda n, i: span(i + 1 - n, n))
+    alone = F.transform(F.filter(lines, lambda i: F.get("counts", i) >= PASSAGE_WORDS), lambda i: span(i, F.lit(1)))
+    return F.concat(onward, ended, alone)
 
 
 def _heavy(span: Column) -> Column:
@@ -55,14 +56,11 @@ def _heavy(span: Column) -> Column:
 
 
 def chunks(docs: DataFrame) -> DataFrame:
-    """(doc_id, th, start, n, chunk): every chunk of every family that counts, with the hash of its line hashes; one scan."""
+    """(doc_id, th, start, n, chunk): the shortest chunks that count, with the hash of its line hashes; one scan."""
     lines = docs.select("doc_id", F.xxhash64("text").alias("th"), F.split(F.coalesce("text", F.lit("")), "\n", -1).alias("lines"))
     base = lines.select("doc_id", "th", F.transform("lines", lambda x: F.xxhash64(x)).alias("hashes"), F.transform("lines", _blanks).alias("counts"))
-    before = F.concat(F.array(F.lit(0).cast("long")), F.slice("hashes", F.lit(1), F.size("hashes") - 1))
-    rolled = base.withColumn("rolled", F.zip_with("hashes", before, lambda h, p: F.xxhash64(p, h)))
-    ended = rolled.select("doc_id", "th", "hashes", "counts", *(_ends(k).alias(f"e{k}") for k in range(FAMILIES)))
-    spans = F.filter(F.array_distinct(F.concat(*(_spans(f"e{k}") for k in range(FAMILIES)))), _heavy)
-    spread = ended.select("doc_id", "th", "hashes", F.explode(spans).alias("span"))
+    spans = F.filter(F.array_distinct(_spans()), _heavy)
+    spread = base.select("doc_id", "th", "hashes", F.explode(spans).alias("span"))
     placed = spread.select("doc_id", "th", "hashes", F.shiftright("span", 31).cast("int").alias("start"), F.col("span").bitwiseAND(_SPAN - 1).cast("int").alias("n"))
     return placed.select("doc_id", "th", "start", "n", F.xxhash64(F.slice("hashes", F.col("start") + 1, F.col("n")), "n").alias("chunk"))
 
@@ -89,7 +87,9 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     strings = cut.groupBy(F.col("c.chunk").alias("chunk"), F.array_join(F.slice("lines", F.col("c.start") + 1, F.col("c.n")), "\n").alias("bytes")).agg(F.lit(1).alias("one"))
     proven = strings.groupBy("chunk").agg(F.sum("one").alias("k")).where("k = 1").select("chunk")
     first = store.written(again.groupBy("chunk").agg(F.min(_key()).alias("first")).join(proven, "chunk"), "first")
-    return again.join(first, "chunk").where(_key() != F.col("first")).select("doc_id", "th", "start", "n")
+    # of lines that repeat themselves, what overlaps the first occurrence stays with it
+    overlap = F.col("first.d").eqNullSafe(F.col("doc_id")) & F.col("first.t").eqNullSafe(F.col("th")) & (F.col("start") < F.col("first.s") + F.col("n"))
+    return again.join(first, "chunk").where(~overlap).select("doc_id", "th", "start", "n")
 
 
 def _gone(docs: DataFrame) -> DataFrame:

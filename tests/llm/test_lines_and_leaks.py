@@ -107,3 +107,19 @@ def test_repeats_are_real(spark, sf_dir):
         ls = text[r.doc_id].split("\n")[r.start : r.start + r.n]
         total = Counter(text[r.doc_id].split("\n"))
         assert all(pairs[p] > 1 or total[p[0]] > 1 for p in (zip(ls, ls[1:]) if len(ls) > 1 else [(ls[0],)]))
+
+
+def test_passages_shared_by_two_documents_go_whole(spark):
+    rng = random.Random(9)
+    docs, want = [], {}
+    for k in range(300):
+        words = [rng.randint(25, 49) for _ in range(2)] if k < 150 else [rng.randint(1, 9) for _ in range(rng.randint(2, 6))]
+        passage = [line(rng, n) for n in words]
+        for d in (2 * k, 2 * k + 1):
+            head, tail = ([line(rng, rng.randint(3, 25)) for _ in range(rng.randint(0, 6))] for _ in range(2))
+            docs.append((d, "\n".join(head + passage + tail)))
+            want[d] = "\n".join(head + tail) if d % 2 and sum(words) >= 12 else docs[-1][1]
+    same, other = line(rng, 12), line(rng, 13)
+    docs += [(1000, "\n".join([same] * 3)), (1001, "\n".join([other] * 5))]
+    want |= {1000: docs[-2][1], 1001: "\n".join([other] * 2)}
+    assert {r.doc_id: r.text for r in lines.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()} == want
