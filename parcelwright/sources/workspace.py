@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; where it is unset (tests on one machine), a temporary one."""
-    found = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getConf().get("spark.checkpoint.dir", "")
-    if not found:
-        found = spark.sparkContext.getCheckpointDir() or f"file://{tempfile.gettempdir()}/parcelwright-shared"
-    return found.rstrip("/")
+    """The folder named by spark.checkpoint.dir. Only a session on one machine may leave it unset; it gets a temporary one."""
+    found = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getConf().get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir()
+    if found:
+        return found.rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return f"file://{tempfile.gettempdir()}/parcelwright-shared"
 
 
 def new_path(spark: SparkSession, name: str) -> str:
@@ -23,5 +25,5 @@ def new_path(spark: SparkSession, name: str) -> str:
 def written(df: DataFrame, name: str) -> DataFrame:
     """df written once as Parquet in the shared folder and read back: it cuts lineage and outlives executors."""
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
