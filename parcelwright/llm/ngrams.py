@@ -1,367 +1,459 @@
-"""LM scoring: smoothed n-grams counted over the corpus, queried in Elias-Fano tries."""
+"""LM scoring: n-grams counted over the corpus into a sharded Elias-Fano trie, which is kept and queried."""
 
 from __future__ import annotations
 
-import tempfile
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from parcelwright.llm import textbatch as tb
+from parcelwright.sources import workspace as store
 
 ORDER = 3
-#: Bytes of text that share a block: the unit of counting, and of the model that a scoring task holds.
+#: Bytes of text in a block: the unit of counting and of scoring.
 BLOCK_BYTES = 8 << 20
-#: n-grams of one block that go to one counting shard, about, for each block there is.
+#: n-grams that blocks ask of one shard, about, in one order.
 SHARD_KEYS = 1_500_000
-KEY_BITS = 56
+#: A block's message to a shard holds this many n-grams on average at least, so messages never outgrow n-grams.
+MESSAGE_KEYS = 16
+#: Bits of a word's key; of the context's hash and of the n-gram's own hash in the keys of longer n-grams, behind the shard's bits.
+WORD_BITS, CONTEXT_BITS, CHILD_BITS = 56, 18, 22
 #: Weight of the shorter context's distribution, in counts, by order.
-CONCENTRATION = {2: 300.0, 3: 10.0}
+CONCENTRATION = {2: 1000.0, 3: 10.0}
 #: Held out of training: crc32 of doc_id as text modulo FOLDS is 0.
 FOLDS = 10
 
-_START, _END = np.uint64(0x5354415254), np.uint64(0x454E44)
-#: log10 probabilities are kept in 16 bits, evenly over this range.
-_LEAST = -24.0
-_STEP = -_LEAST / 65535
+#: Stands for the token before a document too: a text begins where another ended.
+_END = np.uint64(0x454E44)
+#: log10 of counts up to 10^16 is kept in 16 bits, evenly; this code says that there is none.
+_STEP = 16 / 65534
+_ABSENT = np.uint16(65535)
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def quantise(log_p: np.ndarray) -> np.ndarray:
-    return np.round((np.maximum(log_p, _LEAST) - _LEAST) / _STEP).astype(np.uint16)
+def quantise(counts: np.ndarray) -> np.ndarray:
+    return np.round(np.log10(counts) / _STEP).astype(np.uint16)
 
 
 def restored(code: np.ndarray) -> np.ndarray:
-    return code * _STEP + _LEAST
+    """Counts of codes; 0 where there is none. Exact up to some thousands, within 0.03 % beyond."""
+    count = 10.0 ** (code * _STEP)
+    return np.where(code == _ABSENT, 0.0, np.where(count < 1000, np.round(count), count))
+
+
+def _pack(values: np.ndarray, bits: int) -> bytes:
+    """The lowest `bits` bits of each value, one after the other, and 8 bytes for readers to run over."""
+    wide = np.unpackbits(values.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)[:, 64 - bits :]
+    return np.packbits(wide).tobytes() + bytes(8)
+
+
+def _select_in_word(word: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Place of the set bit of that rank, from 0, in each 64-bit word."""
+    word, rank, place = word.copy(), rank.astype(np.int64), np.zeros(len(word), np.int64)
+    for width in (32, 16, 8, 4, 2, 1):
+        below = np.bitwise_count(word & np.uint64((1 << width) - 1)).astype(np.int64)
+        far = rank >= below
+        rank -= np.where(far, below, 0)
+        word >>= np.where(far, width, 0).astype(np.uint64)
+        place += np.where(far, width, 0)
+    return place
 
 
 class EliasFano:
-    """A sorted uint64 sequence: whole low bytes, and the rest as gaps in unary.
+    """A sorted uint64 sequence: low bits packed, the rest in unary, read in place from bytes or a memory map.
 
-    access() needs the places of ones, which load() finds once. Bytes may come from a memory map.
+    The k-th one of the unary part stands for the k-th value, and its zeros end the runs of values with equal
+    high bits, so both ends of such a run are found by select. The only thing that reading adds are
+    counts of ones before each 64-bit word.
     """
 
     @staticmethod
-    def encode(values: np.ndarray) -> bytes:
-        n = len(values)
-        if not n:
-            return b""
-        first = int(values[0])
-        span = int(values[-1]) - first + 1
-        low_bytes = min(7, -(-max(0, (span // n).bit_length() - 1) // 8))
+    def encode(values: np.ndarray, low_bits: int | None = None) -> bytes:
+        """The sequence's bytes. Without low_bits, it is taken from the range that the values fill."""
+        n, first = len(values), int(values[0]) if len(values) and low_bits is None else 0
+        if low_bits is None:
+            low_bits = max(0, ((int(values[-1]) - first + 1) // n).bit_length() - 1) if n else 0
         shifted = values - np.uint64(first)
-        low = shifted.astype("<u8").view(np.uint8).reshape(n, 8)[:, :low_bytes]
-        ones = (shifted >> np.uint64(8 * low_bytes)).astype(np.int64) + np.arange(n)
-        bits = np.zeros(int(ones[-1]) + 1, np.uint8)
+        ones = (shifted >> np.uint64(low_bits)).astype(np.int64) + np.arange(n)
+        size = (int(ones[-1]) + 2 if n else 1) + 63 & ~63
+        bits = np.zeros(size, np.uint8)
         bits[ones] = 1
-        head = np.array([n, low_bytes, first, len(bits)], np.uint64).tobytes()
-        return head + np.ascontiguousarray(low).tobytes() + np.packbits(bits).tobytes()
+        unary = np.packbits(bits, bitorder="little").tobytes()
+        return np.array([n, low_bits, first, len(unary)], "<u8").tobytes() + unary + _pack(shifted, low_bits)
 
     def __init__(self, raw):
-        raw = np.frombuffer(raw, np.uint8) if isinstance(raw, bytes) else raw
-        if not len(raw):
-            self.n, self.low, self.first, self.high = 0, np.zeros((0, 0), np.uint8), np.uint64(0), np.zeros(0, np.uint64)
-            return
-        n, low_bytes, first, n_bits = np.frombuffer(raw[:32].tobytes(), np.uint64)
-        self.n, self.first = int(n), first
-        self.low = raw[32 : 32 + int(n * low_bytes)].reshape(self.n, int(low_bytes))
-        bits = np.unpackbits(raw[32 + self.low.size :], count=int(n_bits))
-        self.high = (np.flatnonzero(bits) - np.arange(self.n)).astype(np.uint64)
+        raw = np.frombuffer(raw, np.uint8) if not isinstance(raw, np.ndarray) else raw
+        n, low_bits, first, unary = (int(x) for x in raw[:32].view("<u8"))
+        self.n, self.low_bits, self.first = n, low_bits, first
+        self.words = raw[32 : 32 + unary].view("<u8")
+        self.ones = np.concatenate([[0], np.cumsum(np.bitwise_count(self.words), dtype=np.int64)])
+        self.zeros = np.arange(len(self.ones)) * 64 - self.ones
+        self.size = 32 + unary + -(-n * low_bits // 8) + 8
+        tail = raw[32 + unary : self.size]
+        self.eights = np.ndarray(len(tail) - 7, ">u8", tail, strides=(1,))
+
+    def low(self, i: np.ndarray) -> np.ndarray:
+        if not self.low_bits:
+            return np.zeros(len(i), np.uint64)
+        bit = i * self.low_bits
+        return (self.eights[bit >> 3].astype(np.uint64) << (bit & 7).astype(np.uint64)) >> np.uint64(64 - self.low_bits)
 
     def access(self, i: np.ndarray) -> np.ndarray:
-        out = self.high[i]
-        for k in range(self.low.shape[1] - 1, -1, -1):
-            out = (out << np.uint64(8)) | self.low[i, k]
-        return out + self.first
+        word = np.searchsorted(self.ones, i, "right") - 1
+        place = word * 64 + _select_in_word(self.words[word], i - self.ones[word])
+        return ((place - i).astype(np.uint64) << np.uint64(self.low_bits)) + self.low(i) + np.uint64(self.first)
+
+    def before(self, high: np.ndarray) -> np.ndarray:
+        """How many values have high bits below `high`: the pointer to that run of values."""
+        zero = high.astype(np.int64) - 1
+        word = np.minimum(np.searchsorted(self.zeros, zero, "right") - 1, len(self.words) - 1)
+        inside = (zero >= 0) & (zero < self.zeros[-1])
+        at = np.where(inside, word, 0)
+        place = at * 64 + _select_in_word(~self.words[at], np.where(inside, zero - self.zeros[at], 0))
+        return np.where(zero < 0, 0, np.where(inside, place - zero, self.n))
 
     def decode(self) -> np.ndarray:
-        return self.access(np.arange(self.n))
+        """All values at once, for messages, which are read whole."""
+        ones = np.flatnonzero(np.unpackbits(self.words.view(np.uint8), bitorder="little"))
+        i = np.arange(self.n)
+        return ((ones - i).astype(np.uint64) << np.uint64(self.low_bits)) + self.low(i) + np.uint64(self.first)
 
 
-class Trie:
-    """Seen n-grams as levels of sorted children: each level has, by Elias-Fano, its children and the
-    pointers to the next level, and 16-bit codes of smoothed probability and of the weight of backing off.
+class Level:
+    """One shard of a level of the trie: the children of all contexts whose keys fall into it.
 
-    A child is kept relative to its context: as its word plus the number of words times its context's place, so that
-    the level is one monotone sequence, searched only between the context's two pointers. Levels are
-    one temporary file, mapped into memory.
+    A child's key is the hash of its context, cut to CONTEXT_BITS, and a code of the child relative to it.
+    Keys are one Elias-Fano sequence whose high bits are the contexts: its unary part is the monotone sequence of
+    pointers from contexts to children, and find() searches a child among its context's successors only. Each child has
+    its count, quantised; words also have it exact.
     """
 
-    def __init__(self, n_words: int, levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]]):
-        """levels: for each order, (parent place, word), log10 probability and back-off weight, sorted."""
-        self.n_words, self.levels = np.uint64(n_words), []
-        self.file = tempfile.TemporaryFile()
-        places, at = [], 0
-        for k, (parent, word, log_p, weight) in enumerate(levels):
-            parents = 1 if k == 0 else len(levels[k - 1][0])
-            pointers = np.searchsorted(parent, np.arange(parents + 1)).astype(np.uint64)
-            parts = [EliasFano.encode(parent.astype(np.uint64) * self.n_words + word.astype(np.uint64)), EliasFano.encode(pointers), quantise(log_p).tobytes(), quantise(weight).tobytes()]
-            for part in parts:
-                self.file.write(part)
-                places.append((at, at + len(part)))
-                at += len(part)
-        self.file.flush()
-        mapped = np.memmap(self.file, np.uint8, "r", shape=(at,)) if at else np.zeros(0, np.uint8)
-        for k in range(len(levels)):
-            children, pointers, p, w = (mapped[lo:hi] for lo, hi in places[4 * k : 4 * k + 4])
-            self.levels.append((EliasFano(children), EliasFano(pointers), p.view(np.uint16), w.view(np.uint16)))
-
-    def find(self, k: int, parent: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """Place of each word among the children of its parent in level k; -1 if the parent is -1 or has no such child."""
-        children, pointers, _, _ = self.levels[k]
-        known = parent >= 0
-        at = np.where(known, parent, 0)
-        lo = pointers.access(at).astype(np.int64) if children.n else np.zeros(len(at), np.int64)
-        hi = pointers.access(at + 1).astype(np.int64) if children.n else lo
-        end, target = hi.copy(), at.astype(np.uint64) * self.n_words + word.astype(np.uint64)
-        while True:
-            open_ = np.flatnonzero(lo < hi)
-            if not len(open_):
-                break
+    @staticmethod
+    def image(keys: np.ndarray, counts: np.ndarray, child_bits: int, exact: bool) -> bytes:
+        codes = quantise(counts).astype("<u2").tobytes()
+        return EliasFano.encode(keys, child_bits) + codes + (counts.astype("<u4").tobytes() if exact else b"")
+
+    def __init__(self, raw):
+        raw = np.frombuffer(raw, np.uint8) if not isinstance(raw, np.ndarray) else raw
+        self.keys = EliasFano(raw)
+        at, n = self.keys.size, self.keys.n
+        self.codes = np.ndarray(n, "<u2", raw[at : at + 2 * n])
+        rest = raw[at + 2 * n :]
+        self.counts = np.ndarray(n, "<u4", rest) if len(rest) else None
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Place of each key, by successor search among the children of its context; -1 if it isn't there."""
+        child = keys & np.uint64((1 << self.keys.low_bits) - 1)
+        context = (keys >> np.uint64(self.keys.low_bits)).astype(np.int64)
+        lo, hi = self.keys.before(context), self.keys.before(context + 1)
+        end = hi.copy()
+        while len(open_ := np.flatnonzero(lo < hi)):
             middle = (lo[open_] + hi[open_]) // 2
-            below = children.access(middle) < target[open_]
+            below = self.keys.low(middle) < child[open_]
             lo[open_[below]] = middle[below] + 1
             hi[open_[~below]] = middle[~below]
-        inside = np.flatnonzero(known & (lo < end))
-        found = np.full(len(at), -1)
-        hit = children.access(lo[inside]) == target[inside]
-        found[inside[hit]] = lo[inside[hit]]
+        found = np.full(len(keys), -1)
+        inside = np.flatnonzero(lo < end)
+        hit = inside[self.keys.low(lo[inside]) == child[inside]]
+        found[hit] = lo[hit]
         return found
 
-    def log_p(self, k: int, at: np.ndarray) -> np.ndarray:
-        return restored(self.levels[k][2][at])
-
-    def weight(self, k: int, at: np.ndarray) -> np.ndarray:
-        return restored(self.levels[k][3][at])
+    def answers(self, keys: np.ndarray) -> tuple[bytes, bytes]:
+        """Codes of the keys, and for words the exact counts, deflated."""
+        at = self.find(keys)
+        known = at >= 0
+        codes, exact = np.full(len(at), _ABSENT), b""
+        codes[known] = self.codes[at[known]]
+        if self.counts is not None:
+            counts = np.zeros(len(at), "<u4")
+            counts[known] = self.counts[at[known]]
+            exact = zlib.compress(counts.tobytes(), 1)
+        return zlib.compress(codes.astype("<u2").tobytes(), 1), exact
 
 
 class Block:
     """Tokens of a block's documents in order, each document ended by the end token."""
 
-    def __init__(self, table: pa.Table):
-        texts = [zlib.decompress(x) for x in table.column("packed").to_pylist()]
-        hashes, counts = [], []
-        at = 0
-        while at < len(texts):
-            size, to = 0, at
-            while to < len(texts) and (to == at or size + len(texts[to]) <= tb.SLICE_BYTES):
-                size, to = size + len(texts[to]), to + 1
-            w = tb.Words(pa.array(texts[at:to], pa.large_binary()), lower=True)
-            hashes.append(np.insert(w.hashes(), w.first[1:], _END))
+    def __init__(self, row: dict):
+        sizes = np.array(row["sizes"], np.int64)
+        text = pa.decompress(row["packed"], int(sizes.sum()), codec="zstd") if sizes.sum() else b""
+        at, tokens, counts = np.concatenate([[0], np.cumsum(sizes)]), [], []
+        lo = 0
+        while lo < len(sizes):
+            hi = max(lo + 1, int(np.searchsorted(at, at[lo] + tb.SLICE_BYTES, "right")) - 1)
+            offsets = pa.py_buffer((at[lo : hi + 1] - at[lo]).astype(np.int64).tobytes())
+            w = tb.Words(pa.Array.from_buffers(pa.large_binary(), hi - lo, [None, offsets, pa.py_buffer(text)[int(at[lo]) : int(at[hi])]]), lower=True)
+            tokens.append(np.insert(w.hashes(), w.first[1:], _END))
             counts.append(w.counts + 1)
-            at = to
+            lo = hi
         self.counts = np.concatenate(counts) if counts else np.zeros(0, np.int64)
         self.first = np.concatenate([[0], np.cumsum(self.counts)])
-        self.tokens = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
-        self.train = np.repeat(~np.array(table.column("held_out").to_pylist(), bool), self.counts)
-        # position in its document, for contexts that begin before it
+        self.tokens = np.concatenate(tokens) if tokens else np.zeros(0, np.uint64)
+        self.train = np.repeat(~np.array(row["held_out"], bool), self.counts)
+        #: place of each token in its document
         self.place = np.arange(len(self.tokens)) - np.repeat(self.first[:-1], self.counts)
+        self._hashes = [tb.mix64(self.tokens)]
+
+    def hashes(self, order: int) -> np.ndarray:
+        """Hash of the n-gram that ends at each token. Before a document stands one end token; where there are
+        not enough tokens, the value means nothing."""
+        while len(self._hashes) < order:
+            shorter, k = self._hashes[-1], len(self._hashes)
+            before = np.empty_like(shorter)
+            before[1:] = shorter[:-1]
+            if k == 1:
+                before[self.place == 0] = tb.mix64(np.array([_END]))[0]
+            self._hashes.append(tb.mix64(tb.mix64(self.tokens + np.uint64(k)) * _SPREAD + before))
+        return self._hashes[order - 1]
+
+    def keys(self, order: int, shard_bits: int) -> tuple[np.ndarray, np.ndarray]:
+        """Which tokens end an n-gram of that order, and its key: bits of the shard, of the context and of the child.
+
+        The shard comes from the n-gram's own hash, so the children of a frequent context lie in all shards.
+        """
+        own = self.hashes(order)
+        if order == 1:
+            return np.arange(len(own)), own >> np.uint64(64 - WORD_BITS)
+        which = np.flatnonzero(self.place >= order - 2)
+        own = own[which]
+        if order == 2:
+            context = np.where(self.place == 0, tb.mix64(np.array([_END]))[0], np.roll(self.hashes(1), 1))
+        else:
+            context = self.hashes(order - 1)[which - 1]
+        shard = (own >> np.uint64(64 - shard_bits)) << np.uint64(CONTEXT_BITS + CHILD_BITS) if shard_bits else np.uint64(0)
+        return which, shard | ((context >> np.uint64(64 - CONTEXT_BITS)) << np.uint64(CHILD_BITS)) | (own & np.uint64((1 << CHILD_BITS) - 1))
+
+
+def _inner_bits(order: int, shard_bits: int) -> int:
+    """Bits of a key behind those of its shard."""
+    return WORD_BITS - shard_bits if order == 1 else CONTEXT_BITS + CHILD_BITS
+
 
-    def before(self, k: int) -> np.ndarray:
-        """Hash of the token k places before each; the start token before a document."""
-        out = np.full(len(self.tokens), _START)
-        inside = self.place >= k
-        out[inside] = self.tokens[np.flatnonzero(inside) - k]
-        return out
+def _counted(block: Block, order: int, shard_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys of a block's n-grams of one order, sorted, and their counts in training texts."""
+    which, keys = block.keys(order, shard_bits)
+    # the lowest bit tells training tokens, so one sort gives distinct keys and their counts
+    marked = np.sort((keys << np.uint64(1)) | block.train[which].astype(np.uint64))
+    if not len(marked):
+        return marked, np.zeros(0, "<u4")
+    starts = np.flatnonzero(np.append(True, (marked[1:] >> np.uint64(1)) != (marked[:-1] >> np.uint64(1))))
+    return marked[starts] >> np.uint64(1), np.add.reduceat(marked & np.uint64(1), starts).astype("<u4")
 
-    def keys(self, order: int) -> np.ndarray:
-        """KEY_BITS-bit keys of the n-gram that each token ends."""
-        h = self.tokens + np.uint64(order)
-        for k in range(1, order):
-            h = tb.mix64(h) * np.uint64(0x9E3779B97F4A7C15) + self.before(k)
-        return tb.mix64(h) >> np.uint64(64 - KEY_BITS)
 
+BLOCKS = "block long, doc_ids array<{kind}>, held_out array<boolean>, sizes array<long>, packed binary"
 
-def packed_blocks(docs: DataFrame, blocks: int) -> DataFrame:
-    """(block, doc_id, held_out, packed): documents dealt into blocks by a hash, texts deflated."""
+
+def packed_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Documents packed into blocks, one row each, in a written table: nothing is shuffled, and texts are packed once."""
     kind = dict(docs.dtypes)["doc_id"]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, made, held, size = TaskContext.get().partitionId(), 0, [], 0
+        codec = pa.Codec("zstd", compression_level=6)
+
+        def packed():
+            texts = [tb.column_bytes(x.column("text")) for x in held]
+            sizes = np.concatenate([np.diff(at) for _, at in texts])
+            lists = [pa.array([[v for x in held for v in x.column(c).to_pylist()]], pa.list_(held[0].schema.field(c).type)) for c in ("doc_id", "held_out")]
+            raw = np.concatenate([raw for raw, _ in texts])
+            blob = codec.compress(raw.tobytes(), asbytes=True) if len(raw) else b""
+            return pa.RecordBatch.from_arrays([pa.array([(task << 32) | made], pa.int64()), *lists, pa.array([sizes], pa.list_(pa.int64())), pa.array([blob], pa.binary())], names=["block", "doc_ids", "held_out", "sizes", "packed"])
+
         for whole in batches:
-            for batch in tb.slices(whole):
-                raw, at = tb.column_bytes(batch.column("text"))
-                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("block", "doc_id", "held_out")), pa.array([zlib.compress(raw[lo:hi].tobytes(), 4) for lo, hi in zip(at, at[1:])], pa.binary())], names=["block", "doc_id", "held_out", "packed"])
+            for batch in tb.slices(whole, most=min(block_bytes, tb.SLICE_BYTES)):
+                more = tb.column_bytes(batch.column("text"))[1][-1]
+                if held and size + more > block_bytes:
+                    yield packed()
+                    held, size, made = [], 0, made + 1
+                held.append(batch)
+                size += more
+        if held:
+            yield packed()
 
-    block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block")
     held = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(FOLDS)) == 0, F.lit(False)).alias("held_out")
-    return docs.select(block, "doc_id", held, "text").mapInArrow(rows, f"block int, doc_id {kind}, held_out boolean, packed binary").repartition(blocks, "block")
+    return store.written(docs.select("doc_id", held, "text").mapInArrow(rows, BLOCKS.format(kind=kind)), "blocks")
 
 
-def _requests(order: int, shards: int):
-    width = np.uint64((1 << KEY_BITS) // shards + 1)
+def requests(blocks: DataFrame, order: int, shard_bits: int) -> DataFrame:
+    """(n, shard, block, keys, counts): what each block asks of each shard: sorted keys, Elias-Fano coded, and its own counts."""
 
-    def rows(table: pa.Table) -> pa.Table:
-        block, out = Block(table), []
-        name = table.column("block")[0].as_py()
-        for k in range(1, order + 1):
-            # the lowest bit tells training tokens, so one sort gives distinct keys and their counts
-            marked = np.sort((block.keys(k) << np.uint64(1)) | block.train.astype(np.uint64))
-            starts = np.flatnonzero(np.append(True, (marked[1:] >> np.uint64(1)) != (marked[:-1] >> np.uint64(1)))) if len(marked) else np.zeros(0, np.int64)
-            keys = marked[starts] >> np.uint64(1)
-            counts = np.add.reduceat(marked & np.uint64(1), starts).astype("<u4") if len(marked) else np.zeros(0, "<u4")
-            cuts = np.searchsorted(keys // width, np.arange(shards + 1))
-            out += [(k, s, name, EliasFano.encode(keys[lo:hi]), zlib.compress(counts[lo:hi].tobytes(), 1)) for s, (lo, hi) in enumerate(zip(cuts, cuts[1:])) if lo < hi]
-        return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()))], names=["n", "shard", "block", "keys", "counts"])
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                block, out = Block(row), []
+                for k in range(1, order + 1):
+                    keys, counts = _counted(block, k, shard_bits)
+                    cuts = np.searchsorted(keys >> np.uint64(_inner_bits(k, shard_bits)), np.arange((1 << shard_bits) + 1))
+                    for s in np.flatnonzero(np.diff(cuts)).tolist():
+                        lo, hi = cuts[s], cuts[s + 1]
+                        inner = keys[lo:hi] & np.uint64((1 << _inner_bits(k, shard_bits)) - 1)
+                        out.append((k, s, row["block"], EliasFano.encode(inner), zlib.compress(counts[lo:hi].tobytes(), 1)))
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()))], names=["n", "shard", "block", "keys", "counts"])
 
-    return rows
+    return blocks.select("block", "held_out", "sizes", "packed").mapInArrow(rows, "n int, shard int, block long, keys binary, counts binary")
 
 
-def _total(blocks: int):
-    def rows(table: pa.Table) -> pa.Table:
-        """Counts over all blocks of one shard's keys, answered to each block in the order of its keys.
+REPLIES = "n int, shard int, block long, codes binary, exact binary, image binary, tokens long, types long"
 
-        A shard of single words also tells every block its numbers of training tokens and of words seen.
-        """
-        asked = [EliasFano(x.as_py()).decode() for x in table.column("keys")]
+
+def _replies(n: int, shard: int, level: Level, blocks: list, asked: list[np.ndarray], first: tuple | None) -> pa.Table:
+    rows = [first] if first else []
+    rows += [(n, shard, name, *level.answers(keys), None, 0, 0) for name, keys in zip(blocks, asked)]
+    kinds = (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64())
+    return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), kinds)], names=[x.split()[0] for x in REPLIES.split(", ")])
+
+
+def _built(shard_bits: int):
+    def rows(table: pa.Table) -> pa.Table:
+        """The shard's image, from the counts of all blocks, and its answers to each block, read from the image."""
+        n, shard = table.column("n")[0].as_py(), table.column("shard")[0].as_py()
+        asked = [EliasFano(x.as_buffer()).decode() for x in table.column("keys")]
         counts = np.concatenate([np.frombuffer(zlib.decompress(x.as_py()), "<u4") for x in table.column("counts")])
-        _, back = np.unique(np.concatenate(asked), return_inverse=True)
+        keys, back = np.unique(np.concatenate(asked), return_inverse=True)
         total = np.bincount(back, weights=counts).astype(np.int64)
-        n, shard = table.column("n")[0].as_py(), table.column("shard")[0].as_py()
-        out, at = [], 0
-        for name, one in zip(table.column("block").to_pylist(), asked):
-            out.append((name, n, shard, zlib.compress(total[back[at : at + len(one)]].astype("<u4").tobytes(), 1), 0, 0))
-            at += len(one)
-        if n == 1:
-            out += [(name, 0, shard, b"", int(total.sum()), int((total > 0).sum())) for name in range(blocks)]
-        kinds = (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64())
-        return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), kinds)], names=["block", "n", "shard", "counts", "tokens", "types"])
+        del back, counts
+        seen = total > 0
+        keys, total = keys[seen], total[seen]
+        image = Level.image(keys, total, _inner_bits(n, shard_bits) - CONTEXT_BITS, n == 1)
+        whole = (int(total.sum()), len(total)) if n == 1 else (0, 0)
+        return _replies(n, shard, Level(image), table.column("block").to_pylist(), asked, (n, shard, None, None, None, image, *whole))
 
     return rows
 
 
-class Grams:
-    """The distinct n-grams of a block, order by order.
+def _asked(key, requests: pa.Table, images: pa.Table) -> pa.Table:
+    """A kept shard's answers to blocks of any texts."""
+    asked = [EliasFano(x.as_buffer()).decode() for x in requests.column("keys")]
+    level = Level(images.column("image")[0].as_py() if images.num_rows else EliasFano.encode(np.zeros(0, np.uint64), 1))
+    if key[0].as_py() == 1 and level.counts is None:
+        level.counts = np.zeros(0, "<u4")
+    if not asked:
+        return _replies(0, 0, level, [None], [np.zeros(0, np.uint64)], None).slice(0, 0)
+    return _replies(key[0].as_py(), key[1].as_py(), level, requests.column("block").to_pylist(), asked, None)
 
-    For order k: `back` maps a token to the n-gram that it ends and `ends` the other way, `counts` has counts over the corpus, `word` the last word
-    and `context` the distinct (k - 1)-gram before it: -1 where that would be start tokens alone, except for
-    order 2, where the start token is the word behind all others.
-    """
 
-    def __init__(self, block: Block, counts_of):
-        self.back, self.ends, self.counts, self.word, self.context = [], [], [], [], []
-        for k in range(1, counts_of.order + 1):
-            keys, back = np.unique(block.keys(k), return_inverse=True)
-            at = np.empty(len(keys), np.int64)
-            at[back] = np.arange(len(back))
-            self.back.append(back)
-            self.ends.append(at)
-            self.counts.append(counts_of(k, len(keys)))
-            self.word.append(self.back[0][at])
-            if k > 1:
-                begins = block.place[at] == 0
-                before = self.back[k - 2][np.maximum(at - 1, 0)]
-                self.context.append(np.where(begins, len(self.counts[0]) if k == 2 else -1, before))
-        ends = self.back[0][block.first[1:] - 1]
-        self.starts = int(self.counts[0][ends[0]]) if len(ends) else 0  # the end token is counted once a training document
-
-
-def block_model(grams: Grams, n: int, v: int, concentration: dict[int, float]) -> tuple[Trie, float]:
-    """The trie of the seen n-grams of a block, and log10 p of an unseen word.
-
-    p(w) = (c + 0.1) / (N + 0.1 (V + 1)); with a context h and its shorter h', p(w | h) =
-    (c(hw) + m p(w | h')) / (c(h) + m), so every context's probabilities sum to one, unseen words
-    included. A context's weight of backing off is m / (c(h) + m).
-    """
-    order = len(grams.counts)
-    m = [concentration.get(k, 30.0) for k in range(order + 2)]
-    unseen = float(np.log10(0.1 / (n + 0.1 * (v + 1))))
-    # the start token is a word behind all others: only ever a context
-    count = np.append(grams.counts[0], grams.starts)
-    p = (count + 0.1) / (n + 0.1 * (v + 1))
-    parent, word = np.zeros(len(count), np.int64), np.arange(len(count))
-    keep = np.append(grams.counts[0] > 0, True)
-    levels, n_words = [], len(count)
-    for k in range(1, order + 1):
-        if k > 1:
-            context, word, count = grams.context[k - 2], grams.word[k - 1], grams.counts[k - 1]
-            at = np.maximum(context, 0)
-            parent = np.where(context >= 0, place[at], -1)
-            shorter = p[word] if k == 2 else p[grams.back[k - 2][grams.ends[k - 1]]]
-            known = parent >= 0
-            p = np.where(known, (count + m[k] * shorter) / (before[at] + m[k]), shorter)
-            keep = known & (count > 0)
-        chosen = np.flatnonzero(keep)
-        chosen = chosen[np.lexsort((word[chosen], parent[chosen]))]
-        weight = np.log10(m[k + 1] / (count[chosen] + m[k + 1])) if k < order else np.zeros(len(chosen))
-        levels.append((parent[chosen], word[chosen], np.log10(p[chosen]), weight))
-        place = np.full(len(count), -1)
-        place[chosen] = np.arange(len(chosen))
-        before = count
-    return Trie(n_words, levels), unseen
-
-
-def score_grams(trie: Trie, grams: Grams, unseen: float) -> np.ndarray:
-    """log10 p of each token given the tokens before it: every distinct n-gram is looked up once, from its context's node."""
-    order = len(grams.counts)
-    words = np.arange(len(grams.counts[0]) + 1)
-    at = trie.find(0, np.zeros(len(words), np.int64), words)
-    best = np.where(at >= 0, trie.log_p(0, np.maximum(at, 0)), unseen)
-    for k in range(2, order + 1):
-        context, word = grams.context[k - 2], grams.word[k - 1]
-        parent = np.where(context >= 0, at[np.maximum(context, 0)], -1)
-        shorter = best[word] if k == 2 else best[grams.back[k - 2][grams.ends[k - 1]]]
-        weight = np.where(parent >= 0, trie.weight(k - 2, np.maximum(parent, 0)), 0.0)
-        at = trie.find(k - 1, parent, word)
-        seen = trie.log_p(k - 1, np.maximum(at, 0)) if len(trie.levels[k - 1][2]) else shorter
-        best = np.where(at >= 0, seen, shorter + weight)
-    return best[grams.back[order - 1]]
-
-
-class _Answers:
-    """Counts of a block's distinct n-grams, order by order, from the shards' replies."""
-
-    def __init__(self, replies: pa.Table, order: int):
-        self.replies = replies.sort_by([("n", "ascending"), ("shard", "ascending")])
-        self.which, self.order = self.replies.column("n").to_numpy(), order
-
-    def __call__(self, k: int, n: int) -> np.ndarray:
-        parts = self.replies.column("counts").filter(pa.array(self.which == k))
-        got = [np.frombuffer(zlib.decompress(x.as_py()), "<u4") for x in parts]
-        return np.concatenate(got).astype(np.int64) if got else np.zeros(n, np.int64)
-
-
-def _scored(order: int, concentration: dict[int, float]):
+@dataclass(frozen=True)
+class Model:
+    """A trie kept as a table: shards (n, shard, image, tokens, types) and what is needed to ask them."""
+
+    shards: DataFrame
+    order: int
+    shard_bits: int
+    tokens: int
+    types: int
+
+    def save(self, path: str) -> None:
+        self.shards.withColumn("order", F.lit(self.order)).withColumn("shard_bits", F.lit(self.shard_bits)).write.option("compression", "zstd").parquet(path)
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> Model:
+        found = spark.read.parquet(path)
+        total = found.agg(F.sum("tokens"), F.sum("types"), F.max("order"), F.max("shard_bits")).first()
+        return Model(found.drop("order", "shard_bits"), total[2], total[3], total[0], total[1])
+
+
+def _of_order(replies: pa.Table, which: np.ndarray, k: int, column: str, kind: str) -> np.ndarray:
+    parts = [np.frombuffer(zlib.decompress(x.as_py()), kind) for x in replies.column(column).filter(pa.array(which == k))]
+    return np.concatenate(parts) if parts else np.zeros(0, kind)
+
+
+def _scored(order: int, shard_bits: int, n: int, v: int, concentration: dict[int, float]):
     def rows(table: pa.Table, replies: pa.Table) -> pa.Table:
-        block = Block(table)
-        n, v = (int(replies.column(c).to_numpy().sum()) for c in ("tokens", "types"))
-        grams = Grams(block, _Answers(replies, order))
-        trie, unseen = block_model(grams, n, v, concentration)
-        score = score_grams(trie, grams, unseen)
-        counts = grams.counts[0][grams.back[0]]
-        base = np.log10((counts + 0.1) / (n + 0.1 * (v + 1)))
-        columns = {
-            "doc_id": table.column("doc_id"),
-            "held_out": table.column("held_out"),
-            "n_tokens": pa.array(block.counts, pa.int64()),
-            "n_known": pa.array(tb.per_doc((counts > 0).astype(np.int64), block.first)),
-            "train_tokens": pa.array([n] * table.num_rows, pa.int64()),
-            "base_score": pa.array(tb.per_doc(base, block.first)),
-            "score": pa.array(tb.per_doc(score, block.first)),
-        }
-        return pa.table(columns)
+        """Base columns and scores of a block's documents from the answers to its distinct keys, in key order."""
+        out = {c: [] for c in ("doc_id", "held_out", "n_tokens", "n_known", "base_score", "score")}
+        replies = replies.sort_by([("n", "ascending"), ("shard", "ascending")])
+        numbers = replies.column("n").to_numpy()
+        for row in table.to_pylist():
+            block = Block(row)
+            counts, before = None, None
+            for k in range(1, order + 1):
+                which, keys = block.keys(k, shard_bits)
+                back = np.unique(keys, return_inverse=True)[1]
+                count = restored(_of_order(replies, numbers, k, "codes", "<u2"))[back] if len(keys) else np.zeros(0)
+                if k == 1:
+                    counts = _of_order(replies, numbers, 1, "exact", "<u4")[back] if len(keys) else np.zeros(0)
+                    p = (count + 0.1) / (n + 0.1 * (v + 1))
+                    # the context of a document's first word is the end token, the last token of every document
+                    ends = count[block.first[1:] - 1]
+                    before = np.roll(count, 1)
+                    before[block.first[:-1]] = ends
+                else:
+                    m = concentration.get(k, 30.0)
+                    p = p.copy()
+                    p[which] = (count + m * p[which]) / (before[which] + m)
+                    longer = np.zeros(len(p))
+                    longer[which] = count
+                    before = np.roll(longer, 1)
+            out["doc_id"] += row["doc_ids"]
+            out["held_out"] += row["held_out"]
+            out["n_tokens"].append(block.counts)
+            out["n_known"].append(tb.per_doc((counts > 0).astype(np.int64), block.first))
+            out["base_score"].append(tb.per_doc(np.log10((counts + 0.1) / (n + 0.1 * (v + 1))), block.first))
+            out["score"].append(tb.per_doc(np.log10(p), block.first))
+        kinds = {"n_tokens": np.int64, "n_known": np.int64, "base_score": float, "score": float}
+        columns = {c: np.concatenate(x).astype(kinds[c]) if x else np.zeros(0, kinds[c]) for c, x in out.items() if c in kinds}
+        of = {"doc_id": pa.array(out["doc_id"], table.schema.field("doc_ids").type.value_type), "held_out": pa.array(out["held_out"], pa.bool_()), **{c: pa.array(x) for c, x in columns.items()}}
+        of["train_tokens"] = pa.array(np.full(len(of["n_tokens"]), n, np.int64))
+        return pa.table({c: of[c] for c in ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")})
 
     return rows
 
 
+def _scores(blocks: DataFrame, replies: DataFrame, model: Model, concentration: dict[int, float]) -> DataFrame:
+    kind = blocks.schema["doc_ids"].dataType.elementType.simpleString()
+    scored = _scored(model.order, model.shard_bits, model.tokens, model.types, concentration)
+    schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    return blocks.groupBy("block").cogroup(replies.select("n", "shard", "block", "codes", "exact").groupBy("block")).applyInArrow(scored, schema)
+
+
+def shard_bits_for(total_bytes: int, shard_keys: int, block_bytes: int) -> int:
+    """log2 of the number of shards: by the n-grams that blocks ask, but leaving MESSAGE_KEYS of a block's to each shard."""
+    wanted = max(1, -(-(total_bytes // 6) // shard_keys))
+    most = max(1, block_bytes // 6 // MESSAGE_KEYS)
+    return (min(wanted, most) - 1).bit_length()
+
+
+def train(docs: DataFrame, order: int = ORDER, block_bytes: int = BLOCK_BYTES, shard_keys: int = SHARD_KEYS) -> tuple[Model, DataFrame, DataFrame]:
+    """The model of docs (doc_id, text), their packed blocks, and the model's answers to these blocks; all written tables."""
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = shard_bits_for(total, shard_keys, block_bytes)
+    blocks = packed_blocks(docs, block_bytes)
+    made = store.written(requests(blocks, order, bits).groupBy("n", "shard").applyInArrow(_built(bits), REPLIES), "levels")
+    shards = made.where("block is null").select("n", "shard", "image", "tokens", "types")
+    size = shards.agg(F.sum("tokens"), F.sum("types")).first()
+    return Model(shards, order, bits, size[0] or 0, size[1] or 0), blocks, made.where("block is not null")
+
+
+def score(docs: DataFrame, model: Model, block_bytes: int = BLOCK_BYTES, concentration: dict[int, float] = CONCENTRATION) -> DataFrame:
+    """lm_scores of docs by a model that was trained, or saved and loaded, before; train_tokens are the model's."""
+    blocks = packed_blocks(docs, block_bytes)
+    asked = requests(blocks, model.order, model.shard_bits).groupBy("n", "shard")
+    replies = asked.cogroup(model.shards.select("n", "shard", "image").groupBy("n", "shard")).applyInArrow(_asked, REPLIES)
+    return _scores(blocks, replies, model, concentration)
+
+
 def lm_scores(docs: DataFrame, order: int = ORDER, block_bytes: int = BLOCK_BYTES, shard_keys: int = SHARD_KEYS, concentration: dict[int, float] = CONCENTRATION) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row of docs (doc_id, text).
 
-    The model of order n is learnt from all documents whose crc32(doc_id as text) mod 10 is not 0.
-    Documents are dealt into blocks by a hash. A block sends the sorted, distinct keys of its n-grams with
-    their training counts, Elias-Fano coded, to shards by key range; a shard adds up the counts of all blocks
-    and answers each. The block then builds the part of the model that its texts can touch as a trie of
-    smoothed probabilities, maps it into memory, and scores its documents. What a task holds depends on
-    block_bytes and shard_keys only (and the longest text); hot n-grams are one key for each block.
-    n-gram keys are 56-bit hashes of tokens' 64-bit hashes. Null texts are empty and have the end
-    token alone; a null doc_id is in training. Repeated rows count and score as often as they stand.
+    The model of order n is learnt from all documents whose crc32(doc_id as text) mod 10 is not 0:
+    p(w) = (c + 0.1) / (N + 0.1 (V + 1)); with a context h and its shorter h', p(w | h) = (c(hw) + m p(w | h')) /
+    (c(h) + m), so every context's probabilities sum to one, unseen words included. Counts are read from the trie, quantised.
+
+    Documents are packed into blocks. A block sends the sorted, distinct keys of its n-grams with
+    their training counts, Elias-Fano coded, to shards by key range; a shard adds up the counts of all blocks,
+    becomes a part of the trie, as bytes in a written table, and answers each block by searching these bytes. A block's
+    message holds MESSAGE_KEYS n-grams on average at least, so what is exchanged follows the n-grams of the corpus. What
+    a task holds depends on block_bytes and shard_keys (and the longest text); hot n-grams are one key for each block, and a
+    frequent context's children lie in all shards. Keys are hashes: of 56 bits for words, else of 40 and the shard's.
+    Null texts are empty and have the end token alone; a null doc_id is in training. Repeated rows
+    count and score as often as they stand. Ties don't arise; other columns are not read.
     """
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-total // block_bytes))
-    shards = max(1, -(-(total // 6) // shard_keys))
-    kind = dict(docs.dtypes)["doc_id"]
-    dealt = packed_blocks(docs, int(blocks))
-    asked = dealt.groupBy("block").applyInArrow(_requests(order, int(shards)), "n int, shard int, block int, keys binary, counts binary")
-    replies = asked.groupBy("n", "shard").applyInArrow(_total(int(blocks)), "block int, n int, shard int, counts binary, tokens long, types long")
-    return dealt.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(_scored(order, concentration), f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    model, blocks, replies = train(docs, order, block_bytes, shard_keys)
+    return _scores(blocks, replies, model, concentration)

@@ -23,6 +23,22 @@ def test_elias_fano(n, top):
     assert (sequence.access(at) == values[at]).all()
 
 
+@pytest.mark.parametrize("n", [0, 1, 40, 5000])
+def test_level_in_a_memory_map(n, tmp_path):
+    """Successor search in a mapped file finds all children and none that aren't there, in dense contexts too."""
+    rng = np.random.default_rng(n)
+    keys = np.unique(np.concatenate([rng.integers(0, 1 << 40, n), rng.integers(0, 1 << 23, n)]).astype(np.uint64))
+    counts = rng.integers(1, 900, len(keys))
+    (tmp_path / "level").write_bytes(ngrams.Level.image(keys, counts, 22, True))
+    level = ngrams.Level(np.memmap(tmp_path / "level", np.uint8, "r"))
+    assert (level.find(keys) == np.arange(len(keys))).all()
+    assert (ngrams.restored(level.codes) == counts).all() and (level.counts == counts).all()
+    others = np.setdiff1d(np.concatenate([rng.integers(0, 1 << 40, 2000).astype(np.uint64), keys + np.uint64(1)]), keys)
+    assert (level.find(others[others < 1 << 40]) == -1).all()
+    highs = np.arange(0, 1 << 18, 997)
+    assert (level.keys.before(highs) == np.searchsorted(keys >> np.uint64(22), highs.astype(np.uint64))).all()
+
+
 def brute(rows, order, m):
     docs = [re.findall(BLANK, (t or "").translate(AZ)) + [None] for _, t in rows]
     held = [d is not None and zlib.crc32(str(d).encode()) % 10 == 0 for d, _ in rows]
@@ -66,3 +82,42 @@ def test_empty(spark):
     assert ngrams.lm_scores(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     one = ngrams.lm_scores(spark.createDataFrame([(0, None), (1, None)], "doc_id long, text string")).collect()
     assert [r.n_tokens for r in one] == [1, 1]
+
+
+def _words(n, seed):
+    rng = np.random.default_rng(seed)
+    return [(i, " ".join(f"w{x}" for x in rng.zipf(1.3, 300) % 5000)) for i in range(n)]
+
+
+def test_kept_model_scores_other_texts(spark, tmp_path):
+    """A saved and loaded model gives texts that it hasn't seen the scores of a dictionary of the same counts."""
+    docs = spark.createDataFrame(_words(60, 1), "doc_id long, text string")
+    model, _, _ = ngrams.train(docs, block_bytes=20_000, shard_keys=3_000)
+    model.save(str(tmp_path / "model"))
+    kept = ngrams.Model.load(spark, str(tmp_path / "model"))
+    assert kept.shard_bits > 0 and (kept.tokens, kept.types) == (model.tokens, model.types)
+    again = [(r.doc_id, r.text) for r in docs.collect()]
+    new = [(1000, "w1 w2 never seen before"), (1010, None), (None, "w1 w1 w1")] + again
+    got = {r.doc_id: r for r in ngrams.score(spark.createDataFrame(new, "doc_id long, text string"), kept, block_bytes=20_000).collect()}
+    # texts to be scored must not train: hold them out of the brute force by ids that fall in fold 0
+    held = [i for i in range(10_000, 10_200) if zlib.crc32(str(i).encode()) % 10 == 0][:3]
+    want = {r[0]: r for r in brute(again + [(h, t) for h, (_, t) in zip(held, new)], 3, ngrams.CONCENTRATION)}
+    for h, (d, _) in zip(held, new):
+        assert (got[d].n_tokens, got[d].n_known, got[d].train_tokens) == want[h][2:5]
+        assert abs(got[d].score - want[h][6]) < 6e-4 * got[d].n_tokens and abs(got[d].base_score - want[h][5]) < 1e-6
+    assert all(abs(got[d].score - want[d][6]) < 6e-4 * got[d].n_tokens for d, _ in again)
+
+
+def test_messages_follow_ngrams(spark):
+    """Four times the texts, four times the rows exchanged, and never more than one for MESSAGE_KEYS n-grams and one a block and order."""
+    told = []
+    for n in (40, 160):
+        docs = spark.createDataFrame(_words(n, 2), "doc_id long, text string").coalesce(1)
+        total = sum(len(t) for _, t in _words(n, 2))
+        bits = ngrams.shard_bits_for(total, 10, 8_000)
+        asked = ngrams.requests(ngrams.packed_blocks(docs, 8_000), 3, bits).cache()
+        keys = sum(ngrams.EliasFano(bytes(r.keys)).n for r in asked.select("keys").collect())
+        told.append((asked.count(), keys))
+    (few, few_keys), (many, many_keys) = told
+    assert many / few < 1.1 * many_keys / few_keys
+    assert all(rows <= 2 * keys / ngrams.MESSAGE_KEYS for rows, keys in told)
