@@ -19,50 +19,48 @@ def _words(line: Column) -> Column:
     return F.regexp_count(line, F.lit(r"[^ \t-\r]+"))
 
 
-def _blanks(line: Column) -> Column:
-    """Blanks and tabs of a line and one more: its words, where they stand apart by one each."""
-    return F.length(line) - F.length(F.replace(F.replace(line, F.lit(" "), F.lit("")), F.lit("\t"), F.lit(""))) + 1
-
-
 def _least(counts: Column) -> Column:
-    """How many of the first lines make a chunk that counts: two or more, with CHUNK_WORDS; more than there are if none do."""
+    """How many of the first lines make a chunk that counts: two or more, with CHUNK_WORDS; 0 if none do."""
     start = F.struct(F.lit(0).alias("s"), F.lit(0).alias("n"))
     full = lambda a: (a["n"] > 1) & (a["s"] >= CHUNK_WORDS)
     met = F.aggregate(counts, start, lambda a, c: F.when(full(a), a).otherwise(F.struct((a["s"] + c).alias("s"), (a["n"] + 1).alias("n"))))
-    return F.when(full(met), met["n"]).otherwise(CHUNK_WORDS + 1)
+    return F.when(full(met), met["n"]).otherwise(0)
 
 
 def _spans() -> Column:
     """The shortest chunk that counts from each line on, and the shortest that ends with each; long lines by themselves.
 
-    The lines of a chunk alone decide on it, so a repeated passage of several lines with CHUNK_WORDS has its
-    lines in such chunks wherever it stands: a line too near its end to start one lies in the one that ends there.
-    A line has a word at least, so a chunk has CHUNK_WORDS lines at most.
+    Chunks begin and end with lines that have words; `counts` has these lines' words and `at` their places, so
+    a chunk has CHUNK_WORDS of them at most, and blank lines between them belong to it. The lines of a chunk alone
+    decide on it, so a repeated passage of several lines with CHUNK_WORDS has its lines in such chunks
+    wherever it stands: a line too near its end to start one lies in the one that ends there.
     """
-    lines = F.sequence(F.lit(0), F.size("counts") - 1)
-    span = lambda start, n: start.cast("long") * _SPAN + n
-    onward = F.transform(lines, lambda i: span(i, F.least(_least(F.slice("counts", i + 1, F.lit(CHUNK_WORDS))), F.size("counts") - i)))
-    back = F.transform(lines, lambda i: F.least(_least(F.reverse(F.slice("counts", F.greatest(i + 2 - CHUNK_WORDS, F.lit(1)), F.least(i + 1, F.lit(CHUNK_WORDS))))), i + 1))
-    ended = F.transform(back, lambda n, i: span(i + 1 - n, n))
+    lines = F.when(F.size("counts") > 0, F.sequence(F.lit(0), F.size("counts") - 1)).otherwise(F.array().cast("array<int>"))
+    span = lambda i, n: F.when(n > 0, F.get("at", i).cast("long") * _SPAN + F.get("at", i + n - 1) - F.get("at", i) + 1)
+    onward = F.transform(lines, lambda i: _least(F.slice("counts", i + 1, F.lit(CHUNK_WORDS))))
+    back = F.transform(lines, lambda i: _least(F.reverse(F.slice("counts", F.greatest(i + 2 - CHUNK_WORDS, F.lit(1)), F.least(i + 1, F.lit(CHUNK_WORDS))))))
     alone = F.transform(F.filter(lines, lambda i: F.get("counts", i) >= PASSAGE_WORDS), lambda i: span(i, F.lit(1)))
-    return F.concat(onward, ended, alone)
+    both = F.concat(F.transform(onward, lambda n, i: span(i, n)), F.transform(back, lambda n, i: span(i + 1 - n, n)), alone)
+    return F.array_distinct(F.filter(both, lambda s: s.isNotNull()))
+
+
+def _start(span: Column) -> Column:
+    return F.shiftright(span, 31).cast("int")
 
 
-def _heavy(span: Column) -> Column:
-    """Whether a span has the words to count: CHUNK_WORDS over several lines, or PASSAGE_WORDS in one."""
-    start, n = F.shiftright(span, 31).cast("int"), span.bitwiseAND(_SPAN - 1).cast("int")
-    weight = F.aggregate(F.slice("counts", start + 1, n), F.lit(0), lambda a, c: a + c)
-    return F.when(n > 1, weight >= CHUNK_WORDS).otherwise(weight >= PASSAGE_WORDS)
+def _length(span: Column) -> Column:
+    return span.bitwiseAND(_SPAN - 1).cast("int")
 
 
 def chunks(docs: DataFrame) -> DataFrame:
-    """(doc_id, th, start, n, chunk): the shortest chunks that count, with the hash of its line hashes; one scan."""
+    """(doc_id, th, start, n, chunk): the shortest chunks that count, with the hash of its line hashes; one scan, narrow rows."""
     lines = docs.select("doc_id", F.xxhash64("text").alias("th"), F.split(F.coalesce("text", F.lit("")), "\n", -1).alias("lines"))
-    base = lines.select("doc_id", "th", F.transform("lines", lambda x: F.xxhash64(x)).alias("hashes"), F.transform("lines", _blanks).alias("counts"))
-    spans = F.filter(F.array_distinct(_spans()), _heavy)
-    spread = base.select("doc_id", "th", "hashes", F.explode(spans).alias("span"))
-    placed = spread.select("doc_id", "th", "hashes", F.shiftright("span", 31).cast("int").alias("start"), F.col("span").bitwiseAND(_SPAN - 1).cast("int").alias("n"))
-    return placed.select("doc_id", "th", "start", "n", F.xxhash64(F.slice("hashes", F.col("start") + 1, F.col("n")), "n").alias("chunk"))
+    base = lines.select("doc_id", "th", F.transform("lines", lambda x: F.xxhash64(x)).alias("hashes"), F.transform("lines", _words).alias("words"))
+    filled = F.filter(F.transform("words", lambda c, i: F.when(c > 0, i)), lambda i: i.isNotNull())
+    base = base.select("doc_id", "th", "hashes", F.filter("words", lambda c: c > 0).alias("counts"), filled.alias("at"))
+    spans = base.select("doc_id", "th", "hashes", _spans().alias("spans"))
+    hashed = lambda s: F.struct(_start(s).alias("start"), _length(s).alias("n"), F.xxhash64(F.slice("hashes", _start(s) + 1, _length(s)), _length(s)).alias("chunk"))
+    return spans.select("doc_id", "th", F.explode(F.transform("spans", hashed)).alias("c")).select("doc_id", "th", "c.*")
 
 
 def _key(doc_id: str = "doc_id", th: str = "th") -> Column:
@@ -83,8 +81,9 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
 
     held = again.groupBy("doc_id", "th").agg(F.collect_set(F.struct("start", "n", "chunk")).alias("spans"))
     texts = docs.select(F.col("doc_id").alias("_d"), F.xxhash64("text").alias("_t"), "text")
-    cut = texts.join(held, F.col("_d").eqNullSafe(F.col("doc_id")) & (F.col("_t") == F.col("th"))).select(F.split("text", "\n", -1).alias("lines"), F.explode("spans").alias("c"))
-    strings = cut.groupBy(F.col("c.chunk").alias("chunk"), F.array_join(F.slice("lines", F.col("c.start") + 1, F.col("c.n")), "\n").alias("bytes")).agg(F.lit(1).alias("one"))
+    cut = texts.join(held, F.col("_d").eqNullSafe(F.col("doc_id")) & (F.col("_t") == F.col("th"))).select(F.split("text", "\n", -1).alias("lines"), "spans")
+    cut = cut.select(F.explode(F.transform("spans", lambda c: F.struct(c["chunk"].alias("chunk"), F.array_join(F.slice("lines", c["start"] + 1, c["n"]), "\n").alias("bytes")))).alias("c"))
+    strings = cut.groupBy("c.chunk", "c.bytes").agg(F.lit(1).alias("one"))
     proven = strings.groupBy("chunk").agg(F.sum("one").alias("k")).where("k = 1").select("chunk")
     first = store.written(again.groupBy("chunk").agg(F.min(_key()).alias("first")).join(proven, "chunk"), "first")
     # of lines that repeat themselves, what overlaps the first occurrence stays with it
@@ -96,15 +95,25 @@ def _gone(docs: DataFrame) -> DataFrame:
     return repeated_chunks(docs).groupBy(F.col("doc_id").alias("_d"), F.col("th").alias("_t")).agg(F.collect_set(F.struct("start", "n")).alias("_gone"))
 
 
-def _lost(i: Column) -> Column:
-    return F.exists("_gone", lambda g: (i >= g["start"]) & (i < g["start"] + g["n"]))
+def _places(gone: str = "_gone") -> Column:
+    """The distinct places of lines inside removed spans, by a hash set: linear in lines and spans."""
+    return F.array_distinct(F.flatten(F.transform(gone, lambda g: F.sequence(g["start"], g["start"] + g["n"] - 1))))
+
+
+def _others(lines: str) -> Column:
+    """The places of the lines that stay."""
+    return F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), _places())
+
+
+def _at(places: Column, values: str) -> Column:
+    return F.transform(places, lambda i: F.get(values, i))
 
 
 def line_report(docs: DataFrame) -> DataFrame:
     """What dedup_lines takes from each document, without the texts: doc_id, n_lines, n_words, n_removed, removed_words."""
     counts = docs.select("doc_id", F.xxhash64("text").alias("th"), F.transform(F.split(F.coalesce("text", F.lit("")), "\n", -1), _words).alias("counts"))
     met = counts.join(_gone(docs), F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("th") == F.col("_t")), "left")
-    taken = F.when(F.col("_gone").isNull(), F.array().cast("array<int>")).otherwise(F.filter("counts", lambda c, i: _lost(i)))
+    taken = F.when(F.col("_gone").isNull(), F.array().cast("array<int>")).otherwise(_at(_places(), "counts"))
     total = lambda xs: F.aggregate(xs, F.lit(0), lambda a, x: a + x).cast("long")
     return met.select("doc_id", F.size("counts").cast("long").alias("n_lines"), total("counts").alias("n_words"), F.size(taken).cast("long").alias("n_removed"), total(taken).alias("removed_words"))
 
@@ -113,9 +122,9 @@ def _cleaned(docs: DataFrame) -> DataFrame:
     """docs as the struct _row, with the new text and the array of lines taken out."""
     whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"))
     met = whole.join(_gone(docs), F.col("_row.doc_id").eqNullSafe(F.col("_d")) & (F.xxhash64("_row.text") == F.col("_t")), "left")
-    lines = F.split("_row.text", "\n", -1)
-    left = F.when(F.col("_gone").isNull(), F.col("_row.text")).otherwise(F.array_join(F.filter(lines, lambda x, i: ~_lost(i)), "\n"))
-    taken = F.when(F.col("_gone").isNull(), F.array().cast("array<string>")).otherwise(F.filter(lines, lambda x, i: _lost(i)))
+    met = met.select("_row", "_gone", F.when(F.col("_gone").isNotNull(), F.split("_row.text", "\n", -1)).alias("_lines"))
+    left = F.when(F.col("_gone").isNull(), F.col("_row.text")).otherwise(F.array_join(_at(_others("_lines"), "_lines"), "\n"))
+    taken = F.when(F.col("_gone").isNull(), F.array().cast("array<string>")).otherwise(_at(_places(), "_lines"))
     return met.select("_row", left.alias("_text"), taken.alias("_taken"))
 
 
@@ -125,8 +134,10 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     A chunk of several lines with CHUNK_WORDS, or a single line of PASSAGE_WORDS, is removed where its bytes
     occur in an earlier document or place; its first occurrence stays. Columns of these three names are replaced.
     Texts without a repeated chunk come through unchanged, and null stays null with one empty line.
+    Words are runs of non-blanks, so indentation has no weight and a blank line adds nothing.
     Rows of one doc_id and text are one document: they keep or lose the same lines. Null doc_ids are
-    one document each by text. Long texts are arrays of lines in one row, never gathered from others.
+    one document each by text; an empty table gives an empty one. Which occurrence is first is decided by doc_id, then
+    the hash of the text, then the place. Long texts are arrays of lines in one row, never gathered from others.
     """
     added = {
         "n_lines": F.size(F.split(F.coalesce("_row.text", F.lit("")), "\n", -1)).cast("long"),
