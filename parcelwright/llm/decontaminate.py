@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from parcelwright.sources import workspace as store
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Runs of ASCII characters that are neither letters nor digits.
 GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: The same class for texts whose case was kept.
 RAW_GAP = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"
-#: A window table of at most this many rows (hash, width and position lists) is sent to every executor.
-BROADCAST_WINDOWS = 200_000
+#: Sets of at most this many window hashes (8 bytes), or of documents that hold some (two numbers), are sent to every executor.
+BROADCAST_ROWS = 2_000_000
 
 
 def words(text: Column) -> Column:
@@ -19,67 +21,99 @@ def words(text: Column) -> Column:
     return F.filter(F.split(folded, GAPS), lambda w: w != "")
 
 
-def _window(ws: Column, at: Column, width: int) -> Column:
-    return F.xxhash64(F.slice(ws, at, width))
+def _joined(left: Column, right: Column, gap: int) -> Column:
+    """Hash of each entry of left with the entry of right `gap` places on."""
+    return F.zip_with(left, F.slice(right, gap + 1, F.size(right)), lambda a, b: F.xxhash64(a, b))
+
 
+def _placed(w: int):
+    return lambda x, i: F.struct(F.xxhash64(x, F.lit(w)).alias("window"), F.lit(w).alias("w"), i.alias("at"))
 
-def _starts(ws: Column, width: int) -> Column:
-    """1, 2, ... of the windows of that width; empty where there is none."""
-    last = F.size(ws) - (width - 1)
-    return F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
 
+def hashed_windows(rows: DataFrame, widths: list[int], keep: list[str]) -> DataFrame:
+    """rows with `windows`: for each width, the struct (window, w, at) of every run of that many words in `ws`.
 
-def _hashed(ws: Column, width: int) -> Column:
-    return F.transform(_starts(ws, width), lambda i: F.struct(_window(ws, i, width).alias("window"), F.lit(width).alias("w"), (i - 1).alias("at")))
+    Words are hashed once; hashes of 2, 4, 8 words come from two halves each, and other widths from these, so a
+    window costs a few steps whatever its width. The width is part of the hash.
+    """
+    held = rows.select(*keep, F.size("ws").alias("_n"), F.transform("ws", lambda w: F.xxhash64(w)).alias("_h1"))
+    most = 1
+    while 2 * most <= max(widths, default=1):
+        held = held.select("*", _joined(F.col(f"_h{most}"), F.col(f"_h{most}"), most).alias(f"_h{2 * most}"))
+        most *= 2
+    parts = []
+    for w in widths:
+        halves = [1 << k for k in range(w.bit_length() - 1, -1, -1) if w >> k & 1]
+        done = halves[0]
+        whole = F.col(f"_h{done}")
+        for k, half in enumerate(halves[1:]):
+            name = f"_w{w}_{k}"
+            held = held.select("*", _joined(whole, F.col(f"_h{half}"), done).alias(name))
+            whole, done = F.col(name), done + half
+        full = F.slice(whole, F.lit(1), F.greatest(F.col("_n") - (w - 1), F.lit(0)))
+        parts.append(F.transform(full, _placed(w)))
+    none = F.array().cast("array<struct<window:bigint,w:int,at:int>>")
+    return held.select(*keep, F.concat(none, *parts).alias("windows"))
 
 
 def benchmark_windows(benchmark: DataFrame, width: int = 10) -> DataFrame:
-    """(window, width, phrase, items): distinct windows of the items, each with the items that hold it.
+    """(window, w, phrase, item): each window of each item, once.
 
     An item with fewer words than width, but not none, is one window of its own width.
     """
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), words(F.col("text")).alias("ws")).where(F.size("ws") > 0)
-    short = F.least(F.size("ws"), F.lit(width))
-    one = items.select("item", short.alias("width"), F.explode(F.transform(F.sequence(F.lit(1), F.size("ws") - short + 1), lambda i: F.slice("ws", i, short))).alias("ph"))
-    return one.groupBy(F.xxhash64("ph").alias("window"), "width", F.array_join("ph", " ").alias("phrase")).agg(F.collect_set("item").alias("items"))
+    full = hashed_windows(items.where(F.size("ws") >= width), [width], ["item", "ws"])
+    few = hashed_windows(items.where(F.size("ws") < width), list(range(1, width)), ["item", "ws"])
+    few = few.withColumn("windows", F.filter("windows", lambda x: x["w"] == F.size("ws")))
+    spread = full.unionByName(few).select("item", "ws", F.explode("windows").alias("x"))
+    return spread.select("x.window", "x.w", F.array_join(F.slice("ws", F.col("x.at") + 1, F.col("x.w")), " ").alias("phrase"), "item").distinct()
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """One row a document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, hits.
 
-    hits lists (start, width) of each occurrence of a benchmark window, start counted from 0. Each document
-    becomes an array of window hashes in one scan. While the window table has at most `broadcast_windows`
-    rows, the exploded hashes meet it in a broadcast hash join, and only hits and one marker row of each
-    document are shuffled; beyond that, hashes and places are shuffled to a larger table. Hash hits are verified
-    against the window's own words. Null and empty texts have no words. Rows of equal doc_id and text count as one
-    document and give one row each. A table without items marks nothing; an
-    item without an id marks words, and is not among the items counted.
+    hits lists (start, width) of each occurrence of a benchmark window, start counted from 0. A scan turns each
+    document into narrow rows (window hash, place) that meet the set of the benchmark's window hashes: sent to all
+    executors up to `broadcast_rows` hashes of 8 bytes, shuffled beyond. What is met is few: these documents are read
+    again, and their words are compared with the windows' own, then joined with the items. Null and empty texts
+    have no words. Rows of equal doc_id and text count as one document and give one row each. A table without
+    items marks nothing; an item without an id marks words, and is not among the items counted. A long text is an array of
+    hashes in one row; work is linear in it. Only doc_id and text are read, so other columns may have any name.
     """
-    found = benchmark_windows(benchmark, width)
-    sizes = sorted((r.width, r.n) for r in found.groupBy("width").agg(F.count("*").alias("n")).collect())  # at most `width` rows
-    table = found.select("window", F.col("width").alias("w"), "phrase", "items")
-    parts = [_hashed(F.col("ws"), k) for k, _ in sizes]
+    table = store.written(benchmark_windows(benchmark, width), "windows")
+    sizes = sorted((r.w, r.n) for r in table.groupBy("w").agg(F.count_distinct("window").alias("n")).collect())  # at most `width` rows
+    hashes = table.select(F.col("window").alias("_known")).distinct()
     rows = docs.select("doc_id", F.xxhash64("text").alias("th"), words(F.col("text")).alias("ws"))
-    same = F.col("phrase") == F.array_join(F.slice("ws", F.col("at") + 1, F.col("w")), " ")
-    if sum(n for _, n in sizes) <= broadcast_windows:
-        marker = F.array(F.struct(F.lit(None).cast("long").alias("window"), F.lit(0).alias("w"), F.lit(-1).alias("at")))
-        spread = rows.select("doc_id", "th", "ws", F.explode(F.concat(marker, *parts)).alias("x")).select("doc_id", "th", "ws", "x.*")
-        met = spread.join(F.broadcast(table), ["window", "w"], "left").where((F.col("at") < 0) | same)
-        slim = met.select("doc_id", "th", F.when(F.col("at") < 0, F.size("ws")).alias("n"), "at", "w", "items")
+    widths = [w for w, _ in sizes]
+    if sum(n for _, n in sizes) <= broadcast_rows:
+        # one scan gives a marker row of each document and its windows
+        marker = F.array(F.struct(F.lit(None).cast("long").alias("window"), F.size("ws").alias("w"), F.lit(-1).alias("at")))
+        spread = hashed_windows(rows.select("doc_id", "th", "ws", marker.alias("marker")), widths, ["doc_id", "th", "marker"])
+        narrow = spread.select("doc_id", "th", F.explode(F.concat("marker", "windows")).alias("x")).select("doc_id", "th", "x.*")
+        met = narrow.join(F.broadcast(hashes), narrow["window"] == F.col("_known"), "left").where((F.col("at") < 0) | F.col("_known").isNotNull()).drop("_known")
     else:
-        spread = rows.select("doc_id", "th", F.explode(F.concat(*parts)).alias("x")).select("doc_id", "th", "x.*")
-        met = spread.join(table, ["window", "w"]).groupBy("doc_id", "th").agg(F.collect_set(F.struct("at", "w", "phrase", "items")).alias("x"))
-        words_of = rows.select(F.col("doc_id").alias("_d"), F.col("th").alias("_t"), "ws").dropDuplicates(["_d", "_t"])
-        held = met.join(words_of, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("th") == F.col("_t"))).select("doc_id", "th", "ws", F.explode("x").alias("x"))
-        hits = held.select("doc_id", "th", "ws", "x.*").where(same).select("doc_id", "th", F.lit(None).cast("int").alias("n"), "at", "w", "items")
-        none = F.lit(None).cast(hits.schema["items"].dataType).alias("items")
-        slim = rows.select("doc_id", "th", F.size("ws").alias("n"), F.lit(-1).alias("at"), F.lit(0).alias("w"), none).unionByName(hits)
-    grouped = slim.groupBy("doc_id", "th").agg(
-        F.max("n").cast("long").alias("n_words"),
-        F.count("n").alias("copies"),
-        F.array_sort(F.collect_set(F.when(F.col("at") >= 0, F.struct(F.col("at").alias("start"), F.col("w").alias("width"))))).alias("hits"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("ids"),
-    )
+        narrow = hashed_windows(rows, widths, ["doc_id", "th"]).select("doc_id", "th", F.explode("windows").alias("x")).select("doc_id", "th", "x.*")
+        met = narrow.join(hashes, narrow["window"] == F.col("_known"), "left_semi")
+        met = rows.select("doc_id", "th", F.lit(None).cast("long").alias("window"), F.size("ws").alias("w"), F.lit(-1).alias("at")).unionByName(met)
+    met = store.written(met, "met")
+    of_doc = met.where("at < 0").groupBy("doc_id", "th").agg(F.max("w").cast("long").alias("n_words"), F.count("*").alias("copies"))
+    held = met.where("at >= 0").groupBy("doc_id", "th").agg(F.collect_set(F.struct("window", "w", "at")).alias("x"))
+    some = store.written(met.where("at >= 0").select(F.col("doc_id").alias("_s"), F.col("th").alias("_u")).distinct(), "some")
+    texts = docs.select(F.col("doc_id").alias("_d"), F.xxhash64("text").alias("_t"), "text")
+    if some.count() <= broadcast_rows:
+        texts = texts.join(F.broadcast(some), F.col("_d").eqNullSafe(F.col("_s")) & (F.col("_t") == F.col("_u")), "left_semi")
+    texts = texts.select("_d", "_t", words(F.col("text")).alias("ws"))
+    again = texts.join(held, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("th") == F.col("_t")))
+    phrased = F.transform("x", lambda x: F.struct(x["window"].alias("window"), x["w"].alias("w"), x["at"].alias("at"), F.array_join(F.slice("ws", x["at"] + 1, x["w"]), " ").alias("phrase")))
+    cut = again.select("doc_id", "th", F.explode(phrased).alias("x")).select("doc_id", "th", "x.*").distinct()
+    proven = store.written(cut.join(table.select("window", "w", "phrase").distinct(), ["window", "w", "phrase"]), "hits")
+    ids = proven.select("doc_id", "th", "window", "w", "phrase").distinct().join(table, ["window", "w", "phrase"]).groupBy("doc_id", "th").agg(F.array_sort(F.collect_set("item")).alias("ids"))
+    hits = proven.groupBy("doc_id", "th").agg(F.array_sort(F.collect_set(F.struct(F.col("at").alias("start"), F.col("w").alias("width")))).alias("hits"))
+    key = lambda df, name: df.select(F.col("doc_id").alias(f"{name}_d"), F.col("th").alias(f"{name}_t"), name)
+    same = lambda name: F.col("doc_id").eqNullSafe(F.col(f"{name}_d")) & (F.col("th") == F.col(f"{name}_t"))
+    none_hit, none_id = F.array().cast("array<struct<start:int,width:int>>"), F.array().cast("array<string>")
+    grouped = of_doc.join(key(hits, "hits"), same("hits"), "left").join(key(ids, "ids"), same("ids"), "left")
+    grouped = grouped.select("doc_id", "th", "n_words", "copies", F.coalesce("hits", none_hit).alias("hits"), F.coalesce("ids", none_id).alias("ids"))
     zero = F.struct(F.lit(0).alias("end"), F.lit(0).alias("n"))
 
     def cover(acc, hit):
@@ -94,17 +128,25 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, broadc
 def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 10, spans: bool = False) -> DataFrame:
     """docs without the documents that hold a benchmark window or, with spans, with those words cut from their texts.
 
-    Cutting puts one blank for each run of hit words and what stands between them. Columns stay as they are;
-    rows of documents without a hit come through unchanged.
+    Cutting puts one blank for each run of hit words and what stands between them. Columns stay as they are, whatever
+    their names; rows of documents without a hit come through unchanged. Rows of equal doc_id and text stay or go
+    together; null and empty texts, and all rows if the benchmark is empty, stay. Texts of any length are judged whole.
     """
-    bad = contamination(docs, benchmark, width).where("contaminated")
+    bad = contamination(docs.select("doc_id", "text"), benchmark, width).where("contaminated")
     marks = bad.select(F.col("doc_id").alias("_hit_doc"), F.col("th").alias("_hit_text"), F.col("hits").alias("_hits")).dropDuplicates(["_hit_doc", "_hit_text"])
-    key = [docs["doc_id"].eqNullSafe(F.col("_hit_doc")), F.xxhash64(docs["text"]) == F.col("_hit_text")]
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"))
+    key = F.col("_row.doc_id").eqNullSafe(F.col("_hit_doc")) & (F.xxhash64("_row.text") == F.col("_hit_text"))
     if not spans:
-        return docs.join(marks, key, "left_anti")
-    got = docs.join(marks, key, "left")
-    pieces = F.regexp_extract_all("text", F.lit(f"[{RAW_GAP}]*[^{RAW_GAP}]+"), F.lit(0))
-    tail = F.regexp_extract("text", rf"([{RAW_GAP}]*)\z", 1)
-    inside = lambda i: F.exists("_hits", lambda h: (i >= h["start"]) & (i < h["start"] + h["width"]))
-    cut = F.concat(F.array_join(F.transform(pieces, lambda p, i: F.when(inside(i), F.when(inside(i + 1), "").otherwise(" ")).otherwise(p)), ""), tail)
-    return got.select(*(F.when(F.col("_hits").isNotNull(), cut).otherwise(F.col("text")).alias("text") if c == "text" else docs[c] for c in docs.columns))
+        gone = store.written(marks.drop("_hits"), "gone")
+        return whole.join(F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone, key, "left_anti").select("_row.*")
+    got = whole.join(marks, key, "left")
+    pieces = F.regexp_extract_all("_row.text", F.lit(f"[{RAW_GAP}]*[^{RAW_GAP}]+"), F.lit(0))
+    tail = F.regexp_extract("_row.text", rf"([{RAW_GAP}]*)\z", 1)
+    places = F.array_distinct(F.flatten(F.transform("_hits", lambda h: F.sequence(h["start"], h["start"] + h["width"] - 1))))
+    got = got.select("_row", "_hits", F.when(F.col("_hits").isNotNull(), pieces).alias("_pieces"), F.when(F.col("_hits").isNotNull(), tail).alias("_tail"), F.array_sort(places).alias("_places"))
+    # a run of hit words leaves one blank, at its last word
+    blanks = F.array_except(F.col("_places"), F.transform("_places", lambda i: i - 1))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("_pieces") - 1), F.col("_places"))
+    parts = F.array_sort(F.concat(F.transform(stay, lambda i: F.struct(i.alias("i"), F.get("_pieces", i).alias("p"))), F.transform(blanks, lambda i: F.struct(i.alias("i"), F.lit(" ").alias("p")))))
+    cut = F.concat(F.array_join(F.transform(parts, lambda x: x["p"]), ""), F.col("_tail"))
+    return got.select(*(F.when(F.col("_hits").isNotNull(), cut).otherwise(F.col("_row.text")).alias("text") if c == "text" else F.col(f"_row.`{c}`") for c in docs.columns))

@@ -39,13 +39,15 @@ def test_contamination(spark, sf_dir):
                     ids |= found
         want[d, len(w), len(hit), len(ids), hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest(), bool(hit)] += 1
     assert got == want
-    shuffled = decontaminate.contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), broadcast_windows=0)
+    shuffled = decontaminate.contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), broadcast_rows=0)
     assert Counter((r.doc_id, r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in shuffled.collect()) == want
 
 
 def test_decontaminate_keeps_the_rest(spark):
     item = "one two three four five six seven eight nine ten eleven"
-    docs = spark.createDataFrame([(1, f"Before, {item.upper()}! after."), (2, "clean text."), (3, None), (4, item)], "doc_id long, text string").withColumn("n_words", F.lit("mine"))
+    docs = spark.createDataFrame([(1, f"Before, {item.upper()}! after."), (2, "clean text."), (3, None), (4, item)], "doc_id long, text string")
+    for name in ("n_words", "_hits", "_hit_doc", "_hit_text", "_row", "ws", "th", "window", "_known", "item", "phrase", "a.b"):
+        docs = docs.withColumn(name, F.lit("mine"))
     bench = spark.createDataFrame([(5, item)], "item_id long, text string")
     assert sorted(r.doc_id for r in decontaminate.decontaminate(docs, bench).collect()) == [2, 3]
     cut = {r.doc_id: r.text for r in decontaminate.decontaminate(docs, bench, spans=True).collect()}
@@ -55,6 +57,17 @@ def test_decontaminate_keeps_the_rest(spark):
     assert decontaminate.contamination(docs.limit(0), bench).count() == 0
 
 
+def test_contamination_of_a_very_long_text(spark):
+    """A passage at the end of 300 000 words is found, and cutting it leaves the rest."""
+    item = " ".join(f"item{i}" for i in range(12))
+    long = " ".join(f"w{i % 977}" for i in range(300_000))
+    docs = spark.createDataFrame([(1, f"{long} {item}"), (2, long)], "doc_id long, text string")
+    bench = spark.createDataFrame([(5, item)], "item_id long, text string")
+    got = {r.doc_id: (r.n_words, r.n_hit, r.n_items) for r in decontaminate.contamination(docs, bench).collect()}
+    assert got == {1: (300_012, 12, 1), 2: (300_000, 0, 0)}
+    assert {r.doc_id: r.text.strip() for r in decontaminate.decontaminate(docs, bench, spans=True).collect()} == {1: long, 2: long}
+
+
 def line(rng, n):
     return " ".join("".join(rng.choices("abcdefghijklmnop", k=6)) for _ in range(n))
 
@@ -123,3 +136,56 @@ def test_passages_shared_by_two_documents_go_whole(spark):
     docs += [(1000, "\n".join([same] * 3)), (1001, "\n".join([other] * 5))]
     want |= {1000: docs[-2][1], 1001: "\n".join([other] * 2)}
     assert {r.doc_id: r.text for r in lines.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()} == want
+
+
+def brute_report(rows):
+    """n_lines, n_words, n_removed, removed_words of each row, by going over all chunks in plain Python."""
+    docs = list(dict.fromkeys((d, t) for d, t in rows))
+    spans = {}
+    for d, t in docs:
+        ls = (t or "").split("\n")
+        counts = [len(re.findall(r"[^ \t-\r]+", x)) for x in ls]
+        at, found = [i for i, c in enumerate(counts) if c], set()
+        for i in range(len(at)):
+            for step in (1, -1):
+                total, n = 0, 0
+                while 0 <= i + step * n < len(at) and not (n > 1 and total >= lines.CHUNK_WORDS):
+                    total, n = total + counts[at[i + step * n]], n + 1
+                if n > 1 and total >= lines.CHUNK_WORDS:
+                    lo, hi = sorted((at[i], at[i + step * (n - 1)]))
+                    found.add((lo, hi - lo + 1))
+            if counts[at[i]] >= lines.PASSAGE_WORDS:
+                found.add((at[i], 1))
+        spans[d, t] = ls, counts, found
+    places = defaultdict(list)
+    for key, (ls, _, found) in spans.items():
+        for i, n in found:
+            places["\n".join(ls[i : i + n]), n].append((key, i))
+    gone = defaultdict(set)
+    for (_, n), at in places.items():
+        if len(at) < 2:
+            continue
+        at.sort(key=lambda x: (x[0][0] is not None, x[0][0] or 0, x[1]))
+        first = at[0]
+        for key, i in at[1:]:
+            if not (key == first[0] and i < first[1] + n):
+                gone[key] |= set(range(i, i + n))
+    for d, t in rows:
+        ls, counts, _ = spans[d, t]
+        yield d, len(ls), sum(counts), len(gone[d, t]), sum(counts[i] for i in gone[d, t])
+
+
+def test_line_report_against_brute_force(spark):
+    """Indented code, blank-heavy lines, shared passages of all lengths, repeats inside a text, a very long text, nulls."""
+    rng = random.Random(21)
+    pool = [line(rng, n) for n in (1, 2, 3, 5, 8, 12, 20, 49, 50, 70)]
+    odd = ["", " ", "    " * 20, " " * 60 + "end", "\t\treturn x", "}", "    if a:", "x  " * 5]
+    rows = []
+    for d in range(200):
+        body = [rng.choice(pool) if rng.random() < 0.3 else rng.choice(odd) if rng.random() < 0.5 else line(rng, rng.randint(1, 15)) for _ in range(rng.randint(0, 25))]
+        rows.append((d, "\n".join(body)))
+    rows += [(300, None), (301, ""), (None, rows[5][1]), (7, rows[7][1]), (400, "\n".join(line(rng, rng.randint(1, 9)) for _ in range(4000)) + "\n" + rows[9][1]), (401, "word " * 60_000), (402, "word " * 60_000)]
+    rows += [(1000, " " * 60 + "end"), (1001, " " * 60 + "end"), (1002, " " * 55 + "\n" + " " * 55)]
+    got = Counter(tuple(r) for r in lines.line_report(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "n_lines", "n_words", "n_removed", "removed_words").collect())
+    assert got == Counter(brute_report(rows))
+    assert all(r.n_removed == 0 for r in lines.line_report(spark.createDataFrame(rows[-3:], "doc_id long, text string")).collect())
