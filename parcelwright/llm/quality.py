@@ -212,17 +212,22 @@ def sample_labels(labels: DataFrame, label: str, most: int) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_labels: int = 20_000, label: str = "quality") -> Trees:
-    """Trees from at most max_labels labelled documents (the bound on what reaches the driver)."""
+    """Trees from at most max_labels labelled documents, a row of numbers each: the bound on what reaches the driver.
+
+    Of rows with one doc_id, the one with the least numbers counts. Null and empty texts have counts of 0.
+    """
     chosen = F.broadcast(sample_labels(labels, label, max_labels))  # at most max_labels rows of 12 bytes
-    schema = ", ".join(["y int", *(f"{name} double" for name, _ in FEATURES)])
+    schema, kind = ", ".join(["y int", *(f"{name} double" for name, _ in FEATURES)]), dict(docs.dtypes)["doc_id"]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in tb.slices(whole):
                 x = statistics(batch.column("text"))
-                yield pa.RecordBatch.from_arrays([batch.column("y"), *(pa.array(np.asarray(x[n], np.float64)) for n, _ in FEATURES)], names=["y", *(n for n, _ in FEATURES)])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), *(pa.array(np.asarray(x[n], np.float64)) for n, _ in FEATURES)], names=["doc_id", "y", *(n for n, _ in FEATURES)])
 
-    got = docs.select("doc_id", "text").join(chosen, "doc_id").select("y", "text").mapInArrow(rows, schema).toArrow()
+    got = docs.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "y", "text").mapInArrow(rows, f"doc_id {kind}, {schema}")
+    least = got.groupBy("doc_id").agg(F.min(F.struct("y", *(n for n, _ in FEATURES))).alias("x"))  # repeated rows meet before they are sent
+    got = least.select("x.*").toArrow()
     x = np.stack([got.column(n).to_numpy() for n, _ in FEATURES], axis=1)
     y = got.column("y").to_numpy().astype(float)
     order = np.lexsort((*x.T, y))  # rows come in any order; trees must not depend on it
@@ -237,7 +242,11 @@ def passes(x: dict[str, np.ndarray], trees: Trees, threshold: float, min_words:
 
 
 def keep_good(docs: DataFrame, trees: Trees, threshold: float = 0.5, min_words: int = 50, max_repeat_percent: int = 50) -> DataFrame:
-    """The rows of docs that `score` would keep, with the columns of docs as they are."""
+    """The rows of docs that `score` would keep, with the columns of docs as they are, whatever their names.
+
+    A text alone decides, so repeated rows stay or go together; null and empty texts go, having too few words.
+    Texts of any length are judged whole. An empty table gives an empty one.
+    """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:

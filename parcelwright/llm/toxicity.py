@@ -10,13 +10,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from parcelwright.llm import textbatch as tb
+from parcelwright.sources import workspace as store
 
 #: Buckets of subword hashes, length of vectors, and the lengths of subwords in bytes (ends marked).
 BUCKETS = 1 << 18
 DIM = 8
 GRAMS = (3, 4, 5, 6)
-#: At most this many labelled documents of each class are fitted on, chosen by a hash of doc_id.
-MAX_LABELS = 2_000
+#: What is fitted on at most: labelled documents of each class, chosen by a hash of doc_id; their distinct words, summed
+#: over documents; and the subwords of all distinct words. These bound the bytes that reach the driver: 24 a word of
+#: a document and 4 a subword.
+MAX_LABELS = 2_500
+MAX_WORDS = 4_000_000
+MAX_SUBWORDS = 8_000_000
 HELD_OUT = 2
 
 _MARKED = np.frombuffer(b"<>", np.uint8)
@@ -68,38 +73,43 @@ class Bag:
         return 1 / (1 + np.exp(-margin))
 
 
-def train(texts: pa.Array, y: np.ndarray, epochs: int = 120, rate: float = 2.0, decay: float = 1e-4, seed: int = 7) -> Bag:
+def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the distinct words of each text: hashes, shares of the text's words, their rows; and for each such entry the
+    buckets of its subwords with n+1 offsets into them."""
+    w = tb.Words(column, tb.NOT_ALNUM, lower=True)
+    hashes, which, back = np.unique(w.hashes(), return_index=True, return_inverse=True)
+    pair, n_in = np.unique(w.doc * max(len(hashes), 1) + back, return_counts=True)
+    doc, word = pair // max(len(hashes), 1), pair % max(len(hashes), 1)
+    buckets, first = subwords(w, which) if len(w) else (np.zeros(0, np.int64), np.zeros(1, np.int64))
+    size = np.diff(first)[word]
+    at = np.concatenate([[0], np.cumsum(size)])
+    spread = np.arange(at[-1]) + np.repeat(first[:-1][word] - at[:-1], size)
+    return hashes[word], n_in / np.maximum(w.counts, 1)[doc], doc, buckets[spread].astype(np.int32), at
+
+
+def train(texts: pa.Array, y: np.ndarray, **how) -> Bag:
+    """train_bag over texts at hand."""
+    hashes, share, doc, buckets, at = features(texts)
+    distinct, which, word = np.unique(hashes, return_index=True, return_inverse=True)
+    size = np.diff(at)[which]
+    first = np.concatenate([[0], np.cumsum(size)])
+    own = buckets[np.arange(first[-1]) + np.repeat(at[:-1][which] - first[:-1], size)]
+    return train_bag(doc, word, share, own, size, y, **how)
+
+
+def train_bag(doc: np.ndarray, word: np.ndarray, share: np.ndarray, buckets: np.ndarray, size: np.ndarray, y: np.ndarray, epochs: int = 120, rate: float = 2.0, decay: float = 1e-4, seed: int = 7) -> Bag:
     """Embeddings of subword buckets and softmax weights, by full-batch Adagrad on the log loss.
 
-    A word's vector is the mean of its subwords' vectors, a document's the mean of its words'. Texts are
-    read in slices, and what stays are the distinct words' buckets and the documents' words. One class
-    only, or no rows, gives the prior.
+    A word's vector is the mean of its subwords' vectors, a document's the mean of its words'. doc, word, share: the
+    distinct words of documents, sorted by document; buckets: those of word 0, word 1, ..., size[i] of word i. One
+    class only, or no rows, gives the prior.
     """
     prior = (y.sum() + 1) / (len(y) + 2)
     bias0 = float(np.log(prior / (1 - prior)))
-    if not 0 < y.sum() < len(y):
+    if not 0 < y.sum() < len(y) or not len(word):
         return Bag(np.zeros(BUCKETS), bias0)
-    ids: dict[int, int] = {}
-    docs, words, shares, buckets, sizes, done = [], [], [], [], [], 0
-    for part in tb.slices(pa.RecordBatch.from_arrays([texts], names=["text"])):
-        w = tb.Words(part.column("text"), tb.NOT_ALNUM, lower=True)
-        hashes, which, back = np.unique(w.hashes(), return_index=True, return_inverse=True)
-        fresh = [i for i, h in enumerate(hashes.tolist()) if h not in ids]
-        ids.update(zip(hashes[fresh].tolist(), range(len(ids), len(ids) + len(fresh))))
-        own, first = subwords(w, which[fresh])
-        buckets.append(own.astype(np.int32))
-        sizes.append(np.diff(first))
-        named = np.array([ids[h] for h in hashes.tolist()], np.int64)
-        # distinct (document, word) pairs with the word's share of the document
-        pair, n_in = np.unique(w.doc * len(hashes) + back, return_counts=True)
-        docs.append(pair // max(len(hashes), 1) + done)
-        words.append(named[pair % max(len(hashes), 1)])
-        shares.append(n_in / np.maximum(w.counts, 1)[docs[-1] - done])
-        done += part.num_rows
-    doc, word, share = np.concatenate(docs), np.concatenate(words), np.concatenate(shares)
-    size = np.concatenate(sizes)
     first = np.concatenate([[0], np.cumsum(size)])
-    used, local = np.unique(np.concatenate(buckets), return_inverse=True)
+    used, local = np.unique(buckets, return_inverse=True)
     local = local.astype(np.int32)
     owner = np.repeat(np.arange(len(size), dtype=np.int32), size)
     each = 1 / size
@@ -142,22 +152,65 @@ def in_fold(doc_id, n: int):
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(n))
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS, label: str = "toxic") -> Bag:
+def _sampled(chosen: DataFrame, docs: DataFrame) -> DataFrame:
+    """(doc_id, y, words): the distinct words, with share and buckets, of one row of each chosen document: of those of
+    a doc_id the one whose text has the least hash."""
+    kind = dict(docs.dtypes)["doc_id"]
+    hashed = docs.select("doc_id", F.xxhash64("text").alias("th"), "text")
+    one = hashed.drop("text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "y").agg(F.min("th").alias("th"))  # as few rows as chosen
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set = set()
+        for whole in batches:
+            for batch in tb.slices(whole):
+                ids = batch.column("doc_id").to_pylist()
+                fresh = [i for i, d in enumerate(ids) if d not in seen and not seen.add(d)]  # repeated rows of a document, once a task
+                if not fresh:
+                    continue
+                batch = batch.take(pa.array(fresh))
+                hashes, share, doc, buckets, at = features(batch.column("text"))
+                words = pa.StructArray.from_arrays([pa.array(hashes.view(np.int64)), pa.array(share), pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(buckets))], ["w", "share", "b"])
+                ends = np.searchsorted(doc, np.arange(batch.num_rows + 1)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), pa.ListArray.from_arrays(pa.array(ends), words)], names=["doc_id", "y", "words"])
+
+    met = hashed.join(F.broadcast(one), ["doc_id", "th"]).select("doc_id", "y", "text")
+    found = met.mapInArrow(rows, f"doc_id {kind}, y int, words array<struct<w: long, share: double, b: array<int>>>")
+    return store.written(found, "sampled").dropDuplicates(["doc_id"])
+
+
+def fit(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS, label: str = "toxic", max_words: int = MAX_WORDS, max_subwords: int = MAX_SUBWORDS) -> Bag:
     """A model from at most max_labels documents of each class, none of them held out.
 
-    The sample is taken per class by a hash of doc_id; the bias is then set back to the classes' true rates. The
-    texts of this bounded sample are all that reaches the driver. Contradicting or null labels are left out.
+    The sample is taken per class by a hash of doc_id; the bias is then set back to the classes' true rates. Executors
+    turn these documents' whole texts into distinct words and subword buckets; the driver gets these, each distinct
+    word's buckets once. Should the sample have more than max_words or max_subwords, the half of it that comes first by the
+    hash is taken, until it has not. Contradicting or null labels are left out; of rows with one doc_id, one counts.
     """
     clean = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.min(label).alias("y"), F.max(label).alias("z")).where("y = z").select("doc_id", F.col("y").cast("int").alias("y"))
     clean = clean.where(in_fold(F.col("doc_id"), 4) != HELD_OUT)
     counts = {r.y: r.n for r in clean.groupBy("y").agg(F.count("*").alias("n")).collect()}
     order = F.xxhash64("doc_id"), F.col("doc_id")
     chosen = clean.where("y = 0").orderBy(*order).limit(max_labels).unionByName(clean.where("y = 1").orderBy(*order).limit(max_labels))
-    got = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y").toArrow().combine_chunks()  # at most 2 max_labels ids are sent
-    got = got.sort_by([("doc_id", "ascending")])
-    y = got.column("y").to_numpy().astype(float)
-    texts = got.column("text").combine_chunks() if got.num_rows else pa.array([], pa.string())
-    model = train(texts, y)
+    sample = _sampled(store.written(chosen, "chosen"), docs)
+    share = 1.0
+    while True:
+        half = sample.where(F.xxhash64("doc_id") / 2.0**63 < 2 * share - 1)
+        pairs = half.select("doc_id", "y", F.explode("words").alias("x")).select("doc_id", "y", "x.*")
+        distinct = pairs.groupBy("w").agg(F.first("b").alias("b"), F.count("*").alias("n"))
+        size = distinct.agg(F.sum("n").alias("n"), F.sum(F.size("b").cast("long")).alias("s")).first()
+        if (size.n or 0) <= max_words and (size.s or 0) <= max_subwords:
+            break
+        share /= 2
+    of_docs = half.select("doc_id", "y").toArrow().combine_chunks().sort_by([("doc_id", "ascending")])
+    of_pairs = pairs.select("doc_id", "w", "share").toArrow().combine_chunks().sort_by([("doc_id", "ascending"), ("w", "ascending")])
+    of_words = distinct.select("w", "b").toArrow().combine_chunks().sort_by([("w", "ascending")])
+    y = of_docs.column("y").to_numpy().astype(float)
+    place = {d: i for i, d in enumerate(of_docs.column("doc_id").to_pylist())}
+    doc = np.array([place[d] for d in of_pairs.column("doc_id").to_pylist()], np.int64)
+    word = np.searchsorted(of_words.column("w").to_numpy(), of_pairs.column("w").to_numpy())
+    lists = of_words.column("b").combine_chunks() if of_words.num_rows else pa.array([], pa.list_(pa.int32()))
+    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+    model = train_bag(doc, word, of_pairs.column("share").to_numpy(), lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy()), y)
     tb.forget()
     if 0 < y.sum() < len(y):
         true, seen = counts[1] / counts[0], y.sum() / (len(y) - y.sum())
@@ -168,7 +221,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS, label:
 def score(docs: DataFrame, model: Bag, threshold: float = 0.3) -> DataFrame:
     """doc_id, held_out, score and predicted for every whole text; null and empty texts get the prior.
 
-    A narrow scan: the model of 2 MB goes out with the tasks. Only texts enter the score.
+    A narrow scan: the model of 2 MB goes out with the tasks. Only texts enter the score, so repeated rows and equal
+    texts score alike, and other columns may have any name; texts of any length are read whole.
     """
     kind = dict(docs.dtypes)["doc_id"]
 
