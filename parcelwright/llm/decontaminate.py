@@ -13,6 +13,8 @@ GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 RAW_GAP = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"
 #: Sets of at most this many window hashes (8 bytes), or of documents that hold some (two numbers), are sent to every executor.
 BROADCAST_ROWS = 2_000_000
+#: log2 of the flags for window hashes that scans test before anything is exploded, at most.
+MOST_BITS = 20
 
 
 def words(text: Column) -> Column:
@@ -21,39 +23,36 @@ def words(text: Column) -> Column:
     return F.filter(F.split(folded, GAPS), lambda w: w != "")
 
 
-def _joined(left: Column, right: Column, gap: int) -> Column:
-    """Hash of each entry of left with the entry of right `gap` places on."""
-    return F.zip_with(left, F.slice(right, gap + 1, F.size(right)), lambda a, b: F.xxhash64(a, b))
+def _slot(window: Column, bits: int) -> Column:
+    """The place of a hash in a table of 2^bits flags."""
+    return F.shiftrightunsigned(window, 64 - bits).cast("int")
 
 
-def _placed(w: int):
-    return lambda x, i: F.struct(F.xxhash64(x, F.lit(w)).alias("window"), F.lit(w).alias("w"), i.alias("at"))
+def window_flags(hashes: DataFrame, bits: int) -> Column:
+    """Flags of the slots of window hashes, as a constant array."""
+    flags = ["0"] * (1 << bits)
+    for r in hashes.select(_slot(F.col("_known"), bits).alias("i")).distinct().collect():  # at most 2^bits rows
+        flags[r.i] = "1"
+    return F.split(F.lit(",".join(flags)), ",").cast("array<boolean>")  # folded into a constant
 
 
-def hashed_windows(rows: DataFrame, widths: list[int], keep: list[str]) -> DataFrame:
-    """rows with `windows`: for each width, the struct (window, w, at) of every run of that many words in `ws`.
+def hashed_windows(rows: DataFrame, widths: list[int], keep: list[str], flags: Column | None = None, bits: int = 0) -> DataFrame:
+    """rows with `windows`: for each width, the struct (window, w, at) of every run of that many words in `ws`; with
+    flags, of those in a slot that has one.
 
-    Words are hashed once; hashes of 2, 4, 8 words come from two halves each, and other widths from these, so a
-    window costs a few steps whatever its width. The width is part of the hash.
+    Words are hashed once, and windows are hashes of their words' hashes and the width. To be exploded by explode_outer
+    only: explode would let the optimizer move a copy of all this into a filter, word hashes inside the loop over windows.
     """
-    held = rows.select(*keep, F.size("ws").alias("_n"), F.transform("ws", lambda w: F.xxhash64(w)).alias("_h1"))
-    most = 1
-    while 2 * most <= max(widths, default=1):
-        held = held.select("*", _joined(F.col(f"_h{most}"), F.col(f"_h{most}"), most).alias(f"_h{2 * most}"))
-        most *= 2
-    parts = []
-    for w in widths:
-        halves = [1 << k for k in range(w.bit_length() - 1, -1, -1) if w >> k & 1]
-        done = halves[0]
-        whole = F.col(f"_h{done}")
-        for k, half in enumerate(halves[1:]):
-            name = f"_w{w}_{k}"
-            held = held.select("*", _joined(whole, F.col(f"_h{half}"), done).alias(name))
-            whole, done = F.col(name), done + half
-        full = F.slice(whole, F.lit(1), F.greatest(F.col("_n") - (w - 1), F.lit(0)))
-        parts.append(F.transform(full, _placed(w)))
-    none = F.array().cast("array<struct<window:bigint,w:int,at:int>>")
-    return held.select(*keep, F.concat(none, *parts).alias("windows"))
+    held = rows.select(*keep, F.size("ws").alias("_n"), F.transform("ws", lambda w: F.xxhash64(w)).alias("_h"))
+
+    def windows(w: int) -> Column:
+        window = lambda i: F.xxhash64(F.slice("_h", i, w), F.lit(w))
+        starts = F.when(F.col("_n") >= w, F.sequence(F.lit(1), F.col("_n") - (w - 1))).otherwise(F.array().cast("array<int>"))
+        if flags is not None:
+            starts = F.filter(starts, lambda i: F.get(flags, _slot(window(i), bits)))
+        return F.transform(starts, lambda i: F.struct(window(i).alias("window"), F.lit(w).alias("w"), (i - 1).alias("at")))
+
+    return held.select(*keep, F.concat(F.array().cast("array<struct<window:bigint,w:int,at:int>>"), *map(windows, widths)).alias("windows"))
 
 
 def benchmark_windows(benchmark: DataFrame, width: int = 10) -> DataFrame:
@@ -65,16 +64,17 @@ def benchmark_windows(benchmark: DataFrame, width: int = 10) -> DataFrame:
     full = hashed_windows(items.where(F.size("ws") >= width), [width], ["item", "ws"])
     few = hashed_windows(items.where(F.size("ws") < width), list(range(1, width)), ["item", "ws"])
     few = few.withColumn("windows", F.filter("windows", lambda x: x["w"] == F.size("ws")))
-    spread = full.unionByName(few).select("item", "ws", F.explode("windows").alias("x"))
-    return spread.select("x.window", "x.w", F.array_join(F.slice("ws", F.col("x.at") + 1, F.col("x.w")), " ").alias("phrase"), "item").distinct()
+    spread = full.unionByName(few).select("item", "ws", F.explode_outer("windows").alias("x"))
+    return spread.select("x.window", "x.w", F.array_join(F.slice("ws", F.col("x.at") + 1, F.col("x.w")), " ").alias("phrase"), "item").where("window is not null").distinct()
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """One row a document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, hits.
 
     hits lists (start, width) of each occurrence of a benchmark window, start counted from 0. A scan turns each
-    document into narrow rows (window hash, place) that meet the set of the benchmark's window hashes: sent to all
-    executors up to `broadcast_rows` hashes of 8 bytes, shuffled beyond. What is met is few: these documents are read
+    document's windows into hashes; those that flags of the benchmark's hashes let pass become narrow rows (window hash,
+    place) that meet the set of these hashes, sent to all executors. Beyond `broadcast_rows` hashes of 8 bytes, all rows are
+    shuffled to a larger table. What is met is few: these documents are read
     again, and their words are compared with the windows' own, then joined with the items. Null and empty texts
     have no words. Rows of equal doc_id and text count as one document and give one row each. A table without
     items marks nothing; an item without an id marks words, and is not among the items counted. A long text is an array of
@@ -85,14 +85,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, broadc
     hashes = table.select(F.col("window").alias("_known")).distinct()
     rows = docs.select("doc_id", F.xxhash64("text").alias("th"), words(F.col("text")).alias("ws"))
     widths = [w for w, _ in sizes]
-    if sum(n for _, n in sizes) <= broadcast_rows:
-        # one scan gives a marker row of each document and its windows
+    n = sum(n for _, n in sizes)
+    if n <= broadcast_rows:
+        # one scan gives a marker row of each document, and its windows whose flag is set
+        bits = min(MOST_BITS, max(10, n.bit_length() + 5))
         marker = F.array(F.struct(F.lit(None).cast("long").alias("window"), F.size("ws").alias("w"), F.lit(-1).alias("at")))
-        spread = hashed_windows(rows.select("doc_id", "th", "ws", marker.alias("marker")), widths, ["doc_id", "th", "marker"])
-        narrow = spread.select("doc_id", "th", F.explode(F.concat("marker", "windows")).alias("x")).select("doc_id", "th", "x.*")
+        spread = hashed_windows(rows.select("doc_id", "th", "ws", marker.alias("marker")), widths, ["doc_id", "th", "marker"], window_flags(hashes, bits), bits)
+        narrow = spread.select("doc_id", "th", F.explode_outer(F.concat("marker", "windows")).alias("x")).select("doc_id", "th", "x.*")
         met = narrow.join(F.broadcast(hashes), narrow["window"] == F.col("_known"), "left").where((F.col("at") < 0) | F.col("_known").isNotNull()).drop("_known")
     else:
-        narrow = hashed_windows(rows, widths, ["doc_id", "th"]).select("doc_id", "th", F.explode("windows").alias("x")).select("doc_id", "th", "x.*")
+        narrow = hashed_windows(rows, widths, ["doc_id", "th"]).select("doc_id", "th", F.explode_outer("windows").alias("x")).select("doc_id", "th", "x.*")
         met = narrow.join(hashes, narrow["window"] == F.col("_known"), "left_semi")
         met = rows.select("doc_id", "th", F.lit(None).cast("long").alias("window"), F.size("ws").alias("w"), F.lit(-1).alias("at")).unionByName(met)
     met = store.written(met, "met")
@@ -105,7 +107,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, broadc
     texts = texts.select("_d", "_t", words(F.col("text")).alias("ws"))
     again = texts.join(held, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("th") == F.col("_t")))
     phrased = F.transform("x", lambda x: F.struct(x["window"].alias("window"), x["w"].alias("w"), x["at"].alias("at"), F.array_join(F.slice("ws", x["at"] + 1, x["w"]), " ").alias("phrase")))
-    cut = again.select("doc_id", "th", F.explode(phrased).alias("x")).select("doc_id", "th", "x.*").distinct()
+    cut = again.select("doc_id", "th", F.explode_outer(phrased).alias("x")).select("doc_id", "th", "x.*").distinct()
     proven = store.written(cut.join(table.select("window", "w", "phrase").distinct(), ["window", "w", "phrase"]), "hits")
     ids = proven.select("doc_id", "th", "window", "w", "phrase").distinct().join(table, ["window", "w", "phrase"]).groupBy("doc_id", "th").agg(F.array_sort(F.collect_set("item")).alias("ids"))
     hits = proven.groupBy("doc_id", "th").agg(F.array_sort(F.collect_set(F.struct(F.col("at").alias("start"), F.col("w").alias("width")))).alias("hits"))

@@ -60,7 +60,8 @@ def chunks(docs: DataFrame) -> DataFrame:
     base = base.select("doc_id", "th", "hashes", F.filter("words", lambda c: c > 0).alias("counts"), filled.alias("at"))
     spans = base.select("doc_id", "th", "hashes", _spans().alias("spans"))
     hashed = lambda s: F.struct(_start(s).alias("start"), _length(s).alias("n"), F.xxhash64(F.slice("hashes", _start(s) + 1, _length(s)), _length(s)).alias("chunk"))
-    return spans.select("doc_id", "th", F.explode(F.transform("spans", hashed)).alias("c")).select("doc_id", "th", "c.*")
+    # explode_outer, for explode would let the optimizer move a copy of all this into a filter, hashes inside the loop over spans
+    return spans.select("doc_id", "th", F.explode_outer(F.transform("spans", hashed)).alias("c")).select("doc_id", "th", "c.*").where("chunk is not null")
 
 
 def _key(doc_id: str = "doc_id", th: str = "th") -> Column:
@@ -82,7 +83,7 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     held = again.groupBy("doc_id", "th").agg(F.collect_set(F.struct("start", "n", "chunk")).alias("spans"))
     texts = docs.select(F.col("doc_id").alias("_d"), F.xxhash64("text").alias("_t"), "text")
     cut = texts.join(held, F.col("_d").eqNullSafe(F.col("doc_id")) & (F.col("_t") == F.col("th"))).select(F.split("text", "\n", -1).alias("lines"), "spans")
-    cut = cut.select(F.explode(F.transform("spans", lambda c: F.struct(c["chunk"].alias("chunk"), F.array_join(F.slice("lines", c["start"] + 1, c["n"]), "\n").alias("bytes")))).alias("c"))
+    cut = cut.select(F.explode_outer(F.transform("spans", lambda c: F.struct(c["chunk"].alias("chunk"), F.array_join(F.slice("lines", c["start"] + 1, c["n"]), "\n").alias("bytes")))).alias("c"))
     strings = cut.groupBy("c.chunk", "c.bytes").agg(F.lit(1).alias("one"))
     proven = strings.groupBy("chunk").agg(F.sum("one").alias("k")).where("k = 1").select("chunk")
     first = store.written(again.groupBy("chunk").agg(F.min(_key()).alias("first")).join(proven, "chunk"), "first")
