@@ -33,17 +33,20 @@ def rendered(spark, sf_dir, ending="", extra=None):
     return path
 
 
-@query("scan_latin1_lines", "select count(*) as n_lines, sum(56)::bigint as n_chars, count(*) as n_accented, 0 as n_with_cr from orders")
+@query("scan_latin1_lines", "select lpad(cast(o_orderkey as varchar), 17, '0') || cast(o_custkey % 6 as varchar) || cast(year(o_orderdate) as varchar) || lpad(cast(cast(o_totalprice as decimal(18,2)) as varchar), 18, ' ') || rpad('é' || o_orderpriority, 16, ' ') as line from orders")
 def scan_latin1_lines(spark, sf_dir):
-    lines = scan.scan_lines(spark, rendered(spark, sf_dir, "\r"))
-    return lines.agg(F.count("*").alias("n_lines"), F.sum(F.length("value")).alias("n_chars"), F.count_if(F.col("value").contains("é")).alias("n_accented"), F.count_if(F.col("value").contains("\r")).cast("int").alias("n_with_cr"))
+    """Every line as it was written, without the carriage return before its end."""
+    return scan.scan_lines(spark, rendered(spark, sf_dir, "\r")).select(F.col("value").alias("line"))
 
 
-@query("physical_row_number", "select count(*) as n_rows, count(*) as n_distinct, true as is_dense from orders")
+@query("physical_row_number", "select year(o_orderdate) * 100 + month(o_orderdate) as member, lpad(cast(o_orderkey as varchar), 17, '0') as account_id, row_number() over (partition by year(o_orderdate), month(o_orderdate) order by o_orderkey) as physical_row_number from orders")
 def physical_row_number(spark, sf_dir):
-    rows = scan.with_row_numbers(scan.scan_lines(spark, rendered(spark, sf_dir)))
-    by = rows.groupBy("member").agg(F.count("*").alias("n"), F.count_distinct("physical_row_number").alias("d"), F.min("physical_row_number").alias("lo"), F.max("physical_row_number").alias("hi"))
-    return by.agg(F.sum("n").alias("n_rows"), F.sum("d").alias("n_distinct"), F.every((F.col("lo") == 1) & (F.col("hi") == F.col("n"))).alias("is_dense"))
+    """A file for each month of orders, written in the order of their keys; each line with its number in its file."""
+    path = workspace.new_path(spark, "months")
+    o = table(spark, sf_dir, "orders").select((F.year("o_orderdate") * 100 + F.month("o_orderdate")).alias("month"), F.lpad(F.col("o_orderkey").cast("string"), 17, "0").alias("value"))
+    o.repartition("month").sortWithinPartitions("month", "value").write.partitionBy("month").text(path)
+    rows = scan.with_row_numbers(scan.scan_lines(spark, path))
+    return rows.select(F.regexp_extract("member", "month=([0-9]+)/", 1).cast("int").alias("member"), F.col("value").alias("account_id"), "physical_row_number")
 
 
 @query("scan_fixed_width", "select lpad(cast(o_orderkey as varchar), 17, '0') as account_id, cast(o_custkey % 6 as varchar) as county, cast(year(o_orderdate) as varchar) as tax_year, cast(cast(o_totalprice as decimal(18,2)) as varchar) as value, 'é' || o_orderpriority as priority from orders")
@@ -69,7 +72,9 @@ def scan_delimited_csv(spark, sf_dir):
 
 @query(
     "scan_pipe_delimited",
-    """select s_suppkey % 5 as kind, count(*) as n_rows, count(*) filter (s_suppkey % 5 = 1) as n_quoted, count(*) filter (s_suppkey % 5 = 2) as n_malformed, count(*) filter (s_suppkey % 5 = 3) as n_short from supplier group by 1""",
+    """select s_suppkey as key, case s_suppkey % 5 when 2 then 'malformed_delimited_record' when 3 then 'row_width_mismatch' end as code,
+      case when s_suppkey % 5 in (0, 4) then s_name when s_suppkey % 5 = 1 then 'a "b" | ' || s_name end as s_name,
+      case when s_suppkey % 5 not in (2, 3) then cast(s_nationkey as varchar) end as s_nationkey, case when s_suppkey % 5 not in (2, 3) then cast(cast(s_acctbal as decimal(18,2)) as varchar) end as s_acctbal from supplier""",
 )
 def scan_pipe_delimited(spark, sf_dir):
     """Suppliers as pipe-delimited lines; of five, one is quoted, one has text behind a quote, one lacks a field."""
@@ -78,11 +83,9 @@ def scan_pipe_delimited(spark, sf_dir):
     tail = F.when(k == 3, F.lit("")).otherwise(F.concat(F.lit("|"), money("s_acctbal").cast("string")))
     path = workspace.new_path(spark, "pipe")
     table(spark, sf_dir, "supplier").select(F.concat(F.col("s_suppkey").cast("string"), F.lit("|"), name, F.lit("|"), F.col("s_nationkey").cast("string"), tail).alias("value")).write.text(path)
-    lines = scan.with_row_numbers(scan.scan_lines(spark, path))
-    rows = scan.scan_pipe(lines, SUPPLIER_FIELDS)
-    key = F.coalesce(F.col("s_suppkey"), F.regexp_extract("value", r"\A([0-9]+)", 1)).cast("long")
-    met = rows.join(lines, ["member", "physical_row_number"])
-    return met.groupBy((key % 5).alias("kind")).agg(F.count("*").alias("n_rows"), F.count_if(F.col("s_name").startswith('a "b" | Supplier')).alias("n_quoted"), F.count_if(F.col("code") == "malformed_delimited_record").alias("n_malformed"), F.count_if(F.col("code") == "row_width_mismatch").alias("n_short"))
+    lines = workspace.written(scan.with_row_numbers(scan.scan_lines(spark, path)), "numbered")
+    met = scan.scan_pipe(lines, SUPPLIER_FIELDS).join(lines, ["member", "physical_row_number"])
+    return met.select(F.regexp_extract("value", r"\A([0-9]+)", 1).cast("long").alias("key"), "code", "s_name", "s_nationkey", "s_acctbal")
 
 
 @query("content_inventory", "select sha256(text) as sha256, count(*) as n, min(doc_id) as locator, min(strlen(text)) as byte_count from documents group by text")
@@ -92,12 +95,12 @@ def content_inventory(spark, sf_dir):
 
 @query(
     "silver_sink_idempotent",
-    "with x as (select l_orderkey, l_linenumber, case when l_returnflag = 'N' then null else l_returnflag end as family from lineitem) select l_orderkey, l_linenumber, family from x where l_orderkey % 4 = 1 group by all",
+    "with x as (select l_orderkey, l_linenumber, case when l_returnflag = 'N' then null else l_returnflag end as family from lineitem) select l_orderkey, l_linenumber, family from x group by all having not bool_or(l_orderkey % 4 = 3)",
 )
 def silver_sink_idempotent(spark, sf_dir):
     key = ["l_orderkey", "l_linenumber", "family"]
     x = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.when(F.col("l_returnflag") == "N", None).otherwise(F.col("l_returnflag")).alias("family"))
-    return storage.append_idempotent(x.where("l_orderkey % 2 = 1"), x.where("l_orderkey % 4 = 3"), key)
+    return storage.append_idempotent(x, x.where("l_orderkey % 4 = 3"), key)
 
 
 @query("bulk_export_manifest", "select cast(o_custkey % 6 as int) as county, cast(year(o_orderdate) as int) as tax_year, count(*) as n_rows from orders group by all")
