@@ -98,6 +98,11 @@ def ascii_fold(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 
 
+def normalize_address(c: Column) -> Column:
+    """Upper-case ASCII letters, runs of anything but letters and digits as one blank; empty if nothing is left."""
+    return F.btrim(F.regexp_replace(F.translate(c, LOWER, UPPER), r"[^\p{L}\p{N}]+", " "))
+
+
 def layout_fingerprint(headers: Column, version: int | None = None) -> Column:
     """SHA-256 of the canonical JSON of a set of header names, and of the parser's contract version if given.
 

@@ -6,6 +6,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from parcelwright.functions import text as t
+
 
 def classify_artifacts(candidates: DataFrame, references: DataFrame, partition: list[str], checksum: str) -> DataFrame:
     """candidates with NEW, IDENTICAL or DIVERGED; a partition with several known checksums stays DIVERGED.
@@ -28,8 +30,8 @@ def dangling_references(refs: DataFrame, artifacts: DataFrame, key: str, compare
 
 
 def blocking_failures(evaluations: DataFrame, rules: DataFrame) -> DataFrame:
-    """Failed evaluations whose pinned rule version is blocking; rules are few and broadcast."""
-    return evaluations.where(~F.col("passed")).join(F.broadcast(rules.where("severity = 'blocking'").select("rule_id", "version")), ["rule_id", "version"])
+    """Failed evaluations whose pinned rule version is blocking."""
+    return evaluations.where(~F.col("passed")).join(rules.where("severity = 'blocking'").select("rule_id", "version"), ["rule_id", "version"])
 
 
 def exact_match(accounts: DataFrame, props: DataFrame, key: list[str]) -> DataFrame:
@@ -38,9 +40,13 @@ def exact_match(accounts: DataFrame, props: DataFrame, key: list[str]) -> DataFr
 
 
 def candidate_match(accounts: DataFrame, props: DataFrame, exact: DataFrame, account_key: str, county: str, address: str) -> DataFrame:
-    """Candidates by county and normalized address for accounts without an exact match; never merged with those."""
+    """Candidates by county and normalized address for accounts without an exact match; never merged with those.
+
+    An address that is blank once it is normalized is no evidence, and pairs with nothing.
+    """
+    named = lambda df: df.withColumn("_address", t.normalize_address(F.col(address))).where("_address <> ''").drop(address)
     open_ = accounts.join(exact.select(account_key).distinct(), account_key, "left_anti")
-    return open_.join(props, [county, address]).withColumn("method", F.lit("candidate")).withColumn("confidence", F.lit(0.5))
+    return named(open_).join(named(props), [county, "_address"]).withColumn("method", F.lit("candidate")).withColumn("confidence", F.lit(0.5))
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, key: list[str], facts: list[str]) -> DataFrame:

@@ -42,7 +42,7 @@ def stage_duplicates(records: DataFrame, run: list[str], key: list[str]) -> Data
 def publishable_fields(values: DataFrame, policy: DataFrame) -> DataFrame:
     """Values whose field an approved policy allows; a field without one, or with a blank approver, is never published."""
     approved = F.col("publication_allowed") & t.is_named(F.col("approved_by")) & F.col("approved_at").isNotNull() & t.is_named(F.col("review_reference"))
-    return values.join(F.broadcast(policy.where(approved).select("source_field").distinct()), "source_field", "left_semi")
+    return values.join(policy.where(approved).select("source_field").distinct(), "source_field", "left_semi")
 
 
 def suppress_protected(rows: DataFrame, marker: Column, fields: list[str]) -> DataFrame:

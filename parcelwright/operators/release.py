@@ -60,7 +60,7 @@ def distribution_drift(rows: DataFrame, column: str, release: str, baseline) ->
     counts = rows.groupBy(release, column).agg(F.count("*").alias("n"))
     shares = counts.withColumn("share", F.col("n") / F.sum("n").over(W.partitionBy(release)))
     base = shares.where(F.col(release) == baseline).select(column, F.col("share").alias("base_share"))
-    return shares.where(F.col(release) != baseline).join(F.broadcast(base), column, "left").withColumn("drift", F.col("share") - F.coalesce("base_share", F.lit(0.0)))
+    return shares.where(F.col(release) != baseline).join(base, column, "left").withColumn("drift", F.col("share") - F.coalesce("base_share", F.lit(0.0)))
 
 
 def count_drift(rows: DataFrame, by: list[str], period: str, tolerance: float) -> DataFrame:
@@ -82,16 +82,21 @@ def reconciliation(rows: DataFrame, levels: list[str], value: str, official: Dat
     """Counts and sums by rollup of levels, beside the official ones where there are any, and whether they agree."""
     ours = rows.rollup(*levels).agg(F.count("*").alias("n_rows"), F.sum(value).alias("total"))
     key = [ours[k].eqNullSafe(official[k]) for k in levels]
-    met = ours.join(F.broadcast(official), key, "left")
+    met = ours.join(official, key, "left")
     return met.select(*(ours[k] for k in levels), "n_rows", "total", "official_rows", (F.col("n_rows") == F.col("official_rows")).alias("agrees"))
 
 
 def evidence_seal(outcomes: DataFrame, entries: DataFrame, by: list[str], n: int = RETAINED) -> DataFrame:
-    """outcomes (by, total, truncated) against the entries kept: how many there should be, are, and whether they agree."""
-    kept = entries.groupBy(*by).agg(F.count("*").alias("n_kept"))
-    met = outcomes.join(kept, by, "left").withColumn("n_kept", F.coalesce("n_kept", F.lit(0)))
+    """outcomes (by, total, truncated, layout_fingerprint) against the entries kept: how many there should be, are, and
+    name another layout than their outcome (none counts as another), and whether all agrees. Entries are counted by
+    layout before they meet the outcomes."""
+    kept = entries.groupBy(*by, F.col("layout_fingerprint").alias("_f")).agg(F.count("*").alias("_n"))
+    met = outcomes.join(kept, by, "left")
+    other = ~F.col("_f").eqNullSafe(F.col("layout_fingerprint"))
+    met = met.groupBy(*outcomes.columns).agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n_kept"), F.coalesce(F.sum(F.when(other, F.col("_n"))), F.lit(0)).alias("n_disagreeing"))
     expected = F.least(F.col("total"), F.lit(n))
-    return met.withColumn("expected", expected).withColumn("sealed", (F.col("n_kept") == expected) & F.col("truncated").eqNullSafe(F.col("total") > n))
+    agrees = (F.col("n_kept") == expected) & F.col("truncated").eqNullSafe(F.col("total") > n) & (F.col("n_disagreeing") == 0)
+    return met.withColumn("expected", expected).withColumn("sealed", agrees)
 
 
 def latest_per_key(releases: DataFrame, key: list[str], order: list) -> DataFrame:
@@ -103,7 +108,7 @@ def lifecycle(events: DataFrame, entity: str, order: list[str], state: str, allo
     """Each entity's current state, changes, and changes that `allowed` (before, after) does not list."""
     w = W.partitionBy(entity).orderBy(*order)
     steps = events.withColumn("before", F.lag(state).over(w)).withColumn("after", F.col(state))
-    legal = F.broadcast(allowed.select("before", "after").distinct().withColumn("_ok", F.lit(True)))
+    legal = allowed.select("before", "after").distinct().withColumn("_ok", F.lit(True))
     met = steps.join(legal, ["before", "after"], "left")
     return met.groupBy(entity).agg(F.max_by("after", F.struct(*order)).alias("state"), F.count("before").alias("n_changes"), F.count_if(F.col("before").isNotNull() & F.col("_ok").isNull()).alias("n_illegal"))
 
@@ -119,7 +124,7 @@ def verification_due(observations: DataFrame, entity: str, order: list[str], at:
     """Days since the observation before, against the days allowed in that season (cadence: first_month, last_month, days)."""
     w = W.partitionBy(entity).orderBy(*order)
     gaps = observations.withColumn("days", F.datediff(F.col(at), F.lag(at).over(w))).withColumn("_m", F.month(at))
-    c = F.broadcast(cadence.withColumnRenamed("days", "allowed_days"))
+    c = F.broadcast(cadence.withColumnRenamed("days", "allowed_days"))  # twelve rows at most: months don't overlap
     met = gaps.join(c, F.col("_m").between(F.col("first_month"), F.col("last_month")), "left").drop("_m", "first_month", "last_month")
     return met.withColumn("due", F.col("days") > F.col("allowed_days"))
 

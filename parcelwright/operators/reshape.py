@@ -85,11 +85,11 @@ def pivot_values(long: DataFrame, ids: list[str], fields: list[str], value: str
 
 
 def retain_extras(rows: DataFrame, required: list[str]) -> DataFrame:
-    """The required columns, and all others as a map keyed by normalized header."""
+    """The required columns, all others as a map keyed by normalized header, and a warning for each of these, by name."""
     extra = [c for c in rows.columns if c not in required]
     keys = F.array(*(t.normalize_header(F.lit(c)) for c in sorted(extra))) if extra else F.array().cast("array<string>")
     vals = F.array(*(F.col(f"`{c}`").cast("string") for c in sorted(extra))) if extra else F.array().cast("array<string>")
-    return rows.select(*required, F.map_from_arrays(keys, vals).alias("extras"))
+    return rows.select(*required, F.map_from_arrays(keys, vals).alias("extras"), F.transform(F.array_sort(keys), lambda k: F.struct(F.lit("extra_columns_present").alias("code"), k.alias("field_name"))).alias("warnings"))
 
 
 def unpivot_taxable(rows: DataFrame, ids: list[str], columns: dict[str, str]) -> DataFrame:

@@ -23,8 +23,8 @@ def header_diagnostics(headers: DataFrame, required: list[str]) -> DataFrame:
     collide = folded.join(several, ["member", "_f"], "left_semi").select("member", F.lit("header_name_collision").alias("code"), "name")
     spark = headers.sparkSession
     wanted = spark.createDataFrame([(r,) for r in required], "name string")
-    missing = headers.select("member").distinct().crossJoin(F.broadcast(wanted)).join(named, ["member", "name"], "left_anti").select("member", F.lit("missing_required_header").alias("code"), "name")
-    extra = named.join(F.broadcast(wanted), "name", "left_anti").select("member", F.lit("extra_columns_present").alias("code"), "name")
+    missing = headers.select("member").distinct().crossJoin(wanted).join(named, ["member", "name"], "left_anti").select("member", F.lit("missing_required_header").alias("code"), "name")
+    extra = named.join(wanted, "name", "left_anti").select("member", F.lit("extra_columns_present").alias("code"), "name")
     return reduce(DataFrame.unionByName, (blank, duplicate, collide, missing, extra))
 
 
@@ -41,9 +41,13 @@ def descriptor_diagnostics(observed: DataFrame, contract: DataFrame, attributes:
 
 
 def layout_gate(members: DataFrame, pinned: DataFrame) -> DataFrame:
-    """members with `passes`: fingerprint and label are the pinned ones. Scans are planned for passing members only."""
-    p = F.broadcast(pinned.select(F.col("member_kind"), F.col("fingerprint").alias("_f"), F.col("label").alias("_l")))
-    ok = F.coalesce((F.col("fingerprint") == F.col("_f")) & (F.col("label") == F.col("_l")), F.lit(False))
+    """members with `passes`: fingerprint, the caller's `expected` one, and label are all the pinned ones.
+
+    The live layout is held against the pin first, so a layout that drifts fails whatever its caller claims. Scans are
+    planned for passing members only.
+    """
+    p = pinned.select(F.col("member_kind"), F.col("fingerprint").alias("_f"), F.col("label").alias("_l"))
+    ok = F.coalesce((F.col("fingerprint") == F.col("_f")) & (F.col("expected") == F.col("_f")) & (F.col("label") == F.col("_l")), F.lit(False))
     return members.join(p, "member_kind", "left").withColumn("passes", ok).drop("_f", "_l")
 
 
@@ -59,8 +63,9 @@ def width_diagnostics(lines: DataFrame, width: int) -> DataFrame:
 
 
 def row_width_diagnostics(rows: DataFrame, line: Column, separator: str, n: int) -> DataFrame:
-    """rows with n_fields that is not n."""
-    return rows.withColumn("n_fields", F.size(F.split(line, separator, -1))).where(F.col("n_fields") != n)
+    """rows with n_fields that is not n; separators inside quoted fields don't count."""
+    bare = F.regexp_replace(line, r'"(?:[^"]|"")*"', "")
+    return rows.withColumn("n_fields", F.size(F.split(bare, separator, -1))).where(F.col("n_fields") != n)
 
 
 def validate_rows(rows: DataFrame, rules: list[tuple[str, str, Column]]) -> DataFrame:
@@ -109,7 +114,7 @@ def orphan_gate(orphans: DataFrame, thresholds: dict[str, int]) -> DataFrame:
 
 def record_agreement(records: DataFrame, releases: DataFrame, by: list[str], fields: list[str]) -> DataFrame:
     """The first of fields in which a record differs from its release, in the given order; null where all agree."""
-    other = F.broadcast(releases.select(*by, *(F.col(f).alias(f"_r_{f}") for f in fields)))  # one row a release
+    other = releases.select(*by, *(F.col(f).alias(f"_r_{f}") for f in fields))
     first = F.coalesce(*(F.when(~F.col(f).eqNullSafe(F.col(f"_r_{f}")), f) for f in fields))
     return records.join(other, by, "left").withColumn("field", first).drop(*(f"_r_{f}" for f in fields))
 
@@ -124,30 +129,44 @@ def value_hierarchy(rows: DataFrame, lower: str, upper: str, by: list[str]) -> D
     return rows.groupBy(*by).agg(F.count_if(F.col(lower).isNotNull() & F.col(upper).isNotNull()).alias("n_comparable"), F.count_if(F.col(lower) > F.col(upper)).alias("n_violations"))
 
 
-def redirect_chain(hops: DataFrame, allowed: DataFrame, most: int) -> DataFrame:
-    """(chain, hop, code) of hops (chain, hop, from_url, to_url, host, status): host, status, continuity and length."""
+def redirect_chain(hops: DataFrame, allowed: DataFrame, most: int, schemes: tuple[str, ...] = ("https",)) -> DataFrame:
+    """(chain, hop, code) of hops (chain, hop, from_url, to_url, host, status): scheme, host, status, continuity and length.
+
+    Schemes and hosts are compared without case. The list of hosts is joined, whatever its size.
+    """
     w = W.partitionBy("chain").orderBy("hop")
-    ok = F.broadcast(allowed.select("host").distinct().withColumn("_ok", F.lit(True)))
-    met = hops.withColumn("_prev", F.lag("to_url").over(w)).join(ok, "host", "left")
-    codes = F.array_compact(F.array(F.when(F.col("_ok").isNull(), "host_not_allowed"), F.when(~F.col("status").between(300, 399), "status_not_redirect"), F.when(F.col("_prev").isNotNull() & (F.col("_prev") != F.col("from_url")), "broken_chain"), F.when(F.col("hop") > most, "too_many_redirects")))
+    ok = allowed.select(t.ascii_fold(F.col("host")).alias("_host")).distinct().withColumn("_ok", F.lit(True))
+    met = hops.withColumn("_prev", F.lag("to_url").over(w)).withColumn("_host", t.ascii_fold(F.col("host"))).join(ok, "_host", "left")
+    scheme = t.ascii_fold(F.regexp_extract("from_url", r"\A([A-Za-z][A-Za-z0-9+.-]*):", 1))
+    codes = F.array_compact(F.array(F.when(~scheme.isin(*schemes), "scheme_not_allowed"), F.when(F.col("_ok").isNull(), "host_not_allowed"), F.when(~F.col("status").between(300, 399), "status_not_redirect"), F.when(F.col("_prev").isNotNull() & (F.col("_prev") != F.col("from_url")), "broken_chain"), F.when(F.col("hop") > most, "too_many_redirects")))
     return met.select("chain", "hop", F.explode(codes).alias("code"))
 
 
-def archive_audit(members: DataFrame, suffixes: list[str], most_bytes: int, most_ratio: float, most_members: int, most_total: int) -> DataFrame:
-    """(archive, name, code): member rules row by row, archive rules (name null) from one partial aggregation."""
+def archive_audit(members: DataFrame, suffixes: list[str], most_bytes: int, most_ratio: float, most_members: int, most_total: int, methods: tuple[int, ...] = (0, 8), most_member_ratio: float | None = None) -> DataFrame:
+    """(archive, name, code) of a listing (archive, name, declared, compressed, kind, encrypted, method, readable, intact).
+
+    A row stands for a member; one with readable false stands for a container that gave no listing, and is judged by
+    that alone. kind is `file` for regular members, intact is whether a member's bytes met its checksum. Member rules
+    go row by row, archive rules (name null) come from one partial aggregation. A member's ratio may be greater
+    than the archive's: most_member_ratio, or else most_ratio.
+    """
     ratio = F.col("declared") / F.col("compressed")
-    suffix = F.lower(F.regexp_extract("name", r"(\.[^./]+)\z", 1))
-    codes = F.array_compact(
-        F.array(
-            F.when(F.col("name").rlike(r"(\A|/)\.\.(/|\z)|\A/|\\|\A[A-Za-z]:"), "path_traversal"),
-            F.when(~suffix.isin(*suffixes), "unsupported_media_type"),
-            F.when(F.col("declared") > most_bytes, "member_too_large"),
-            F.when((F.col("compressed") > 0) & (ratio > most_ratio), "compression_ratio_too_high"),
-            F.when((F.col("compressed") == 0) & (F.col("declared") > 0), "compression_ratio_too_high"),
-        )
-    )
-    rows = members.select("archive", "name", F.explode(codes).alias("code"))
-    sums = members.groupBy("archive").agg(F.count("*").alias("n"), F.sum("declared").alias("d"), F.sum("compressed").alias("c"))
+    suffix = t.ascii_fold(F.regexp_extract("name", r"(\.[^./]+)\z", 1))
+    unread = ~F.coalesce(F.col("readable"), F.lit(False))
+    too_high = F.when(F.col("compressed") > 0, ratio > (most_member_ratio or most_ratio)).otherwise(F.col("declared") > 0)
+    rules = [
+        ("path_traversal", F.col("name").rlike(r"(\A|/)\.\.(/|\z)|\A/|\\|\A[A-Za-z]:")),
+        ("unsupported_member_type", ~F.col("kind").eqNullSafe("file")),
+        ("unsupported_media_type", ~suffix.isin(*suffixes)),
+        ("encrypted_member", F.coalesce(F.col("encrypted"), F.lit(True))),
+        ("unsupported_compression", ~F.coalesce(F.col("method").isin(*methods), F.lit(False))),
+        ("member_too_large", F.col("declared") > most_bytes),
+        ("compression_ratio_too_high", too_high),
+        ("corrupt_member", ~F.coalesce(F.col("intact"), F.lit(False))),
+    ]
+    codes = F.when(unread, F.array(F.lit("unreadable_archive"))).otherwise(F.array_compact(F.array(*(F.when(bad, F.lit(code)) for code, bad in rules))))
+    rows = members.select("archive", F.when(~unread, F.col("name")).alias("name"), F.explode(codes).alias("code"))
+    sums = members.where(~unread).groupBy("archive").agg(F.count("*").alias("n"), F.sum("declared").alias("d"), F.sum("compressed").alias("c"))
     whole = F.array_compact(F.array(F.when(F.col("n") > most_members, "too_many_members"), F.when(F.col("d") > most_total, "expansion_too_large"), F.when(F.col("d") > F.col("c") * most_ratio, "compression_ratio_too_high")))
     return rows.unionByName(sums.select("archive", F.lit(None).cast("string").alias("name"), F.explode(whole).alias("code")))
 
@@ -160,6 +179,14 @@ def member_set_drift(observed: DataFrame, expected: DataFrame, key: list[str]) -
     return both.select(*key, F.coalesce("n", F.lit(0)).alias("n"), code.alias("code")).where("code is not null")
 
 
+def exactly_one_member(observed: DataFrame, expected: DataFrame, key: list[str]) -> DataFrame:
+    """(key, n, resolved): how many members each expected table has; it is resolved by one, not by none or several."""
+    seen = observed.groupBy(*key).agg(F.count("*").alias("_n"))
+    wanted = expected.select(*key).distinct()
+    n = F.coalesce("_n", F.lit(0))
+    return wanted.join(seen.select(*(F.col(k).alias(f"_s_{k}") for k in key), "_n"), reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in key)), "left").select(*key, n.alias("n"), (n == 1).alias("resolved"))
+
+
 def constraint_violations(df: DataFrame, checks: dict[str, Column], keep: list[str]) -> DataFrame:
     """A row for each check that is false for a row; null counts as satisfied, as in SQL."""
     failed = F.array_compact(F.array(*(F.when(~c, F.lit(k)) for k, c in checks.items())))

@@ -15,12 +15,13 @@ A = views.ACCOUNTS_SQL
 
 @query(
     "bronze_classify",
-    f"""with {A}, c as (select o_custkey as p, o_orderpriority as sha, o_orderkey from accounts where o_orderkey % 5 = 0), r as (select o_custkey as p, o_orderpriority as sha from accounts where o_orderkey % 5 = 1 and o_orderkey % 3 = 0), k as (select p, count(distinct sha) as n from r group by 1)
+    f"""with {A}, c as (select o_custkey as p, o_orderpriority as sha, o_orderkey from accounts where o_orderkey % 2 = 0), r as (select o_custkey as p, o_orderpriority as sha from accounts where o_orderkey % 2 = 1), k as (select p, count(distinct sha) as n from r group by 1)
     select c.o_orderkey, case when k.n is null then 'NEW' when k.n > 1 or not exists (select 1 from r where r.p = c.p and r.sha = c.sha) then 'DIVERGED' else 'IDENTICAL' end as classification from c left join k using (p)""",
 )
 def bronze_classify(spark, sf_dir):
+    """Every order is a candidate or a reference."""
     a = accounts(spark, sf_dir).select(F.col("o_custkey").alias("p"), F.col("o_orderpriority").alias("sha"), "o_orderkey")
-    return match.classify_artifacts(a.where("o_orderkey % 5 = 0"), a.where("o_orderkey % 5 = 1 and o_orderkey % 3 = 0"), ["p"], "sha").select("o_orderkey", "classification")
+    return match.classify_artifacts(a.where("o_orderkey % 2 = 0"), a.where("o_orderkey % 2 = 1"), ["p"], "sha").select("o_orderkey", "classification")
 
 
 @query("dangling_reference", "select l_orderkey, l_linenumber, l_partkey, case when p_partkey is null then 'missing_artifact' else 'p_size_mismatch' end as code from lineitem left join (select * from part where p_partkey % 10 > 0) on l_partkey = p_partkey where p_partkey is null or cast(l_quantity as int) <> p_size")
@@ -47,13 +48,13 @@ def blocking_failure(spark, sf_dir):
     return match.blocking_failures(e, rules).select("run", "rule_id", "version")
 
 
-_MATCH_SQL = """acc as (select c_custkey, c_nationkey as county, c_custkey % 1000 as account, cast(round(c_acctbal / 100) as bigint) as address from customer), prop as (select s_suppkey, s_nationkey as county, s_suppkey % 1000 as account, cast(round(s_acctbal / 100) as bigint) as address from supplier),
+_MATCH_SQL = """acc as (select c_custkey, c_nationkey as county, c_custkey % 1000 as account, case when c_custkey % 9 > 0 then cast(round(c_acctbal / 100) as bigint) end as address from customer), prop as (select s_suppkey, s_nationkey as county, s_suppkey % 1000 as account, cast(round(s_acctbal / 100) as bigint) as address from supplier),
 ex as (select c_custkey, s_suppkey from acc join prop on acc.county = prop.county and acc.account = prop.account)"""
 
 
 def sides(spark, sf_dir):
-    c = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("county"), (F.col("c_custkey") % 1000).alias("account"), F.round(F.col("c_acctbal") / 100).cast("long").alias("address"))
-    s = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").alias("county"), (F.col("s_suppkey") % 1000).alias("account"), F.round(F.col("s_acctbal") / 100).cast("long").alias("address"))
+    c = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("county"), (F.col("c_custkey") % 1000).alias("account"), F.when(F.col("c_custkey") % 9 == 0, " . ").otherwise(F.format_string("  No. %d, Main  st.", (F.round(F.col("c_acctbal") / 100) + 100).cast("long"))).alias("address"))
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").alias("county"), (F.col("s_suppkey") % 1000).alias("account"), F.format_string("no %d MAIN-ST", (F.round(F.col("s_acctbal") / 100) + 100).cast("long")).alias("address"))
     exact = match.exact_match(c.drop("address"), s.drop("address"), ["county", "account"])
     return c, s, exact
 

@@ -79,11 +79,11 @@ def county_reconciliation(spark, sf_dir):
 
 @query(
     "cohort_readiness",
-    f"with {A}, {views.COUNTIES_SQL}, y as (select distinct tax_year from accounts), r as (select distinct county, tax_year from accounts where o_orderkey % 11 = 0 and o_custkey % 7 = tax_year % 7) select tax_year, bool_and(r.county is not null) as ready, coalesce(string_agg(slug, ',' order by slug) filter (r.county is null), '') as missing from y cross join counties c left join r using (county, tax_year) group by 1",
+    f"with {A}, {views.COUNTIES_SQL}, y as (select distinct tax_year from accounts), r as (select distinct county, tax_year from accounts group by all having max(value) > 400000) select tax_year, bool_and(r.county is not null) as ready, coalesce(string_agg(slug, ',' order by slug) filter (r.county is null), '') as missing from y cross join counties c left join r using (county, tax_year) group by 1",
 )
 def cohort_readiness(spark, sf_dir):
     a = accounts(spark, sf_dir)
-    done = a.where("o_orderkey % 11 = 0 and o_custkey % 7 = tax_year % 7").select("county", "tax_year").distinct().withColumn("ok", F.lit(True))
+    done = a.groupBy("county", "tax_year").agg(F.max("value").alias("most")).where("most > 400000").select("county", "tax_year", F.lit(True).alias("ok"))
     all_ = a.select("tax_year").distinct().crossJoin(F.broadcast(counties(spark)))  # six rows
     met = all_.join(done, ["county", "tax_year"], "left")
     return met.groupBy("tax_year").agg(F.every(F.col("ok").isNotNull()).alias("ready"), F.concat_ws(",", F.array_sort(F.collect_list(F.when(F.col("ok").isNull(), F.col("slug"))))).alias("missing"))
@@ -107,18 +107,21 @@ def progress_table(spark, sf_dir):
 
 @query(
     "evidence_seal",
-    "with e as (select user_id, event_id, row_number() over (partition by user_id order by ts, event_id) as rn, count(*) over (partition by user_id) as total from events where event_type = 'error') select user_id, any_value(total) as total, any_value(total) > 10 as truncated, count(*) filter (rn <= 10 and event_id % 50 <> 3) as n_kept, least(any_value(total), 10) as expected, count(*) filter (rn <= 10 and event_id % 50 <> 3) = least(any_value(total), 10) as sealed from e group by 1",
+    """with e as (select user_id, event_id, row_number() over (partition by user_id order by ts, event_id) as rn, count(*) over (partition by user_id) as total from events where event_type = 'error'),
+    k as (select user_id, any_value(total) as total, any_value(total) > 100 as truncated, 'f' || user_id % 3 as layout_fingerprint, count(*) filter (rn <= 100 and event_id % 50 <> 3) as n_kept, count(*) filter (rn <= 100 and event_id % 50 <> 3 and event_id % 7 = 0) as n_disagreeing from e group by user_id)
+    select *, least(total, 100) as expected, n_kept = least(total, 100) and n_disagreeing = 0 as sealed from k""",
 )
 def evidence_seal(spark, sf_dir):
-    errors = table(spark, sf_dir, "events").where("event_type = 'error'")
-    kept = release.retain(errors, ["user_id"], ["ts", "event_id"], 10).where("event_id % 50 <> 3")
-    outcomes = errors.groupBy("user_id").agg(F.count("*").alias("total")).withColumn("truncated", F.col("total") > 10)
-    return release.evidence_seal(outcomes, kept, ["user_id"], 10)
+    layout = F.concat(F.lit("f"), (F.col("user_id") % 3).cast("string")).alias("layout_fingerprint")
+    errors = table(spark, sf_dir, "events").where("event_type = 'error'").select("user_id", "event_id", "ts", F.when(F.col("event_id") % 7 > 0, layout).alias("layout_fingerprint"))
+    kept = release.retain(errors, ["user_id"], ["ts", "event_id"]).where("event_id % 50 <> 3")
+    outcomes = errors.groupBy("user_id").agg(F.count("*").alias("total")).select("user_id", "total", (F.col("total") > release.RETAINED).alias("truncated"), layout)
+    return release.evidence_seal(outcomes, kept, ["user_id"])
 
 
-@query("diagnostics_top100", "select user_id, event_id, row_number() over (partition by user_id order by ts, event_id) as ordinal, count(*) over (partition by user_id) as total, count(*) over (partition by user_id) > 20 as truncated from events qualify row_number() over (partition by user_id order by ts, event_id) <= 20")
+@query("diagnostics_top100", "select user_id, event_id, row_number() over (partition by user_id order by ts, event_id) as ordinal, count(*) over (partition by user_id) as total, count(*) over (partition by user_id) > 100 as truncated from events qualify row_number() over (partition by user_id order by ts, event_id) <= 100")
 def diagnostics_top100(spark, sf_dir):
-    return release.retain(table(spark, sf_dir, "events").select("user_id", "event_id", "ts"), ["user_id"], ["ts", "event_id"], 20).drop("ts")
+    return release.retain(table(spark, sf_dir, "events").select("user_id", "event_id", "ts"), ["user_id"], ["ts", "event_id"]).drop("ts")
 
 
 @query("notices_cap", "select event_type, event_id, row_number() over (partition by event_type order by user_id, event_id) as ordinal, count(*) over (partition by event_type) as total, count(*) over (partition by event_type) > 100 as truncated from events qualify row_number() over (partition by event_type order by user_id, event_id) <= 100")
@@ -167,10 +170,10 @@ def verification_due(spark, sf_dir):
     return release.verification_due(observations(spark, sf_dir), "entity", ["ts", "event_id"], "ts", cadence).select("event_id", "days", "allowed_days", "due")
 
 
-@query("supersession_chain", f"with {A} select account_id, county, lead(account_id) over (partition by county, release_kind order by as_of, account_id) as superseded_by, lead(as_of) over (partition by county, release_kind order by as_of, account_id) as superseded_at from accounts where o_orderkey % 10 = 0")
+@query("supersession_chain", f"with {_RELEASES} select county, release_kind, tax_year, lead(tax_year) over (partition by county, release_kind order by as_of, tax_year) as superseded_by, lead(as_of) over (partition by county, release_kind order by as_of, tax_year) as superseded_at from rel")
 def supersession_chain(spark, sf_dir):
-    a = accounts(spark, sf_dir).where("o_orderkey % 10 = 0")
-    return release.supersession(a, ["county", "release_kind"], "account_id", "as_of").select("account_id", "county", "superseded_by", "superseded_at")
+    """Publications, one row a release: all rows of the roll make them, by partial sums, and only they are windowed."""
+    return release.supersession(releases(spark, sf_dir), ["county", "release_kind"], "tax_year", "as_of").select("county", "release_kind", "tax_year", "superseded_by", "superseded_at")
 
 
 @query("freshness", f"with {_RELEASES} select county, tax_year, release_kind, as_of, date_diff('day', as_of, date '2002-01-01')::int as age_days, release_kind <> 'proposed' as is_certified from rel")

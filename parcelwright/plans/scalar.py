@@ -13,10 +13,11 @@ _WS29 = " || ".join(f"chr({ord(c)})" for c in t.NAME_BLANKS)
 _WS6 = " || ".join(f"chr({ord(c)})" for c in t.ASCII_BLANKS)
 
 
-@query("ascii_trim", f"select doc_id, trim(substr(text, length(text) // 2), {_WS6}) as trimmed, length(substr(text, length(text) // 2)) - length(trim(substr(text, length(text) // 2), {_WS6})) as n_cut from documents")
+@query("ascii_trim", f"with x as (select doc_id, repeat(' ' || chr(9), doc_id % 3) || text || repeat(chr(13) || chr(10) || chr(12), doc_id % 2) as x from documents) select doc_id, trim(x, {_WS6}) as trimmed, length(x) - length(trim(x, {_WS6})) as n_cut from x")
 def ascii_trim(spark, sf_dir):
-    half = F.expr("substring(text, length(text) div 2)")
-    d = table(spark, sf_dir, "documents").select("doc_id", F.when(F.length("text") < 2, F.expr("substr(text, 1, 0)")).otherwise(half).alias("x"))
+    """Whole texts, padded with blanks by their ids."""
+    x = F.concat(F.repeat(F.lit(" \t"), (F.col("doc_id") % 3).cast("int")), "text", F.repeat(F.lit("\r\n\x0c"), (F.col("doc_id") % 2).cast("int")))
+    d = table(spark, sf_dir, "documents").select("doc_id", x.alias("x"))
     return d.select("doc_id", t.ascii_trim(F.col("x")).alias("trimmed"), (F.length("x") - F.length(t.ascii_trim(F.col("x")))).cast("long").alias("n_cut"))
 
 
@@ -133,10 +134,10 @@ def sanitize_url(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", t.sanitize_url(F.col("url")).alias("url"), F.col("url").like("%?%").alias("had_query"))
 
 
-@query("sanitize_headers", r"select event_id, 2 as n_kept, event_type as content_type, left(regexp_replace(props, '[\x00-\x1f\x7f-\x{9f}]', '', 'g'), 9) as etag from events")
+@query("sanitize_headers", r"select event_id, 2 as n_kept, event_type as content_type, left(regexp_replace(props, '[\x00-\x1f\x7f-\x{9f}]', '', 'g'), 512) as etag from events")
 def sanitize_headers(spark, sf_dir):
     headers = F.create_map(F.lit("Content-Type"), F.col("event_type"), F.lit("ETag"), F.concat("props", F.lit("\x07")), F.lit("Set-Cookie"), F.col("user_id").cast("string"))
-    e = table(spark, sf_dir, "events").select("event_id", t.sanitize_headers(headers, 9).alias("h"))
+    e = table(spark, sf_dir, "events").select("event_id", t.sanitize_headers(headers, 512).alias("h"))
     return e.select("event_id", F.size("h").alias("n_kept"), F.col("h")["content-type"].alias("content_type"), F.col("h")["etag"].alias("etag"))
 
 

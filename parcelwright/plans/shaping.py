@@ -61,11 +61,11 @@ def pivot_values(spark, sf_dir):
     return reshape.pivot_values(reshape.native_values(p, ["p_partkey"], fields), ["p_partkey"], list(fields))
 
 
-@query("extras_retention", f"select s_suppkey, s_nationkey, 2 as n_extras, s_name as extra_name, {_MONEY.format(c='s_acctbal')} as extra_balance from supplier")
+@query("extras_retention", f"select s_suppkey, s_nationkey, 2 as n_extras, 'S_ACCTBAL,S_NAME' as warned, s_name as extra_name, {_MONEY.format(c='s_acctbal')} as extra_balance from supplier")
 def extras_retention(spark, sf_dir):
     s = table(spark, sf_dir, "supplier").withColumn("s_acctbal", money("s_acctbal"))
     r = reshape.retain_extras(s, ["s_suppkey", "s_nationkey"])
-    return r.select("s_suppkey", "s_nationkey", F.size("extras").alias("n_extras"), F.col("extras")["S_NAME"].alias("extra_name"), F.col("extras")["S_ACCTBAL"].alias("extra_balance"))
+    return r.select("s_suppkey", "s_nationkey", F.size("extras").alias("n_extras"), F.concat_ws(",", F.col("warnings.field_name")).alias("warned"), F.col("extras")["S_NAME"].alias("extra_name"), F.col("extras")["S_ACCTBAL"].alias("extra_balance"))
 
 
 @query(

@@ -11,7 +11,7 @@ from parcelwright.sources.views import accounts, members, money, owner_rows, tab
 
 A, O, M = views.ACCOUNTS_SQL, views.OWNER_ROWS_SQL, views.MEMBERS_SQL
 
-_HEADERS_SQL = """h as (select o_custkey % 50 as member, o_orderkey as position, case when o_orderkey % 97 = 0 then '  ' when o_orderkey % 31 = 0 then lower(o_orderpriority) else o_orderpriority end as name from orders where o_orderkey % 7 = o_custkey % 7)"""
+_HEADERS_SQL = """h as (select o_custkey as member, o_orderkey as position, case when o_orderkey % 97 = 0 then '  ' when o_orderkey % 31 = 0 then lower(o_orderpriority) else o_orderpriority end as name from orders)"""
 
 
 @query(
@@ -24,9 +24,9 @@ _HEADERS_SQL = """h as (select o_custkey % 50 as member, o_orderkey as position,
     union all select member, 'extra_columns_present', name from n where name not in (select name from r)""",
 )
 def header_contract(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").where("o_orderkey % 7 = o_custkey % 7")
+    o = table(spark, sf_dir, "orders")
     name = F.when(F.col("o_orderkey") % 97 == 0, "  ").when(F.col("o_orderkey") % 31 == 0, F.lower("o_orderpriority")).otherwise(F.col("o_orderpriority"))
-    return validate.header_diagnostics(o.select((F.col("o_custkey") % 50).alias("member"), F.col("o_orderkey").alias("position"), name.alias("name")), ["1-URGENT", "5-LOW", "9-NONE"])
+    return validate.header_diagnostics(o.select(F.col("o_custkey").alias("member"), F.col("o_orderkey").alias("position"), name.alias("name")), ["1-URGENT", "5-LOW", "9-NONE"])
 
 
 @query(
@@ -43,9 +43,9 @@ def column_descriptor_contract(spark, sf_dir):
     return validate.descriptor_diagnostics(observed, contract, ["width", "kind"])
 
 
-@query("layout_gate", "select o_orderkey, case when o_orderstatus = 'F' and o_custkey % 10 > 0 then true else false end as passes from orders")
+@query("layout_gate", "select o_orderkey, o_orderstatus = 'F' and o_custkey % 10 > 0 and o_custkey % 7 > 0 as passes from orders")
 def layout_gate(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").select("o_orderkey", F.lit("property").alias("member_kind"), F.when(F.col("o_custkey") % 10 > 0, "f" * 64).otherwise("0" * 64).alias("fingerprint"), F.col("o_orderstatus").alias("label"))
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.lit("property").alias("member_kind"), F.when(F.col("o_custkey") % 10 > 0, "f" * 64).otherwise("0" * 64).alias("fingerprint"), F.when(F.col("o_custkey") % 7 > 0, "f" * 64).otherwise("0" * 64).alias("expected"), F.col("o_orderstatus").alias("label"))
     pinned = spark.createDataFrame([("property", "f" * 64, "F")], "member_kind string, fingerprint string, label string")
     return validate.layout_gate(o, pinned).select("o_orderkey", "passes")
 
@@ -68,7 +68,7 @@ def record_width(spark, sf_dir):
 
 @query("row_width", "select c_custkey, 3 + c_custkey % 2 as n_fields from customer where c_custkey % 2 = 1")
 def row_width(spark, sf_dir):
-    line = F.concat_ws("|", "c_name", "c_mktsegment", F.when(F.col("c_custkey") % 2 == 1, "x|y").otherwise("x"))
+    line = F.concat_ws("|", F.concat(F.lit('"a|""b"" '), "c_name", F.lit('"')), "c_mktsegment", F.when(F.col("c_custkey") % 2 == 1, "x|y").otherwise("x"))
     return validate.row_width_diagnostics(table(spark, sf_dir, "customer"), line, r"\|", 3).select("c_custkey", F.col("n_fields").cast("long").alias("n_fields"))
 
 
@@ -182,7 +182,7 @@ _HOPS_SQL = """hops as (select page_id // 4 as chain, page_id % 4 as hop, url as
 @query(
     "redirect_chain_check",
     f"""with {_HOPS_SQL}, l as (select *, lag(to_url) over (partition by chain order by hop) as prev from hops), a as (select distinct host from hops where length(host) % 3 > 0)
-    select chain, hop, 'host_not_allowed' as code from l where host not in (select host from a) union all select chain, hop, 'status_not_redirect' from l where status not between 300 and 399
+    select chain, hop, 'host_not_allowed' as code from l where host not in (select host from a) union all select chain, hop, 'scheme_not_allowed' from l where not starts_with(from_url, 'https:') union all select chain, hop, 'status_not_redirect' from l where status not between 300 and 399
     union all select chain, hop, 'broken_chain' from l where prev <> from_url union all select chain, hop, 'too_many_redirects' from l where hop > 2""",
 )
 def redirect_chain_check(spark, sf_dir):
@@ -196,37 +196,42 @@ def redirect_chain_check(spark, sf_dir):
 
 @query(
     "archive_member_audit",
-    f"""with {M}, s as (select archive, count(*) as n, sum(declared) as d, sum(compressed) as c from members group by 1)
-    select archive, name, 'unsupported_media_type' as code from members where name like 'es/%' union all select archive, name, 'member_too_large' from members where declared > 5000
-    union all select archive, name, 'compression_ratio_too_high' from members where declared / compressed > 4 union all select archive, null, 'too_many_members' from s where n > 48 union all select archive, null, 'expansion_too_large' from s where d > 120000 union all select archive, null, 'compression_ratio_too_high' from s where d > c * 4.0""",
+    f"""with {M}, g as (select * from members where doc_id % 23 > 0), s as (select archive, count(*) as n, sum(declared) as d, sum(compressed) as c from g group by 1)
+    select archive, name, 'unsupported_media_type' as code from g where name like 'es/%' union all select archive, name, 'member_too_large' from g where declared > 5000
+    union all select archive, name, 'compression_ratio_too_high' from g where declared / compressed > 5 union all select archive, null, 'too_many_members' from s where n > 48 union all select archive, null, 'expansion_too_large' from s where d > 120000 union all select archive, null, 'compression_ratio_too_high' from s where d > c * 4.0
+    union all select archive, null, 'unreadable_archive' from members where doc_id % 23 = 0 union all select archive, name, 'unsupported_member_type' from g where doc_id % 11 = 0 union all select archive, name, 'encrypted_member' from g where doc_id % 13 = 0
+    union all select archive, name, 'unsupported_compression' from g where doc_id % 5 = 0 union all select archive, name, 'corrupt_member' from g where doc_id % 17 = 0""",
 )
 def archive_member_audit(spark, sf_dir):
-    m = members(spark, sf_dir).withColumn("name", F.when(F.col("lang") == "es", F.col("name")).otherwise(F.col("name")))
+    nth = lambda n: F.col("doc_id") % n == 0
+    m = members(spark, sf_dir).withColumns({"readable": ~nth(23), "kind": F.when(nth(11), "link").otherwise("file"), "encrypted": nth(13), "method": F.when(nth(5), 12).otherwise(8), "intact": ~nth(17)})
     kinds = m.withColumn("name", F.when(F.col("lang") == "es", F.regexp_replace("name", r"\.txt\z", ".exe")).otherwise(F.col("name")))
-    found = validate.archive_audit(kinds, [".txt", ".csv"], 5000, 4.0, 48, 120_000)
+    found = validate.archive_audit(kinds, [".txt", ".csv"], 5000, 4.0, 48, 120_000, most_member_ratio=5.0)
     return found.withColumn("name", F.regexp_replace("name", r"\.exe\z", ".txt"))
 
 
 @query(
     "member_set_drift",
-    """with o as (select source as archive, lang, count(*) as n from documents where doc_id % 10 < 4 group by all), e as (select distinct source as archive, lang from documents where doc_id % 10 >= 5)
+    """with o as (select source as archive, lang, count(*) as n from documents where doc_id % 10 < 5 group by all), e as (select distinct source as archive, lang from documents where doc_id % 10 >= 5)
     select coalesce(o.archive, e.archive) as archive, coalesce(o.lang, e.lang) as lang, coalesce(n, 0) as n, case when n is null then 'missing' when e.archive is null then 'unexpected' else 'duplicated' end as code from o full join e on o.archive = e.archive and o.lang = e.lang where n is null or e.archive is null or n > 1""",
 )
 def member_set_drift(spark, sf_dir):
     m = members(spark, sf_dir).select("archive", "lang", "doc_id")
-    return validate.member_set_drift(m.where("doc_id % 10 < 4"), m.where("doc_id % 10 >= 5"), ["archive", "lang"])
+    return validate.member_set_drift(m.where("doc_id % 10 < 5"), m.where("doc_id % 10 >= 5"), ["archive", "lang"])
 
 
 @query(
     "exactly_one_member",
-    """with a as (select source as archive, upper(lang) as tbl, count(*) as n from documents where doc_id % 40 = 1 group by all), e as (select distinct source as archive, upper(lang) as tbl from documents)
-    select archive, tbl, coalesce(n, 0) as n, coalesce(n, 0) = 1 as resolved from e left join a using (archive, tbl)""",
+    """with a as (select source as archive, upper(lang) || '-' || n_chars // 10 as tbl, count(*) as n from documents group by all), e as (select distinct source as archive, upper(lang) || '-' || (n_chars + 10) // 10 as tbl from documents)
+    select e.archive, e.tbl, coalesce(n, 0) as n, coalesce(n, 0) = 1 as resolved from e left join a on e.archive is not distinct from a.archive and e.tbl is not distinct from a.tbl""",
 )
 def exactly_one_member(spark, sf_dir):
-    m = members(spark, sf_dir).select("archive", F.upper(F.regexp_extract("name", r"\A([^/]+)/", 1)).alias("tbl"), "doc_id")
-    counts = m.where("doc_id % 40 = 1").groupBy("archive", "tbl").agg(F.count("*").alias("n"))
-    n = F.coalesce("n", F.lit(0))
-    return m.select("archive", "tbl").distinct().join(counts, ["archive", "tbl"], "left").select("archive", "tbl", n.alias("n"), (n == 1).alias("resolved"))
+    """Members' logical tables by language and length; expected is each table that is one step longer than some member's."""
+    m = members(spark, sf_dir)
+    named = lambda chars: F.concat(F.upper("lang"), F.lit("-"), F.floor(chars / 10).cast("string"))
+    observed = m.select("archive", named(F.col("declared")).alias("tbl"))
+    expected = m.select("archive", named(F.col("declared") + 10).alias("tbl"))
+    return validate.exactly_one_member(observed, expected, ["archive", "tbl"])
 
 
 @query(
