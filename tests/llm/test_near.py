@@ -112,3 +112,20 @@ def test_common_counts():
     shingle = np.array([x for s in sets for x in s], np.uint64)
     both = near.common_counts(row, shingle, 200)
     assert all(both[i, j] == len(sets[i] & sets[j]) for i in range(200) for j in range(200) if i != j)
+
+
+def test_twins_behind_one_boilerplate(spark):
+    """Every text shares most of its words with all others, below the threshold; each has one twin above it: no twin is lost."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=7))
+    common = [word() for _ in range(400)]
+    rows = []
+    for k in range(300):
+        own = [word() for _ in range(50)]
+        rows.append((2 * k, " ".join(common + own)))
+        rows.append((2 * k + 1, " ".join(common + own[:-25] + [word() for _ in range(25)])))
+    got = {r.doc_id: r.component_id for r in near.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    sets = {d: {tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for d, t in rows}
+    linked = lambda a, b: 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])
+    assert all(linked(2 * k, 2 * k + 1) for k in range(300)) and not linked(0, 2)
+    assert got == {d: d - d % 2 for d, _ in rows}
