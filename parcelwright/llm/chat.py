@@ -61,7 +61,7 @@ class _Conversation:
             out = self.close()
             # history: the latest turns, as long as they take `history` tokens at most and leave room for this one
             room, kept = min(self.history, self.budget - turn[2] - sum(t[2] for t in self.system)), []
-            for old in reversed([t for t in self.context + self.new if t not in self.system]):
+            for old in reversed([t for t in self.context + self.new if not any(t is s for s in self.system)]):
                 room -= old[2]
                 if room < 0:
                     break
@@ -130,7 +130,10 @@ def format_windows(turns: DataFrame, budget: int = 2048, history: int = 512) ->
 
 
 def read_back(windows: DataFrame) -> DataFrame:
-    """Digests of each conversation from its formatted windows, which come in order from format_windows."""
+    """Digests of each conversation from its formatted windows, in the order in which format_windows gives them.
+
+    Windows from a stored table have lost that order: sort them within partitions by conv_id and window first.
+    """
     kind = dict(windows.dtypes)["conv_id"]
     names = [x.split()[0] for x in DIGESTS.split(", ")]
 

@@ -401,7 +401,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
 def keep_one(docs: DataFrame, percent: int = 85) -> DataFrame:
     """docs without near-duplicates: of each component the document with the least doc_id stays.
 
-    Columns are those of docs. Rows of one doc_id and text stay or go together; rows without a doc_id stay.
+    Columns are those of docs, whatever their names. Rows of one doc_id and text stay or go together; rows without a
+    doc_id, and null and empty texts, stay. An empty table gives an empty one; texts of any length are compared whole.
     """
     gone = near_duplicates(docs.select("doc_id", "text"), percent).where("not kept").select(F.col("doc_id").alias("_near_doc"), F.col("th").alias("_near_text"))
-    return docs.join(gone, (docs["doc_id"] == F.col("_near_doc")) & (F.xxhash64(docs["text"]) == F.col("_near_text")), "left_anti")
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"))
+    return whole.join(gone, (F.col("_row.doc_id") == F.col("_near_doc")) & (F.xxhash64("_row.text") == F.col("_near_text")), "left_anti").select("_row.*")

@@ -129,3 +129,11 @@ def test_twins_behind_one_boilerplate(spark):
     linked = lambda a, b: 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])
     assert all(linked(2 * k, 2 * k + 1) for k in range(300)) and not linked(0, 2)
     assert got == {d: d - d % 2 for d, _ in rows}
+
+
+def test_keep_one_with_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f"), (3, None)], "doc_id long, text string")
+    for name in ("_near_doc", "_near_text", "_row", "th", "set_key", "a.b"):
+        docs = docs.withColumn(name, F.lit("mine"))
+    kept = near.keep_one(docs)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 3]

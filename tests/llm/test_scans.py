@@ -235,3 +235,10 @@ def test_empty_tables(spark):
     assert quality.score(docs, trees).count() == 0
     assert urls.filter_urls(spark.createDataFrame([], "page_id long, url string")).count() == 0
     assert chat.read_back(chat.format_windows(spark.createDataFrame([], "conv_id long, turn long, role string, text string"))).count() == 0
+
+
+def test_history_keeps_turns_that_equal_the_system_turn(spark):
+    rows = [(1, 0, "system", "be kind"), (1, 1, "system", "be kind"), (1, 2, "user", "one two three"), (1, 3, "assistant", "four five six")]
+    got = chat.format_windows(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), budget=8, history=5).orderBy("window").collect()
+    assert [r.n_new for r in got] == [3, 1] and chat.read_turns(got[1].formatted)[0] == ("system", "be kind")
+    assert chat.read_turns(got[1].formatted)[1:3] == [("user", "one two three"), ("assistant", "four five six")]
