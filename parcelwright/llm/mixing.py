@@ -74,6 +74,8 @@ def mix(docs: DataFrame, seed: str = "mix", weights: tuple[int, ...] = (1, 2, 3)
     text = F.col("text")
     row = F.struct(*(F.col(f"`{c}`") for c in (docs.columns if whole else ["doc_id", "source"]))).alias("_row")
     rows = docs.select(row, "doc_id", F.coalesce("source", F.lit(NO_SOURCE)).alias("source_key"), words_in(text).alias("size"), exponential_key(F.col("doc_id"), quality_weight(text), seed).alias("key"))
+    if not whole:
+        rows = store.written(rows, "sized")  # texts are read once; with whole, rows hold texts and are read again instead
     sizes = rows.drop("_row").groupBy("source_key").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
     targets = source_targets(sizes.select("source_key", "source_size"), weights, most)
     plan = sizes.drop("source_size").join(targets, "source_key").withColumn("epochs", F.floor(F.col("target") / F.greatest(F.col("source_size"), F.lit(1))).cast("long"))
