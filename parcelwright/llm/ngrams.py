@@ -22,7 +22,7 @@ SHARD_KEYS = 1_500_000
 #: A block's message to a shard holds this many n-grams on average at least, so messages never outgrow n-grams.
 MESSAGE_KEYS = 16
 #: Bits of a word's key; of the context's hash and of the n-gram's own hash in the keys of longer n-grams, behind the shard's bits.
-WORD_BITS, CONTEXT_BITS, CHILD_BITS = 56, 18, 22
+WORD_BITS, CONTEXT_BITS, CHILD_BITS = 56, 18, 20
 #: Weight of the shorter context's distribution, in counts, by order.
 CONCENTRATION = {2: 1000.0, 3: 10.0}
 #: Held out of training: crc32 of doc_id as text modulo FOLDS is 0.
@@ -46,6 +46,16 @@ def restored(code: np.ndarray) -> np.ndarray:
     return np.where(code == _ABSENT, 0.0, np.where(count < 1000, np.round(count), count))
 
 
+def _deflated(values: np.ndarray) -> bytes:
+    """Whole numbers, mostly alike, byte plane by byte plane."""
+    return zlib.compress(np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes(), 1)
+
+
+def _inflated(raw: bytes, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(raw), np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
 def _pack(values: np.ndarray, bits: int) -> bytes:
     """The lowest `bits` bits of each value, one after the other, and 8 bytes for readers to run over."""
     wide = np.unpackbits(values.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)[:, 64 - bits :]
@@ -172,7 +182,7 @@ class Level:
         if self.counts is not None:
             counts = np.zeros(len(at), "<u4")
             counts[known] = self.counts[at[known]]
-            exact = zlib.compress(counts.tobytes(), 1)
+            exact = _deflated(counts)
         return zlib.compress(codes.astype("<u2").tobytes(), 1), exact
 
 
@@ -265,7 +275,7 @@ def packed_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array([(task << 32) | made], pa.int64()), *lists, pa.array([sizes], pa.list_(pa.int64())), pa.array([blob], pa.binary())], names=["block", "doc_ids", "held_out", "sizes", "packed"])
 
         for whole in batches:
-            for batch in tb.slices(whole, most=min(block_bytes, tb.SLICE_BYTES)):
+            for batch in tb.slices(whole, most=max(1, min(block_bytes // 16, tb.SLICE_BYTES))):
                 more = tb.column_bytes(batch.column("text"))[1][-1]
                 if held and size + more > block_bytes:
                     yield packed()
@@ -293,7 +303,7 @@ def requests(blocks: DataFrame, order: int, shard_bits: int) -> DataFrame:
                     for s in np.flatnonzero(np.diff(cuts)).tolist():
                         lo, hi = cuts[s], cuts[s + 1]
                         inner = keys[lo:hi] & np.uint64((1 << _inner_bits(k, shard_bits)) - 1)
-                        out.append((k, s, row["block"], EliasFano.encode(inner), zlib.compress(counts[lo:hi].tobytes(), 1)))
+                        out.append((k, s, row["block"], EliasFano.encode(inner), _deflated(counts[lo:hi])))
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()))], names=["n", "shard", "block", "keys", "counts"])
 
@@ -315,7 +325,7 @@ def _built(shard_bits: int):
         """The shard's image, from the counts of all blocks, and its answers to each block, read from the image."""
         n, shard = table.column("n")[0].as_py(), table.column("shard")[0].as_py()
         asked = [EliasFano(x.as_buffer()).decode() for x in table.column("keys")]
-        counts = np.concatenate([np.frombuffer(zlib.decompress(x.as_py()), "<u4") for x in table.column("counts")])
+        counts = np.concatenate([_inflated(x.as_py(), "<u4") for x in table.column("counts")])
         keys, back = np.unique(np.concatenate(asked), return_inverse=True)
         total = np.bincount(back, weights=counts).astype(np.int64)
         del back, counts
@@ -359,8 +369,10 @@ class Model:
         return Model(found.drop("order", "shard_bits"), total[2], total[3], total[0], total[1])
 
 
-def _of_order(replies: pa.Table, which: np.ndarray, k: int, column: str, kind: str) -> np.ndarray:
-    parts = [np.frombuffer(zlib.decompress(x.as_py()), kind) for x in replies.column(column).filter(pa.array(which == k))]
+def _of_order(replies: pa.Table, which: np.ndarray, k: int, column: str) -> np.ndarray:
+    """A block's codes or exact counts of one order, over all shards in their order."""
+    read, kind = (_inflated, "<u4") if column == "exact" else (lambda raw, kind: np.frombuffer(zlib.decompress(raw), kind), "<u2")
+    parts = [read(x.as_py(), kind) for x in replies.column(column).filter(pa.array(which == k))]
     return np.concatenate(parts) if parts else np.zeros(0, kind)
 
 
@@ -376,9 +388,9 @@ def _scored(order: int, shard_bits: int, n: int, v: int, concentration: dict[int
             for k in range(1, order + 1):
                 which, keys = block.keys(k, shard_bits)
                 back = np.unique(keys, return_inverse=True)[1]
-                count = restored(_of_order(replies, numbers, k, "codes", "<u2"))[back] if len(keys) else np.zeros(0)
+                count = restored(_of_order(replies, numbers, k, "codes"))[back] if len(keys) else np.zeros(0)
                 if k == 1:
-                    counts = _of_order(replies, numbers, 1, "exact", "<u4")[back] if len(keys) else np.zeros(0)
+                    counts = _of_order(replies, numbers, 1, "exact")[back] if len(keys) else np.zeros(0)
                     p = (count + 0.1) / (n + 0.1 * (v + 1))
                     # the context of a document's first word is the end token, the last token of every document
                     ends = count[block.first[1:] - 1]
@@ -451,7 +463,7 @@ def lm_scores(docs: DataFrame, order: int = ORDER, block_bytes: int = BLOCK_BYTE
     becomes a part of the trie, as bytes in a written table, and answers each block by searching these bytes. A block's
     message holds MESSAGE_KEYS n-grams on average at least, so what is exchanged follows the n-grams of the corpus. What
     a task holds depends on block_bytes and shard_keys (and the longest text); hot n-grams are one key for each block, and a
-    frequent context's children lie in all shards. Keys are hashes: of 56 bits for words, else of 40 and the shard's.
+    frequent context's children lie in all shards. Keys are hashes: of 56 bits for words, else of 38 and the shard's.
     Null texts are empty and have the end token alone; a null doc_id is in training. Repeated rows
     count and score as often as they stand. Ties don't arise; other columns are not read.
     """
