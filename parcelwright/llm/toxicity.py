@@ -175,7 +175,10 @@ def _sampled(chosen: DataFrame, docs: DataFrame) -> DataFrame:
 
     met = hashed.join(F.broadcast(one), ["doc_id", "th"]).select("doc_id", "y", "text")
     found = met.mapInArrow(rows, f"doc_id {kind}, y int, words array<struct<w: long, share: double, b: array<int>>>")
-    return store.written(found, "sampled").dropDuplicates(["doc_id"])
+    # copies of a document from several tasks: numbers meet, the lists of words stay where they are
+    numbered = store.written(found.withColumn("_row", F.monotonically_increasing_id()), "sampled")
+    least = numbered.groupBy("doc_id").agg(F.min("_row").alias("_row")).select("_row")  # as few rows as chosen
+    return numbered.join(F.broadcast(least), "_row", "left_semi").drop("_row")
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS, label: str = "toxic", max_words: int = MAX_WORDS, max_subwords: int = MAX_SUBWORDS) -> Bag:
@@ -196,7 +199,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS, label:
     while True:
         half = sample.where(F.xxhash64("doc_id") / 2.0**63 < 2 * share - 1)
         pairs = half.select("doc_id", "y", F.explode("words").alias("x")).select("doc_id", "y", "x.*")
-        distinct = pairs.groupBy("w").agg(F.first("b").alias("b"), F.count("*").alias("n"))
+        distinct = store.written(pairs.groupBy("w").agg(F.first("b").alias("b"), F.count("*").alias("n")), "words")
         size = distinct.agg(F.sum("n").alias("n"), F.sum(F.size("b").cast("long")).alias("s")).first()
         if (size.n or 0) <= max_words and (size.s or 0) <= max_subwords:
             break
