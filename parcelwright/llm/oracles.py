@@ -66,6 +66,19 @@ select page_id, host, path, won.rule as rule,
 from f
 """
 
+OP13 = f"""
+with d as (select row_number() over () as r, doc_id, {_FOLDED} as w from documents),
+t as (select r, doc_id, len(w)::bigint as n, w from d where len(w) > 0),
+g as (select count(*)::bigint as all_docs, sum(n)::bigint as all_words from t),
+q as (select item_id, term, count(*)::bigint as repeats from (select item_id, unnest({_FOLDED}) as term from benchmark) group by all),
+p as (select r, doc_id, n, term, count(*)::bigint as tf from (select r, doc_id, n, unnest(w) as term from t) where term in (select term from q) group by all),
+f as (select term, floor(1000 * ln((2 * all_docs + 2) / (2 * count(*) + 1)))::bigint as weight from p, g group by term, all_docs),
+s as (select item_id, r, doc_id, sum(repeats * weight * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * all_docs) // all_words))))::bigint as score
+      from p join f using (term) join q using (term), g group by item_id, r, doc_id)
+select item_id, rank, doc_id, score
+from (select item_id, (row_number() over (partition by item_id order by score desc, doc_id))::int as rank, doc_id, score from s where score > 0) where rank <= 10
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_source_mix": OP3, "op5_near_duplicates": OP5, "op7_decontaminate": OP7, "op8_url_filter": OP8}
+    return {"op3_source_mix": OP3, "op5_near_duplicates": OP5, "op7_decontaminate": OP7, "op8_url_filter": OP8, "op13_ranked_search": OP13}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from parcelwright.llm import chat, decontaminate, licenses, lines, mixing, near, ngrams, packing, quality, toxicity, urls
+from parcelwright.llm import alignment, chat, decontaminate, licenses, lines, mixing, near, ngrams, packing, quality, search, toxicity, urls
 
 #: The conversation that is added to the given ones.
 EXTRA_TURNS = (
@@ -68,5 +68,13 @@ def op11_pack_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents")).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op12_align_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_license_scan, op2_lm_score, op3_source_mix, op4_chat_windows, op5_near_duplicates, op6_line_dedup, op7_decontaminate, op8_url_filter, op9_quality_rules, op10_toxicity, op11_pack_windows)}
+    return {f.__name__: f for f in (op1_license_scan, op2_lm_score, op3_source_mix, op4_chat_windows, op5_near_duplicates, op6_line_dedup, op7_decontaminate, op8_url_filter, op9_quality_rules, op10_toxicity, op11_pack_windows, op12_align_tokens, op13_ranked_search)}
