@@ -53,6 +53,15 @@ def exact_decimal(c: Column, kind: str) -> Column:
     return F.struct(F.when(code.isNull(), value).alias("value"), code.alias("code"))
 
 
+def is_exact_decimal(trimmed: Column, kind: str) -> Column:
+    """Whether a text without blanks around it is an amount that exact_decimal has a value for; no value is made."""
+    grammar, precision, scale, low, high = AMOUNTS[kind]
+    value = trimmed.try_cast(f"decimal({precision},{scale})")
+    if low is None:
+        return matches(trimmed, grammar) & value.isNotNull() & (F.length(F.regexp_extract(trimmed, r"\.([0-9]+)\z", 1)) <= scale)
+    return matches(trimmed, grammar) & F.coalesce(value <= F.lit(str(high)).cast(f"decimal({precision},{scale})"), F.lit(False))
+
+
 def decode_numeric(buffer: Column, precision: Column, scale: int) -> Column:
     """struct(value, code) of a 17-byte number: a sign byte and four little-endian 32-bit words, most significant first."""
     part = lambda k: F.conv(F.concat(*(F.hex(F.substring(buffer, 2 + 4 * k + i, 1)) for i in (3, 2, 1, 0))), 16, 10).cast("decimal(38,0)")
