@@ -44,9 +44,34 @@ def candidate_match(accounts: DataFrame, props: DataFrame, exact: DataFrame, acc
 
     An address that is blank once it is normalized is no evidence, and pairs with nothing.
     """
+    open_, named = _open_sides(accounts, props, exact, account_key, address)
+    return open_.join(named, [county, "_address"]).withColumn("method", F.lit("candidate")).withColumn("confidence", F.lit(0.5))
+
+
+def _open_sides(accounts: DataFrame, props: DataFrame, exact: DataFrame, account_key: str, address: str) -> tuple[DataFrame, DataFrame]:
     named = lambda df: df.withColumn("_address", t.normalize_address(F.col(address))).where("_address <> ''").drop(address)
-    open_ = accounts.join(exact.select(account_key).distinct(), account_key, "left_anti")
-    return named(open_).join(named(props), [county, "_address"]).withColumn("method", F.lit("candidate")).withColumn("confidence", F.lit(0.5))
+    return named(accounts.join(exact.select(account_key).distinct(), account_key, "left_anti")), named(props)
+
+
+def bounded_candidates(accounts: DataFrame, props: DataFrame, exact: DataFrame, account_key: str, prop_key: str, county: str, address: str, most_pairs: int = 100) -> tuple[DataFrame, DataFrame]:
+    """Candidates whose number grows with the rows and not with the square of an address that many share.
+
+    Blocks (county, normalized address) are counted first. Of a block with at most most_pairs pairs, all pairs come (as from candidate_match). A
+    greater one is a class: each account and each property is a row (county, address, side, key) of the second result, with how many
+    accounts and properties share the address. So nothing is left out: a class stands for all pairs of its two sides.
+    Returns (pairs, classes).
+    """
+    left, right = _open_sides(accounts, props, exact, account_key, address)
+    n_left = left.groupBy(county, "_address").agg(F.count("*").alias("n_accounts"))
+    n_right = right.groupBy(county, "_address").agg(F.count("*").alias("n_properties"))
+    blocks = n_left.join(n_right, [county, "_address"])
+    many = F.col("n_accounts") * F.col("n_properties") > most_pairs
+    few, great = blocks.where(~many).select(county, "_address"), blocks.where(many)
+    by = [county, "_address"]
+    pairs = left.join(few, by, "left_semi").join(right, by).withColumn("method", F.lit("candidate")).withColumn("confidence", F.lit(0.5))
+    side = lambda df, key, name: df.select(*by, F.lit(name).alias("side"), F.col(key).cast("string").alias("key")).join(great, by)
+    classes = side(left, account_key, "account").unionByName(side(right, prop_key, "property"))
+    return pairs, classes.withColumnRenamed("_address", "address")
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, key: list[str], facts: list[str]) -> DataFrame:

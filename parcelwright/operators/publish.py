@@ -88,3 +88,27 @@ def current_publication(publications: DataFrame) -> DataFrame:
 def account_lookup(gold: DataFrame, county: int, account: Column) -> DataFrame:
     """One account of a county; on a table partitioned by county, other partitions are not read."""
     return gold.where((F.col("county") == county) & (F.col("account_id") == account))
+
+
+def write_lookup(records: DataFrame, path: str, rows_per_file: int = 1_000_000, rows_per_group: int = 10_000) -> None:
+    """Write records (county, account_id, ...) for look-up by account: a folder a county, accounts in ranges over its files, sorted in
+    each, with Bloom filters of accounts. A look-up opens one county, and in its files only row groups that may hold the account.
+
+    Files hold about rows_per_file rows: ranges come from a sample of (county, account_id), so a county of any size
+    is many tasks' work.
+    """
+    files = max(1, -(-records.count() // rows_per_file))
+    ranged = records.repartitionByRange(files, "county", "account_id").sortWithinPartitions("county", "account_id")
+    writer = ranged.write.partitionBy("county").option("parquet.bloom.filter.enabled#account_id", "true").option("parquet.bloom.filter.expected.ndv#account_id", str(rows_per_group))
+    writer.option("parquet.block.row.count.limit", str(rows_per_group)).option("maxRecordsPerFile", rows_per_file).parquet(path)
+
+
+def lookup(gold: DataFrame, county: int, accounts: list[str], values: list[str], policy: DataFrame, lineage: DataFrame) -> DataFrame:
+    """(account_id, source_field, value, and lineage's columns) of some accounts of a county: published fields only, each with
+    the release it came from.
+
+    gold has county, account_id, run and the values as columns; policy approves fields (publishable_fields); lineage has a row a run.
+    """
+    wide = gold.where((F.col("county") == county) & F.col("account_id").isin(accounts))
+    long = wide.select("account_id", "run", F.explode(F.create_map(*(x for v in values for x in (F.lit(v), F.col(v).cast("string"))))).alias("source_field", "value"))
+    return publishable_fields(long.where("value is not null"), policy).join(lineage, "run")

@@ -42,6 +42,24 @@ def progress(counts: DataFrame, by: list[str], interval: int) -> DataFrame:
     return counts.select(*by, F.posexplode(points).alias("sequence", "rows"))
 
 
+def staged_progress(rows: DataFrame, by: list[str], interval: int) -> DataFrame:
+    """(by, sequence, rows, staged, final): what a release's progress events say, for rows (by, physical_row_number, n_records, rejected).
+
+    An event stands at each full interval and one at the end. staged are the records of rows before the first rejected one, for nothing is
+    staged after it. Rows are summed up by interval first; running sums go over intervals, never over rows, and an interval
+    that a rejected row cuts short counts what stands before that row.
+    """
+    first = rows.groupBy(*by).agg(F.min(F.when(F.col("rejected"), F.col("physical_row_number"))).alias("_first"), F.count("*").alias("_n"))
+    open_ = F.col("_first").isNull() | (F.col("physical_row_number") < F.col("_first"))
+    slot = F.floor((F.col("physical_row_number") - 1) / interval)
+    parts = rows.join(first.select(*by, "_first"), by).groupBy(*by, slot.alias("_slot")).agg(F.coalesce(F.sum(F.when(open_, F.col("n_records"))), F.lit(0)).alias("_staged"))
+    done = F.sum("_staged").over(W.partitionBy(*by).orderBy("_slot"))
+    at = parts.withColumn("staged", done).join(first.select(*by, "_n"), by)
+    full = at.where((F.col("_slot") + 1) * interval <= F.col("_n")).select(*by, F.col("_slot").cast("int").alias("sequence"), ((F.col("_slot") + 1) * interval).alias("rows"), "staged", F.lit(False).alias("final"))
+    last = at.groupBy(*by).agg(F.max_by("staged", "_slot").alias("staged"), F.max("_n").alias("rows"))
+    return full.unionByName(last.select(*by, F.floor(F.col("rows") / interval).cast("int").alias("sequence"), "rows", "staged", F.lit(True).alias("final")))
+
+
 def diverged(releases: DataFrame, identity: list[str], checksum: str, acquired: str) -> DataFrame:
     """Release identities that came with several checksums, with their number and first and last acquisition."""
     agg = releases.groupBy(*identity).agg(F.count_distinct(checksum).alias("n_checksums"), F.min(acquired).alias("first_acquired"), F.max(acquired).alias("last_acquired"))
@@ -138,3 +156,44 @@ def supersession(publications: DataFrame, key: list[str], ident: str, published:
 def freshness(publications: DataFrame, as_of: str, now: Column) -> DataFrame:
     """Age in days of each publication's source, and whether it is certified."""
     return publications.withColumn("age_days", F.datediff(now, F.col(as_of))).withColumn("is_certified", F.col("release_kind").startswith("certified"))
+
+
+#: Modulus of evidence fingerprints, and that of the halves in which they are summed.
+HALF = 1 << 64
+
+
+def fingerprint_parts(columns: list[str]) -> tuple[Column, Column]:
+    """A row's 128-bit hash by its values as text, as two numbers below 2^64; sums of them depend on no order."""
+    row = F.to_json(F.struct(*(F.col(f"`{c}`").cast("string").alias(c) for c in sorted(columns))), {"ignoreNullFields": "false"})
+    digest = F.sha2(row.cast("binary"), 256)
+    return tuple(F.conv(F.substring(digest, i, 16), 16, 10).cast("decimal(38,0)") for i in (1, 17))
+
+
+def fingerprinted(rows: DataFrame, levels: list[str], columns: list[str]) -> DataFrame:
+    """(levels, n_rows, fingerprint) at the finest level: each half of the row hashes summed modulo 2^64, as 32 hex digits."""
+    high, low = fingerprint_parts(columns)
+    sums = rows.select(*levels, high.alias("_h"), low.alias("_l")).groupBy(*levels).agg(F.count("*").alias("n_rows"), F.sum("_h").alias("_h"), F.sum("_l").alias("_l"))
+    return _shown(sums, levels)
+
+
+def _shown(sums: DataFrame, levels: list[str]) -> DataFrame:
+    """Sums of halves as hex digits. A sum of up to 2^62 halves of 64 bits stays below 38 digits."""
+    half = lambda c: F.pmod(F.col(c), F.lit(str(HALF)).cast("decimal(38,0)"))
+    text = lambda c: F.lpad(F.lower(F.conv(half(c).cast("decimal(20,0)").cast("string"), 10, 16)), 16, "0")
+    return sums.select(*levels, "n_rows", F.concat(text("_h"), text("_l")).alias("fingerprint"))
+
+
+def merged_fingerprints(evidence: DataFrame, levels: list[str]) -> DataFrame:
+    """Upper levels (levels, n_rows, fingerprint) from fingerprints of a finer one alone, without its rows."""
+    half = lambda i: F.conv(F.substring("fingerprint", i, 16), 16, 10).cast("decimal(38,0)")
+    sums = evidence.select(*levels, "n_rows", half(1).alias("_h"), half(17).alias("_l")).groupBy(*levels).agg(F.sum("n_rows").alias("n_rows"), F.sum("_h").alias("_h"), F.sum("_l").alias("_l"))
+    return _shown(sums, levels)
+
+
+def keyed_evidence(rows: DataFrame, levels: list[str], key: list[str], columns: list[str]) -> DataFrame:
+    """(levels, n_rows, n_keys, n_repeated, fingerprint) at every level of a rollup: keys, those of several rows, and the
+    order-free fingerprint. Rows are summed by level and key once; all levels come from these sums."""
+    high, low = fingerprint_parts(columns)
+    by_key = rows.select(*levels, *key, high.alias("_h"), low.alias("_l")).groupBy(*levels, *key).agg(F.count("*").alias("_n"), F.sum("_h").alias("_h"), F.sum("_l").alias("_l"))
+    up = by_key.rollup(*levels).agg(F.sum("_n").alias("n_rows"), F.count("*").alias("n_keys"), F.count_if(F.col("_n") > 1).alias("n_repeated"), F.sum("_h").alias("_h"), F.sum("_l").alias("_l"))
+    return _shown(up, [*levels, "n_keys", "n_repeated"]).select(*levels, "n_rows", "n_keys", "n_repeated", "fingerprint")

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from parcelwright.sources import workspace
+from parcelwright.sources import files
 
 
 def content_keys(df: DataFrame, content: Column, locator: Column) -> DataFrame:
@@ -15,10 +16,10 @@ def content_keys(df: DataFrame, content: Column, locator: Column) -> DataFrame:
     return keyed.groupBy("sha256").agg(F.count("*").alias("n"), F.min("locator").alias("locator"), F.min("byte_count").alias("byte_count"))
 
 
-def content_inventory(spark: SparkSession, path: str) -> DataFrame:
-    """content_keys of the files under path; each file is hashed in the task that reads it. The file source skips empty files."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return content_keys(files, F.col("content"), F.col("path"))
+def content_inventory(spark: SparkSession, path: str, chunk_bytes: int = files.CHUNK_BYTES) -> DataFrame:
+    """content_keys of the files under path, empty ones too; each is streamed in chunks in one task, so none is too large."""
+    hashed = files.digests(files.listing(spark, path).repartition(spark.sparkContext.defaultParallelism), chunk_bytes)
+    return hashed.groupBy("sha256").agg(F.count("*").alias("n"), F.min("member").alias("locator"), F.min("length").alias("byte_count"))
 
 
 def same_key(left: DataFrame, right: DataFrame, key: list[str]) -> Column:
@@ -32,28 +33,57 @@ def append_idempotent(new: DataFrame, existing: DataFrame, key: list[str]) -> Da
     return fresh.join(existing.select(*key).distinct().alias("old"), same_key(fresh, existing, key), "left_anti")
 
 
+def append_records(new: DataFrame, path: str, key: list[str]) -> None:
+    """Append what the table at path lacks of new. The write is one job that commits at its end, so a run that is repeated, whether
+    it failed before or not, leaves every key once."""
+    spark = new.sparkSession
+    try:
+        existing = spark.read.schema(new.schema).parquet(path)
+    except AnalysisException as missing:
+        if "PATH_NOT_FOUND" not in str(missing):
+            raise
+        existing = new.limit(0)
+    append_idempotent(new, existing, key).write.mode("append").parquet(path)
+
+
 def split_quarantine(records: DataFrame, outcomes: DataFrame, release: list[str]) -> tuple[DataFrame, DataFrame]:
     """Records of accepted releases, and those of all others; outcomes has a row and an `accepted` flag for each release."""
     good = outcomes.where("accepted").select(*release)
     return records.join(good, release, "left_semi"), records.join(good, release, "left_anti")
 
 
-def bulk_export(df: DataFrame, path: str, by: list[str]) -> DataFrame:
-    """Write df as Parquet partitioned by `by`, rows of a partition in one folder; the manifest has rows and checksum of each.
-
-    The checksum adds up row hashes, so it depends on neither order nor file layout.
-    """
-    df.repartition(*by).write.partitionBy(*by).parquet(path)
-    back = df.sparkSession.read.schema(df.schema).parquet(path)
-    digest = F.conv(F.substring(F.sha2(F.to_json(F.struct(*(F.col(c).cast("string").alias(c) for c in sorted(df.columns))), {"ignoreNullFields": "false"}).cast("binary"), 256), 1, 12), 16, 10).cast("decimal(20,0)")
-    return back.groupBy(*by).agg(F.count("*").alias("n_rows"), F.sum(digest).alias("checksum"))
-
+def row_digest(columns: list[str]) -> Column:
+    """A number of 48 bits from a row's values as text, by name; sums of it depend on no order."""
+    row = F.to_json(F.struct(*(F.col(f"`{c}`").cast("string").alias(c) for c in sorted(columns))), {"ignoreNullFields": "false"})
+    return F.conv(F.substring(F.sha2(row.cast("binary"), 256), 1, 12), 16, 10).cast("decimal(20,0)")
 
-def export_files(spark: SparkSession, path: str) -> DataFrame:
-    """(path, byte_count, sha256) of each file of an export."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path)
-    return files.select("path", F.col("length").alias("byte_count"), F.sha2("content", 256).alias("sha256"))
 
+def bulk_export(df: DataFrame, path: str, by: list[str], rows_per_file: int = 1_000_000) -> DataFrame:
+    """Write df as Parquet partitioned by `by`; the manifest has a row a file: by, member, n_rows, checksum, length, sha256.
 
-def scratch(spark: SparkSession, name: str) -> str:
-    return workspace.new_path(spark, name)
+    A partition's rows are counted first and dealt to as many files as they ask for, so that none is one task's. Rows and checksum are read
+    back from the file itself, bytes are hashed as they lie.
+    """
+    spark = df.sparkSession
+    sizes = df.groupBy(*(F.col(k).alias(f"_by_{k}") for k in by)).agg(F.ceil(F.count("*") / rows_per_file).cast("int").alias("_files"))
+    dealt = df.join(sizes, reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_by_{k}")) for k in by))).select(*df.columns, "_files")
+    dealt = dealt.withColumn("_part", F.pmod(F.xxhash64(*(c for c in df.columns)), F.col("_files")))
+    dealt.repartition(*by, "_part").drop("_files", "_part").write.option("maxRecordsPerFile", rows_per_file).partitionBy(*by).parquet(path)
+    return manifest(spark, path, df.schema, by)
+
+
+def manifest(spark: SparkSession, path: str, schema, by: list[str]) -> DataFrame:
+    """The manifest of an export as it lies there now: by, member, n_rows, checksum, length, sha256."""
+    member = F.regexp_replace(F.col("_metadata.file_path"), r"\Afile:/+", "file:///").alias("member")
+    back = spark.read.schema(schema).parquet(path).select("*", member)
+    counted = back.groupBy(*by, "member").agg(F.count("*").alias("n_rows"), F.sum(row_digest([f.name for f in schema])).alias("checksum"))
+    hashed = files.digests(files.listing(spark, path).where(F.col("member").endswith(".parquet")))
+    return counted.join(hashed, "member").select(*by, "member", "n_rows", "checksum", "length", "sha256")
+
+
+def manifest_faults(recorded: DataFrame, found: DataFrame) -> DataFrame:
+    """(member, code) of an export's files against its recorded manifest: missing, unexpected, or with other rows or bytes."""
+    r, f = (x.select("member", F.struct("n_rows", "checksum", "length").alias("rows"), F.col("sha256").alias("sha")) for x in (recorded, found))
+    met = r.alias("r").join(f.alias("f"), "member", "full_outer")
+    code = F.when(F.col("f.sha").isNull(), "missing_file").when(F.col("r.sha").isNull(), "unexpected_file").when(F.col("f.sha") != F.col("r.sha"), "bytes_differ").when(F.col("f.rows") != F.col("r.rows"), "rows_differ")
+    return met.select("member", code.alias("code")).where("code is not null")

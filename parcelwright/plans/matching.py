@@ -72,6 +72,29 @@ def candidate_property_match(spark, sf_dir):
     return exact.select(*names).unionByName(candidates.select(*names))
 
 
+@query(
+    "bounded_property_match",
+    """with a as (select c_custkey, c_nationkey as county, case when c_custkey % 2 = 0 then 1000000 else cast(round(c_acctbal / 100) as bigint) end as address from customer),
+      p as (select s_suppkey, s_nationkey as county, case when s_suppkey % 2 = 0 then 1000000 else cast(round(s_acctbal / 100) as bigint) end as address from supplier),
+      ex as (select c_custkey from a join p on a.county = p.county and c_custkey % 1000 = s_suppkey % 1000), o as (select * from a where c_custkey not in (select c_custkey from ex)),
+      b as (select county, address, x.n as n_accounts, y.n as n_properties from (select county, address, count(*) as n from o group by all) x join (select county, address, count(*) as n from p group by all) y using (county, address))
+    select 'pair' as kind, cast(c_custkey as varchar) as account, cast(s_suppkey as varchar) as property, 1 as n_accounts, 1 as n_properties from o join p using (county, address) join b using (county, address) where b.n_accounts * b.n_properties <= 100
+    union all select 'class', cast(c_custkey as varchar), null, n_accounts, n_properties from o join b using (county, address) where n_accounts * n_properties > 100
+    union all select 'class', null, cast(s_suppkey as varchar), n_accounts, n_properties from p join b using (county, address) where n_accounts * n_properties > 100""",
+)
+def bounded_property_match(spark, sf_dir):
+    """Candidates where half of each county's accounts and properties share one address: that address is a class, not all pairs."""
+    spelled = lambda key, balance, form: F.when(F.col(key) % 2 == 0, F.lit("PO Box 1")).otherwise(F.format_string(form, (F.round(F.col(balance) / 100) + 100).cast("long")))
+    c = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("county"), (F.col("c_custkey") % 1000).alias("account"), spelled("c_custkey", "c_acctbal", "  No. %d, Main  st.").alias("address"))
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").alias("county"), (F.col("s_suppkey") % 1000).alias("account"), spelled("s_suppkey", "s_acctbal", "no %d MAIN-ST").alias("address"))
+    exact = match.exact_match(c.drop("address"), s.drop("address"), ["county", "account"])
+    pairs, classes = match.bounded_candidates(c.drop("account"), s.drop("account"), exact, "c_custkey", "s_suppkey", "county", "address")
+    one = F.lit(1).cast("long")
+    shown = pairs.select(F.lit("pair").alias("kind"), F.col("c_custkey").cast("string").alias("account"), F.col("s_suppkey").cast("string").alias("property"), one.alias("n_accounts"), one.alias("n_properties"))
+    is_account = F.col("side") == "account"
+    return shown.unionByName(classes.select(F.lit("class").alias("kind"), F.when(is_account, F.col("key")).alias("account"), F.when(~is_account, F.col("key")).alias("property"), "n_accounts", "n_properties"))
+
+
 @query(
     "snapshot_diff",
     """with o as (select o_orderkey // 2 as k, o_orderstatus, o_custkey % 3 as f from orders where o_orderkey % 2 = 0 and o_custkey % 10 > 0), n as (select o_orderkey // 2 as k, o_orderstatus, o_custkey % 3 as f from orders where o_orderkey % 2 = 1 and o_custkey % 10 < 9)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from parcelwright.operators import release
 from parcelwright.plans.registry import query
 from parcelwright.plans.validating import judged
-from parcelwright.sources import views
+from parcelwright.sources import scan, views, workspace
 from parcelwright.sources.views import accounts, counties, members, observations, owner_rows, table
 
 A, O, M, V = views.ACCOUNTS_SQL, views.OWNER_ROWS_SQL, views.MEMBERS_SQL, views.OBSERVATIONS_SQL
@@ -67,6 +67,30 @@ def evidence_manifest(spark, sf_dir):
     return release.evidence_manifest(accounts(spark, sf_dir), ["county", "tax_year"], ["value", "o_custkey"])
 
 
+_HALF = lambda i: f"(sum(cast('0x' || substr(sha, {i}, 16) as uhugeint)::hugeint) % 18446744073709551616)"
+
+
+@query(
+    "evidence_fingerprint",
+    f"""with {A}, r as (select county, tax_year, o_custkey, sha256('{{"o_custkey":"' || o_custkey || '","o_orderkey":"' || o_orderkey || '","value":"' || value || '"}}') as sha from accounts),
+      k as (select county, tax_year, o_custkey, count(*) as n from r group by all),
+      f as (select county, tax_year, count(*) as n_rows, lpad(to_hex({_HALF(1)}::ubigint), 16, '0') || lpad(to_hex({_HALF(17)}::ubigint), 16, '0') as fingerprint from r group by rollup (county, tax_year)),
+      g as (select county, tax_year, count(*) as n_keys, count(*) filter (n > 1) as n_repeated from k group by rollup (county, tax_year))
+    select f.county, f.tax_year, n_rows, n_keys, n_repeated, lower(fingerprint) as fingerprint, true as merges from f join g on f.county is not distinct from g.county and f.tax_year is not distinct from g.tax_year""",
+)
+def evidence_fingerprint(spark, sf_dir):
+    """Keys and order-free fingerprints at all levels; those of counties and of all must equal what merges from the years' fingerprints."""
+    a = workspace.written(accounts(spark, sf_dir).select("county", "tax_year", "o_custkey", "o_orderkey", "value"), "evidence")
+    columns = ["o_custkey", "o_orderkey", "value"]
+    made = release.keyed_evidence(a, ["county", "tax_year"], ["o_custkey"], columns)
+    fine = release.fingerprinted(a, ["county", "tax_year"], columns)
+    up = release.merged_fingerprints(fine, ["county"]).withColumn("tax_year", F.lit(None).cast("int"))
+    whole = release.merged_fingerprints(fine, []).withColumns({"county": F.lit(None).cast("int"), "tax_year": F.lit(None).cast("int")})
+    merged = fine.unionByName(up).unionByName(whole).select(F.col("county").alias("_c"), F.col("tax_year").alias("_y"), F.col("fingerprint").alias("_f"))
+    met = made.join(merged, made["county"].eqNullSafe(F.col("_c")) & made["tax_year"].eqNullSafe(F.col("_y")), "left")
+    return met.select("county", "tax_year", "n_rows", "n_keys", "n_repeated", "fingerprint", F.coalesce(F.col("_f") == F.col("fingerprint"), F.lit(False)).alias("merges"))
+
+
 @query(
     "county_reconciliation",
     f"with {A}, c as (select county, tax_year, count(*) as n_rows, sum(value)::double as total from accounts group by rollup (county, tax_year)), f as (select county, tax_year, count(*) + (case when tax_year = 1997 then 1 else 0 end) as official_rows from accounts group by county, tax_year) select c.*, f.official_rows, n_rows = official_rows as agrees from c left join f on c.county is not distinct from f.county and c.tax_year is not distinct from f.tax_year",
@@ -105,6 +129,23 @@ def progress_table(spark, sf_dir):
     return release.progress(counts, ["release"], 1000)
 
 
+@query(
+    "staged_progress",
+    """with r as (select l_returnflag as release, row_number() over (partition by l_returnflag order by l_orderkey, l_linenumber, l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_linestatus) as rn, l_orderkey % 3 as n, l_returnflag <> 'N' and l_orderkey % 997 = 990 as bad from lineitem),
+      c as (select release, rn, sum(case when f is null or rn < f then n else 0 end) over (partition by release order by rn) as staged, max(rn) over (partition by release) as last from r join (select release, min(rn) filter (bad) as f from r group by 1) using (release))
+    select release, (rn // 1000 - 1)::int as sequence, rn as rows, staged::bigint as staged, false as final from c where rn % 1000 = 0 union all select release, (rn // 1000)::int, rn, staged::bigint, true from c where rn = last""",
+)
+def staged_progress(spark, sf_dir):
+    """Lines of each return flag as a release; rows of an order make none to two records, and the first rejected row ends staging."""
+    li = table(spark, sf_dir, "lineitem")
+    order = ["l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linestatus"]
+    part = F.col("l_returnflag").alias("member"), F.struct(*order).alias("value")
+    sorted_ = li.repartitionByRange("l_returnflag", *order).sortWithinPartitions("l_returnflag", *order).select(*part).withColumn("block", F.spark_partition_id())
+    numbered = scan.with_row_numbers(sorted_)
+    rows = numbered.select(F.col("member").alias("release"), "physical_row_number", (F.col("value.l_orderkey") % 3).alias("n_records"), ((F.col("member") != "N") & (F.col("value.l_orderkey") % 997 == 990)).alias("rejected"))
+    return release.staged_progress(rows, ["release"], 1000)
+
+
 @query(
     "evidence_seal",
     """with e as (select user_id, event_id, row_number() over (partition by user_id order by ts, event_id) as rn, count(*) over (partition by user_id) as total from events where event_type = 'error'),

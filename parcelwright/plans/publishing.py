@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from parcelwright.operators import match, publish, reshape
+from parcelwright.operators import match, publish, reshape, versions
 from parcelwright.plans.profiling import _RELEASES, releases
 from parcelwright.plans.registry import query
 from parcelwright.sources import views, workspace
@@ -125,6 +125,33 @@ def promote_publication(spark, sf_dir):
     return promoted(spark, sf_dir)
 
 
+@query(
+    "publication_versions",
+    """with b as (select o_custkey % 40 as county, 1 as round, count(*) as n, sum(cast(o_totalprice as decimal(18,2))) as total from orders where o_orderkey % 2 = 0 group by 1
+        union all select o_custkey % 40, 2, count(*), sum(cast(o_totalprice as decimal(18,2))) from orders group by 1),
+      j as (select *, case when round = 1 and county % 7 = 0 or round = 2 and (county % 3 = 0 or county % 5 = 0) then 'failed' else 'good' end as st from b),
+      p as (select *, st = 'good' and round = max(round) filter (st = 'good') over (partition by county) as cur from j)
+    select cast(county as varchar) as county, round::long as version, case when st = 'failed' then 'failed' when cur then 'current' else 'superseded' end as state,
+      case when st = 'good' and not cur then county + 2000 end as superseded_by, case when cur then n else 0 end as n_rows, case when cur then total::double else 0 end as total from p""",
+)
+def publication_versions(spark, sf_dir):
+    """Two promotions of a product for forty counties. In each some builds fail and some have runs that are not publishable; their counties keep what they had."""
+    a = table(spark, sf_dir, "orders").select((F.col("o_custkey") % 40).alias("c"), "o_orderkey", money("o_totalprice").alias("value"))
+    store = versions.Publications(spark, workspace.new_path(spark, "publications"))
+    records = a.select(F.lit("roll").alias("product"), F.col("c").cast("string").alias("county"), "o_orderkey", "value", F.explode(F.when(F.col("o_orderkey") % 2 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(2)))).alias("round"), "c")
+    records = records.withColumn("run", F.col("c") + F.col("round") * 1000)
+    for number in (1, 2):
+        mine = records.where(F.col("round") == number)
+        failed = (F.col("c") % 7 == 0) if number == 1 else (F.col("c") % 3 == 0)
+        builds = mine.groupBy("product", "county", "run", "c").count().select("product", "county", "run", F.col("run").alias("publication"), F.when(failed, "failed").otherwise("built").alias("state"), F.lit(f"2025-0{number}-01").cast("timestamp").alias("published_at"), "c")
+        blocked = (F.col("c") % 5 == 0) & (F.lit(number) == 2)
+        store.promote(builds.drop("c"), mine.drop("round", "c"), builds.where(~blocked).select("run"))
+    seen = store.read("product string, county string, o_orderkey long, value decimal(18,2)").groupBy("county", "version").agg(F.count("*").alias("n_rows"), F.sum("value").cast("double").alias("total"))
+    met = store.table().join(seen, ["county", "version"], "left")
+    shown_ = F.col("state") == "current"
+    return met.select("county", "version", "state", "superseded_by", F.when(shown_, F.col("n_rows")).otherwise(0).alias("n_rows"), F.when(shown_, F.col("total")).otherwise(0.0).alias("total"))
+
+
 @query("current_publication", f"with {_PROMOTED} select county, tax_year, release_kind, as_of from pr where state = 'current'")
 def current_publication(spark, sf_dir):
     return publish.current_publication(promoted(spark, sf_dir))
@@ -134,7 +161,26 @@ def current_publication(spark, sf_dir):
 def account_lookup(spark, sf_dir):
     a = accounts(spark, sf_dir)
     folder = workspace.new_path(spark, "gold")
-    a.repartition("county").write.partitionBy("county").parquet(folder)
+    publish.write_lookup(a, folder)
     gold = spark.read.schema(a.schema).parquet(folder)
     first = gold.where("county = 3").agg(F.min("account_id").alias("account_id")).first()[0]
     return shown(publish.account_lookup(gold, 3, F.lit(first)))
+
+
+@query(
+    "account_fields",
+    """with a as (select lpad(cast(o_orderkey as varchar), 17, '0') as account_id, o_custkey % 6 as county, o_orderkey, cast(o_totalprice as decimal(18,2)) as value, year(o_orderdate) as run from orders)
+    select account_id, source_field, v as value, run, 'release-' || run as release from (select account_id, run, unnest(['value', 'run']) as source_field, unnest([cast(value as varchar), cast(run as varchar)]) as v from a where county = 3 and o_orderkey % 50 = 1)""",
+)
+def account_fields(spark, sf_dir):
+    """Approved fields and lineage of some accounts of a county, from a table laid out for look-up; the name of the customer is not approved."""
+    o = table(spark, sf_dir, "orders")
+    a = o.select(F.lpad(F.col("o_orderkey").cast("string"), 17, "0").alias("account_id"), (F.col("o_custkey") % 6).cast("int").alias("county"), money("o_totalprice").alias("value"), F.year("o_orderdate").alias("run"), F.col("o_clerk" if "o_clerk" in o.columns else "o_orderpriority").alias("owner"), "o_orderkey")
+    folder = workspace.new_path(spark, "gold")
+    publish.write_lookup(a.drop("o_orderkey"), folder, rows_per_file=2_000, rows_per_group=500)
+    gold = spark.read.schema(a.drop("o_orderkey").schema).parquet(folder)
+    wanted = [r.account_id for r in a.where((F.col("county") == 3) & (F.col("o_orderkey") % 50 == 1)).select("account_id").collect()]  # the accounts that a caller asks for
+    when = F.lit("2025-01-01").cast("timestamp")
+    policy = spark.createDataFrame([("value", True, "A. Clerk", "R-1"), ("run", True, "A. Clerk", "R-2"), ("owner", False, "A. Clerk", "R-3")], "source_field string, publication_allowed boolean, approved_by string, review_reference string").withColumn("approved_at", when)
+    lineage = a.select("run").distinct().withColumn("release", F.concat(F.lit("release-"), F.col("run").cast("string")))
+    return publish.lookup(gold, 3, wanted, ["value", "run", "owner"], policy, lineage).select("account_id", "source_field", "value", "run", "release")

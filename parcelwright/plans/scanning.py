@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from parcelwright.operators import storage
 from parcelwright.plans.registry import query
-from parcelwright.sources import scan, workspace
+from parcelwright.sources import files, scan, workspace
 from parcelwright.sources.views import money, table
 from parcelwright.streaming import intake
 
@@ -88,25 +88,51 @@ def scan_pipe_delimited(spark, sf_dir):
     return met.select(F.regexp_extract("value", r"\A([0-9]+)", 1).cast("long").alias("key"), "code", "s_name", "s_nationkey", "s_acctbal")
 
 
-@query("content_inventory", "select sha256(text) as sha256, count(*) as n, min(doc_id) as locator, min(strlen(text)) as byte_count from documents group by text")
-def content_inventory(spark, sf_dir):
-    return storage.content_keys(table(spark, sf_dir, "documents"), F.col("text"), F.col("doc_id"))
-
-
 @query(
-    "silver_sink_idempotent",
-    "with x as (select l_orderkey, l_linenumber, case when l_returnflag = 'N' then null else l_returnflag end as family from lineitem) select l_orderkey, l_linenumber, family from x group by all having not bool_or(l_orderkey % 4 = 3)",
+    "content_inventory",
+    """with f as (select doc_id % 97 as bucket, coalesce(string_agg(text || chr(10), '' order by doc_id), '') as content from documents group by 1),
+    g as (select bucket, content from f union all select 97, content from f where bucket = 0 union all select * from (values (98, ''), (99, '')))
+    select sha256(content) as sha256, count(*) as n, min(bucket)::int as locator, min(strlen(content)) as byte_count from g group by content""",
 )
+def content_inventory(spark, sf_dir):
+    """Documents as 97 files, one of them twice, and two empty files; each is hashed in chunks of 64 KB."""
+    path = workspace.new_path(spark, "artifacts")
+    d = table(spark, sf_dir, "documents").where("text is not null").select((F.col("doc_id") % 97).cast("int").alias("bucket"), "doc_id", F.col("text").alias("value"))
+    d = d.withColumn("bucket", F.explode(F.when(F.col("bucket") == 0, F.array(F.lit(0), F.lit(97))).otherwise(F.array("bucket"))))
+    d.repartition("bucket").sortWithinPartitions("bucket", "doc_id").drop("doc_id").write.partitionBy("bucket").text(path)
+    for bucket in (98, 99):
+        spark.range(0, 0, 1, 1).select(F.lit("").alias("value")).coalesce(1).write.text(f"{path}/bucket={bucket}")
+    found = storage.content_inventory(spark, path, chunk_bytes=1 << 16)
+    number = F.regexp_extract("member", r"bucket=([0-9]+)/", 1).cast("int")
+    least = files.digests(files.listing(spark, path)).groupBy("sha256").agg(F.min(number).alias("locator"))
+    return found.drop("locator").join(least, "sha256").select("sha256", "n", "locator", "byte_count")
+
+
+@query("silver_sink_idempotent", "select distinct l_orderkey, l_linenumber, case when l_returnflag = 'N' then null else l_returnflag end as family from lineitem")
 def silver_sink_idempotent(spark, sf_dir):
+    """A quarter of the records is appended, then all, then all again: the table holds every key once, nulls not distinct."""
     key = ["l_orderkey", "l_linenumber", "family"]
     x = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.when(F.col("l_returnflag") == "N", None).otherwise(F.col("l_returnflag")).alias("family"))
-    return storage.append_idempotent(x, x.where("l_orderkey % 4 = 3"), key)
+    path = workspace.new_path(spark, "silver")
+    for part in (x.where("l_orderkey % 4 = 3"), x, x):
+        storage.append_records(part, path, key)
+    return spark.read.schema(x.schema).parquet(path)
 
 
-@query("bulk_export_manifest", "select cast(o_custkey % 6 as int) as county, cast(year(o_orderdate) as int) as tax_year, count(*) as n_rows from orders group by all")
+@query(
+    "bulk_export_manifest",
+    """select cast(o_custkey % 6 as int) as county, cast(year(o_orderdate) as int) as tax_year, count(*) as n_rows,
+      cast(sum(cast('0x' || substr(sha256('{"county":"' || (o_custkey % 6) || '","o_orderkey":"' || o_orderkey || '","tax_year":"' || year(o_orderdate) || '","value":"' || cast(o_totalprice as decimal(18,2)) || '"}'), 1, 12) as bigint)) as varchar) as checksum,
+      ceil(count(*) / 100)::bigint > 1 as split, 0 as n_faults from orders group by 1, 2""",
+)
 def bulk_export_manifest(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").select((F.col("o_custkey") % 6).cast("int").alias("county"), F.year("o_orderdate").alias("tax_year"), "o_orderkey", "o_totalprice")
-    return storage.bulk_export(o, workspace.new_path(spark, "export"), ["county", "tax_year"]).drop("checksum")
+    """An export in files of about 100 rows; checksums of its files, added up by partition, and what a second reading finds against the manifest."""
+    o = table(spark, sf_dir, "orders").select((F.col("o_custkey") % 6).cast("int").alias("county"), F.year("o_orderdate").alias("tax_year"), "o_orderkey", money("o_totalprice").alias("value"))
+    path = workspace.new_path(spark, "export")
+    made = workspace.written(storage.bulk_export(o, path, ["county", "tax_year"], rows_per_file=100), "manifest")
+    faults = storage.manifest_faults(made, storage.manifest(spark, path, o.schema, ["county", "tax_year"])).groupBy().agg(F.count("*").cast("int").alias("n_faults"))
+    sums = made.groupBy("county", "tax_year").agg(F.sum("n_rows").alias("n_rows"), F.sum("checksum").cast("decimal(30,0)").cast("string").alias("checksum"), (F.count("*") > 1).alias("split"))
+    return sums.crossJoin(F.broadcast(faults))  # one row
 
 
 @query(
@@ -124,15 +150,27 @@ def quarantine_sink(spark, sf_dir):
     return back.groupBy("accepted").agg(F.count_distinct("county", "y").alias("n_releases"), F.count("*").alias("n_records"))
 
 
-@query("incremental_release_intake", "select 0 as round, count(*) as n_rows from orders where o_orderkey % 2 = 0 union all select 1, count(*) from orders where o_orderkey % 2 = 1")
+@query(
+    "incremental_release_intake",
+    """with f as (select o_custkey % 50 as p, 1 as delivery from orders where o_custkey % 50 < 40 group by 1 union all select o_custkey % 50, 2 from orders group by 1),
+      s as (select f.*, p % 5 = 0 and delivery = 2 as other from f)
+    select p::int as partition_key, delivery, case when delivery = 1 or p >= 40 then 'NEW' when other then 'DIVERGED' else 'IDENTICAL' end as classification,
+      case when delivery = 2 and p < 40 and not other then 0 else n end as n_taken
+    from s join (select o_custkey % 50 as p, count(*) as n from orders group by 1) using (p)""",
+)
 def incremental_release_intake(spark, sf_dir):
-    """Two deliveries and a repeat: each file is taken once."""
+    """Two deliveries of files, a file a partition: of the second, some bring the bytes of the first again, some other bytes. The stream
+    runs once more without anything new. The ledger has every delivery, the target the rows of new and diverged ones."""
     folder = workspace.new_path(spark, "intake")
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
-    run = lambda: intake.release_intake(spark, f"{folder}/in", "o_orderkey long, o_totalprice double", f"{folder}/out", f"{folder}/state")
-    for part in (0, 1):
-        o.where(F.col("o_orderkey") % 2 == part).write.mode("append").parquet(f"{folder}/in")
-        run()
-    run()
-    taken = spark.read.parquet(f"{folder}/out")
-    return taken.groupBy((F.col("o_orderkey") % 2).cast("int").alias("round")).agg(F.count("*").alias("n_rows"))
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", (F.col("o_custkey") % 50).cast("int").alias("p"))
+    taker = intake.Intake(spark, f"{folder}/out", f"{folder}/ledger", r"/p=([0-9]+)/")
+    for delivery in (1, 2):
+        lines = F.concat_ws("|", F.col("o_orderkey").cast("string"), money("o_totalprice").cast("string"), F.when((F.col("p") % 5 == 0) & (F.lit(delivery) == 2), "x"))
+        rows = (o.where("p < 40") if delivery == 1 else o).select("p", "o_orderkey", lines.alias("value"))
+        rows.repartition("p").sortWithinPartitions("p", "o_orderkey").drop("o_orderkey").write.mode("append").partitionBy("p").text(f"{folder}/in/delivery={delivery}")
+        taker.run(f"{folder}/in/delivery=*/p=*", f"{folder}/state")
+    taker.run(f"{folder}/in/delivery=*/p=*", f"{folder}/state")
+    ledger, taken = taker.ledger(), taker.taken()
+    number = F.regexp_extract("member", r"/delivery=([0-9]+)/", 1).cast("int").alias("delivery")
+    counts = taken.groupBy("member").agg(F.count("*").alias("n_taken"))
+    return ledger.join(counts, "member", "left").select(F.col("partition_key").cast("int").alias("partition_key"), number, "classification", F.coalesce("n_taken", F.lit(0)).cast("long").alias("n_taken"))

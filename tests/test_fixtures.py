@@ -190,9 +190,28 @@ def test_inventory_of_files(spark, tmp_path):
     assert sorted(r.n for r in storage.content_inventory(spark, f"file://{tmp_path}").collect()) == [1, 2]
 
 
-def test_export_files_and_manifest(spark, tmp_path):
-    df = spark.range(10).select("id", (F.col("id") % 2).alias("k"))
-    first = {tuple(r) for r in storage.bulk_export(df, f"file://{tmp_path}/a", ["k"]).collect()}
-    second = {tuple(r) for r in storage.bulk_export(df.repartition(5), f"file://{tmp_path}/b", ["k"]).collect()}
-    assert first == second and len(first) == 2
-    assert all(len(r.sha256) == 64 for r in storage.export_files(spark, f"file://{tmp_path}/a").collect())
+def test_export_and_manifest(spark, tmp_path):
+    df = spark.range(1000).select("id", (F.col("id") % 2).alias("k"), F.when(F.col("id") > 3, "x").alias("s"))
+    sums = lambda m: {r.k: (r.n, r.c) for r in m.groupBy("k").agg(F.sum("n_rows").alias("n"), F.sum("checksum").alias("c")).collect()}
+    made = [storage.bulk_export(d, f"file://{tmp_path}/{name}", ["k"], rows_per_file=n) for d, name, n in ((df, "a", 100), (df.repartition(5), "b", 10_000))]
+    assert sums(made[0]) == sums(made[1]) and {k: n for k, (n, _) in sums(made[0]).items()} == {0: 500, 1: 500}
+    rows = made[0].collect()
+    assert max(r.n_rows for r in rows) <= 100 and all(len(r.sha256) == 64 and r.length > 0 for r in rows)
+    kept = spark.createDataFrame(rows, made[0].schema)
+    again = lambda: sorted(r.code for r in storage.manifest_faults(kept, storage.manifest(spark, f"file://{tmp_path}/a", df.schema, ["k"])).collect())
+    assert again() == []
+    files_ = sorted((tmp_path / "a").rglob("*.parquet"))
+    files_[0].unlink()
+    for f in files_[1:2]:
+        f.write_bytes(files_[2].read_bytes())
+        f.with_name("." + f.name + ".crc").unlink(missing_ok=True)
+    spark.catalog.refreshByPath(f"file://{tmp_path}/a")
+    assert again() == ["bytes_differ", "missing_file"]
+
+
+def test_append_again_adds_nothing(spark, tmp_path):
+    path = f"file://{tmp_path}/t"
+    rows = spark.createDataFrame([(1, None), (1, None), (2, "a"), (None, None)], "k long, f string")
+    for part in (rows.where("k = 2"), rows, rows):
+        storage.append_records(part, path, ["k", "f"])
+    assert sorted(map(tuple, spark.read.parquet(path).collect()), key=str) == [(1, None), (2, "a"), (None, None)]
