@@ -1,4 +1,8 @@
-"""Line dedup: content-defined chunks of lines, removed where their bytes stood before."""
+"""Line dedup: content-defined chunks of lines, removed where their bytes stood before.
+
+A hash rolls over the hashes of two consecutive lines. In each of FAMILIES families a bit of it, set for half of all pairs, makes the
+pair's first line begin chunks and its second line end them, so a boundary depends on lines inside a chunk alone and shifts with them.
+"""
 
 from __future__ import annotations
 
@@ -11,6 +15,11 @@ CHUNK_WORDS = 12
 PASSAGE_WORDS = 50
 
 
+#: Families of boundaries, each a bit of the rolling hash: what one family cuts badly, another cuts well.
+FAMILIES = 8
+#: A chunk that counts ends at its family's next boundary, after this many further lines at the latest.
+REACH = 3
+
 #: A span is kept as one long: start times this, plus the number of lines.
 _SPAN = 1 << 31
 
@@ -27,20 +36,49 @@ def _least(counts: Column) -> Column:
     return F.when(full(met), met["n"]).otherwise(0)
 
 
+def _shortest(c0: Column, c1: Column, c2: Column, rest: Column) -> Column:
+    """_least, with the first three lines tried by themselves: they suffice for most."""
+    return F.when(c0 + c1 >= CHUNK_WORDS, 2).when(c0 + c1 + c2 >= CHUNK_WORDS, 3).otherwise(_least(rest))
+
+
+def _cuts(begin: Column, met: list[Column]) -> list[Column]:
+    """Where the families that begin in a line end: for each of the lines met, whether one of them ends there. begin and met are
+    bits by family; whoever met no boundary before the last line ends there."""
+    out, seen = [], F.lit(0)
+    for x in met[:-1]:
+        left = begin.bitwiseAND(F.bitwise_not(seen))
+        out.append(left.bitwiseAND(x) != 0)
+        seen = seen.bitwiseOR(x)
+    return [*out, begin.bitwiseAND(F.bitwise_not(seen)) != 0]
+
+
 def _spans() -> Column:
-    """The shortest chunk that counts from each line on, and the shortest that ends with each; long lines by themselves.
+    """The chunks that count, from boundary to boundary in each family; long lines by themselves.
 
-    Chunks begin and end with lines that have words; `counts` has these lines' words and `at` their places, so
-    a chunk has CHUNK_WORDS of them at most, and blank lines between them belong to it. The lines of a chunk alone
-    decide on it, so a repeated passage of several lines with CHUNK_WORDS has its lines in such chunks
-    wherever it stands: a line too near its end to start one lies in the one that ends there.
+    Chunks begin and end with lines that have words; `counts` has these lines' words, `at` their places, and `marks` the families
+    in which a line and the next are a boundary; blank lines between lines of a chunk belong to it. A family's chunk goes from a
+    beginning to the first ending that makes it count, and likewise back from an ending; REACH bounds both.
     """
-    lines = F.when(F.size("counts") > 0, F.sequence(F.lit(0), F.size("counts") - 1)).otherwise(F.array().cast("array<int>"))
-    span = lambda i, n: F.when(n > 0, F.get("at", i).cast("long") * _SPAN + F.get("at", i + n - 1) - F.get("at", i) + 1)
-    onward = F.transform(lines, lambda i: _least(F.slice("counts", i + 1, F.lit(CHUNK_WORDS))))
-    back = F.transform(lines, lambda i: _least(F.reverse(F.slice("counts", F.greatest(i + 2 - CHUNK_WORDS, F.lit(1)), F.least(i + 1, F.lit(CHUNK_WORDS))))))
-    alone = F.transform(F.filter(lines, lambda i: F.get("counts", i) >= PASSAGE_WORDS), lambda i: span(i, F.lit(1)))
-    both = F.concat(F.transform(onward, lambda n, i: span(i, n)), F.transform(back, lambda n, i: span(i + 1 - n, n)), alone)
+    n = F.size("counts")
+    lines = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    count = lambda i: F.get("counts", i)
+    mark = lambda i: F.when(i >= 0, F.coalesce(F.get("marks", i), F.lit(0))).otherwise(0)
+    span = lambda i, j: F.when((i >= 0) & (j < n), F.get("at", i).cast("long") * _SPAN + F.get("at", j) - F.get("at", i) + 1)
+    onward = F.transform(lines, lambda i: _shortest(count(i), count(i + 1), count(i + 2), F.slice("counts", i + 1, F.lit(CHUNK_WORDS))))
+    back = F.transform(lines, lambda i: F.when(i > 0, _shortest(count(i), count(i - 1), F.when(i > 1, count(i - 2)), F.reverse(F.slice("counts", F.greatest(i + 2 - CHUNK_WORDS, F.lit(1)), F.least(i + 1, F.lit(CHUNK_WORDS)))))).otherwise(0))
+    steps = range(REACH + 1)
+
+    def from_begin(k: Column, i: Column) -> Column:
+        cuts = _cuts(mark(i), [mark(i + k - 2 + d) for d in steps])
+        return F.when((k > 0) & (mark(i) != 0), F.array(*(F.when(c, span(i, i + k - 1 + d)) for d, c in zip(steps, cuts))))
+
+    def from_end(k: Column, j: Column) -> Column:
+        cuts = _cuts(mark(j - 1), [mark(j - k + 1 - d) for d in steps])
+        return F.when((k > 0) & (mark(j - 1) != 0), F.array(*(F.when(c, span(j - k + 1 - d, j)) for d, c in zip(steps, cuts))))
+
+    alone = F.transform(F.filter(lines, lambda i: count(i) >= PASSAGE_WORDS), lambda i: span(i, i))
+    drawn = F.concat(F.transform(onward, from_begin), F.transform(back, from_end))
+    both = F.concat(F.flatten(F.filter(drawn, lambda x: x.isNotNull())), alone)
     return F.array_distinct(F.filter(both, lambda s: s.isNotNull()))
 
 
@@ -53,11 +91,14 @@ def _length(span: Column) -> Column:
 
 
 def chunks(docs: DataFrame) -> DataFrame:
-    """(doc_id, th, start, n, chunk): the shortest chunks that count, with the hash of its line hashes; one scan, narrow rows."""
+    """(doc_id, th, start, n, chunk): the content-defined chunks that count, with the hash of their line hashes; one scan, narrow rows."""
     lines = docs.select("doc_id", F.xxhash64("text").alias("th"), F.split(F.coalesce("text", F.lit("")), "\n", -1).alias("lines"))
     base = lines.select("doc_id", "th", F.transform("lines", lambda x: F.xxhash64(x)).alias("hashes"), F.transform("lines", _words).alias("words"))
     filled = F.filter(F.transform("words", lambda c, i: F.when(c > 0, i)), lambda i: i.isNotNull())
     base = base.select("doc_id", "th", "hashes", F.filter("words", lambda c: c > 0).alias("counts"), filled.alias("at"))
+    rolled = F.transform("at", lambda i, k: F.xxhash64(F.get("hashes", i), F.get("hashes", F.get("at", k + 1))))
+    marks = F.transform(F.slice(rolled, F.lit(1), F.greatest(F.size("at") - 1, F.lit(0))), lambda h: h.bitwiseAND((1 << FAMILIES) - 1).cast("int"))
+    base = base.select("*", marks.alias("marks"))
     spans = base.select("doc_id", "th", "hashes", _spans().alias("spans"))
     hashed = lambda s: F.struct(_start(s).alias("start"), _length(s).alias("n"), F.xxhash64(F.slice("hashes", _start(s) + 1, _length(s)), _length(s)).alias("chunk"))
     # explode_outer, for explode would let the optimizer move a copy of all this into a filter, hashes inside the loop over spans
