@@ -21,8 +21,11 @@ BLOCK_BYTES = 8 << 20
 SHARD_KEYS = 1_500_000
 #: A block's message to a shard holds this many n-grams on average at least, so messages never outgrow n-grams.
 MESSAGE_KEYS = 16
-#: Bits of a word's key; of the context's hash and of the n-gram's own hash in the keys of longer n-grams, behind the shard's bits.
-WORD_BITS, CONTEXT_BITS, CHILD_BITS = 56, 18, 20
+#: Bits of a word's key; of the context's hash and of the n-gram's own hash in the keys of longer n-grams, behind the shard's bits. The
+#: own bits alone tell the children of one context apart, so they are many: of 200 000 in a shard, about 40 share a key.
+WORD_BITS, CONTEXT_BITS, CHILD_BITS = 56, 8, 30
+#: Upper bits of a key that pointers lead from: the context's and the first of the child's.
+POINTER_BITS = 18
 #: Weight of the shorter context's distribution, in counts, by order.
 CONCENTRATION = {2: 1000.0, 3: 10.0}
 #: Held out of training: crc32 of doc_id as text modulo FOLDS is 0.
@@ -138,15 +141,15 @@ class Level:
     """One shard of a level of the trie: the children of all contexts whose keys fall into it.
 
     A child's key is the hash of its context, cut to CONTEXT_BITS, and a code of the child relative to it.
-    Keys are one Elias-Fano sequence whose high bits are the contexts: its unary part is the monotone sequence of
-    pointers from contexts to children, and find() searches a child among its context's successors only. Each child has
-    its count, quantised; words also have it exact.
+    Keys are one Elias-Fano sequence whose high bits are the contexts and the first bits of the children's codes: its unary part is the
+    monotone sequence of pointers from these to children, and find() searches a child among their successors only. Each
+    child has its count, quantised; words also have it exact.
     """
 
     @staticmethod
-    def image(keys: np.ndarray, counts: np.ndarray, child_bits: int, exact: bool) -> bytes:
+    def image(keys: np.ndarray, counts: np.ndarray, low_bits: int, exact: bool) -> bytes:
         codes = quantise(counts).astype("<u2").tobytes()
-        return EliasFano.encode(keys, child_bits) + codes + (counts.astype("<u4").tobytes() if exact else b"")
+        return EliasFano.encode(keys, low_bits) + codes + (counts.astype("<u8").tobytes() if exact else b"")
 
     def __init__(self, raw):
         raw = np.frombuffer(raw, np.uint8) if not isinstance(raw, np.ndarray) else raw
@@ -154,7 +157,7 @@ class Level:
         at, n = self.keys.size, self.keys.n
         self.codes = np.ndarray(n, "<u2", raw[at : at + 2 * n])
         rest = raw[at + 2 * n :]
-        self.counts = np.ndarray(n, "<u4", rest) if len(rest) else None
+        self.counts = np.ndarray(n, "<u8", rest) if len(rest) else None
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Place of each key, by successor search among the children of its context; -1 if it isn't there."""
@@ -180,7 +183,7 @@ class Level:
         codes, exact = np.full(len(at), _ABSENT), b""
         codes[known] = self.codes[at[known]]
         if self.counts is not None:
-            counts = np.zeros(len(at), "<u4")
+            counts = np.zeros(len(at), "<u8")
             counts[known] = self.counts[at[known]]
             exact = _deflated(counts)
         return zlib.compress(codes.astype("<u2").tobytes(), 1), exact
@@ -327,11 +330,11 @@ def _built(shard_bits: int):
         asked = [EliasFano(x.as_buffer()).decode() for x in table.column("keys")]
         counts = np.concatenate([_inflated(x.as_py(), "<u4") for x in table.column("counts")])
         keys, back = np.unique(np.concatenate(asked), return_inverse=True)
-        total = np.bincount(back, weights=counts).astype(np.int64)
+        total = np.bincount(back, weights=counts).astype(np.int64)  # sums in doubles, exact up to 2^53
         del back, counts
         seen = total > 0
         keys, total = keys[seen], total[seen]
-        image = Level.image(keys, total, _inner_bits(n, shard_bits) - CONTEXT_BITS, n == 1)
+        image = Level.image(keys, total, _inner_bits(n, shard_bits) - POINTER_BITS, n == 1)
         whole = (int(total.sum()), len(total)) if n == 1 else (0, 0)
         return _replies(n, shard, Level(image), table.column("block").to_pylist(), asked, (n, shard, None, None, None, image, *whole))
 
@@ -343,7 +346,7 @@ def _asked(key, requests: pa.Table, images: pa.Table) -> pa.Table:
     asked = [EliasFano(x.as_buffer()).decode() for x in requests.column("keys")]
     level = Level(images.column("image")[0].as_py() if images.num_rows else EliasFano.encode(np.zeros(0, np.uint64), 1))
     if key[0].as_py() == 1 and level.counts is None:
-        level.counts = np.zeros(0, "<u4")
+        level.counts = np.zeros(0, "<u8")
     if not asked:
         return _replies(0, 0, level, [None], [np.zeros(0, np.uint64)], None).slice(0, 0)
     return _replies(key[0].as_py(), key[1].as_py(), level, requests.column("block").to_pylist(), asked, None)
@@ -371,7 +374,7 @@ class Model:
 
 def _of_order(replies: pa.Table, which: np.ndarray, k: int, column: str) -> np.ndarray:
     """A block's codes or exact counts of one order, over all shards in their order."""
-    read, kind = (_inflated, "<u4") if column == "exact" else (lambda raw, kind: np.frombuffer(zlib.decompress(raw), kind), "<u2")
+    read, kind = (_inflated, "<u8") if column == "exact" else (lambda raw, kind: np.frombuffer(zlib.decompress(raw), kind), "<u2")
     parts = [read(x.as_py(), kind) for x in replies.column(column).filter(pa.array(which == k))]
     return np.concatenate(parts) if parts else np.zeros(0, kind)
 

@@ -121,3 +121,24 @@ def test_messages_follow_ngrams(spark):
     (few, few_keys), (many, many_keys) = told
     assert many / few < 1.1 * many_keys / few_keys
     assert all(rows <= 2 * keys / ngrams.MESSAGE_KEYS for rows, keys in told)
+
+
+def test_counts_beyond_32_bits(tmp_path):
+    keys = np.array([3, 5, 1 << 30], np.uint64)
+    counts = np.array([1, 5_000_000_000, 7 << 40])
+    level = ngrams.Level(ngrams.Level.image(keys, counts, 20, True))
+    _, exact = level.answers(keys)
+    assert ngrams._inflated(exact, "<u8").tolist() == counts.tolist()
+
+
+def test_many_children_of_one_word(spark):
+    """200 000 children of one context: unseen ones stay unseen, and counts of seen ones are their own."""
+    n = 200_000
+    text = " ".join(f"the w{i}" for i in range(n))
+    rows = [(1, text), (2, " ".join(f"the w{i}" for i in range(0, n, 7)))]
+    held = [i for i in range(10_000, 10_400) if zlib.crc32(str(i).encode()) % 10 == 0][:2]
+    rows += [(held[0], " ".join(f"the x{i}" for i in range(5000))), (held[1], " ".join(f"the w{i}" for i in range(3, n, 11)))]
+    assert all(zlib.crc32(str(i).encode()) % 10 for i in (1, 2))
+    got = {r.doc_id: r for r in ngrams.lm_scores(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()}
+    for w in brute(rows, 3, ngrams.CONCENTRATION):
+        assert abs(got[w[0]].score - w[6]) <= 6e-4 * w[2] and abs(got[w[0]].base_score - w[5]) <= 1e-9 * w[2] * 10
