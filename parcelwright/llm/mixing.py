@@ -8,6 +8,8 @@ from parcelwright.sources import workspace as store
 
 #: Rows of one source that share a key bucket, about.
 BUCKET_ROWS = 2_000
+#: Weights are counted in steps of one over this.
+WEIGHT_STEPS = 20
 NO_SOURCE = "\U0010ffff\U0010ffff"
 
 
@@ -21,9 +23,10 @@ def quality_weight(text: Column) -> Column:
     return F.coalesce(F.lit(0.1) + plain / F.greatest(F.length(text), F.lit(1)), F.lit(0.1))
 
 
-def exponential_key(doc_id: Column, weight: Column, seed: str) -> Column:
-    """-ln(u) / weight with u in (0, 1) from an md5 of seed and doc_id: small keys are drawn first."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit(""))).cast("binary"))
+def exponential_key(doc_id: Column, text: Column, weight: Column, seed: str) -> Column:
+    """-ln(u) / weight with u in (0, 1) from an md5 of seed and doc_id (of the text where there is none): small keys are drawn first."""
+    name = F.coalesce(doc_id.cast("string"), F.md5(text.cast("binary")), F.lit(""))
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), name).cast("binary"))
     u = (F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") + 0.5) / float(1 << 48)
     return -F.ln(u) / weight
 
@@ -65,24 +68,29 @@ def mix(docs: DataFrame, seed: str = "mix", weights: tuple[int, ...] = (1, 2, 3)
     target goes to documents in the order of their exponential keys: those before the running sum of
     sizes reaches it, and the one that crosses it if its greater part lies inside.
 
-    A source is never sorted in one task. Its keys fall into buckets of about bucket_rows rows by the
-    exponential distribution; sums of buckets are prefix-summed, and only inside a bucket are rows
-    sorted. A null text has size 0 and is never drawn alone; null sources form one source, the last.
-    Rows with equal doc_id share a key and are told apart by size; equal rows are interchangeable.
-    The draw depends on seed and doc_id only, so reruns agree.
+    A source is never sorted in one task. Keys of weight w are exponential with rate w, so counts of a source's weights, in steps of
+    1 / WEIGHT_STEPS, give the share of its rows whose keys are below any key; buckets of about bucket_rows rows are
+    cut by that share, even at all weights. Sums of buckets are prefix-summed, and only inside a bucket are rows
+    sorted. Texts are read once: rows are written with their sizes and keys, the draw works on narrow rows, and whole ones are
+    joined to what was drawn once, at the end.
+
+    A null text has size 0 and is never drawn alone; null sources form one source, the last. Texts of any length count as one
+    size. An empty table gives an empty one. Rows with equal doc_id share a key and are told apart by size; equal rows are
+    interchangeable. Rows without doc_id are keyed by their text. The draw depends on seed and these only, so reruns agree.
     """
     text = F.col("text")
     row = F.struct(*(F.col(f"`{c}`") for c in (docs.columns if whole else ["doc_id", "source"]))).alias("_row")
-    rows = docs.select(row, "doc_id", F.coalesce("source", F.lit(NO_SOURCE)).alias("source_key"), words_in(text).alias("size"), exponential_key(F.col("doc_id"), quality_weight(text), seed).alias("key"))
-    if not whole:
-        rows = store.written(rows, "sized")  # texts are read once; with whole, rows hold texts and are read again instead
-    sizes = rows.drop("_row").groupBy("source_key").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
-    targets = source_targets(sizes.select("source_key", "source_size"), weights, most)
-    plan = sizes.drop("source_size").join(targets, "source_key").withColumn("epochs", F.floor(F.col("target") / F.greatest(F.col("source_size"), F.lit(1))).cast("long"))
+    rows = docs.select(row, "doc_id", F.coalesce("source", F.lit(NO_SOURCE)).alias("source_key"), words_in(text).alias("size"), quality_weight(text).alias("weight"), exponential_key(F.col("doc_id"), text, quality_weight(text), seed).alias("key"))
+    rows = store.written(rows.withColumn("_id", F.monotonically_increasing_id()), "sized")
+    narrow = rows.drop("_row") if whole else rows
+    by_weight = narrow.groupBy("source_key", (F.round(F.col("weight") * WEIGHT_STEPS) / WEIGHT_STEPS).alias("w")).agg(F.sum("size").alias("size"), F.count("*").alias("n"))
+    plan = by_weight.groupBy("source_key").agg(F.sum("size").alias("source_size"), F.sum("n").alias("n_docs"), F.collect_list(F.struct("w", "n")).alias("weights"))
+    targets = source_targets(plan.select("source_key", "source_size"), weights, most)
+    plan = plan.drop("source_size").join(targets, "source_key").withColumn("epochs", F.floor(F.col("target") / F.greatest(F.col("source_size"), F.lit(1))).cast("long"))
     plan = plan.withColumn("budget", F.col("target") - F.col("epochs") * F.col("source_size")).withColumn("buckets", F.ceil(F.col("n_docs") / bucket_rows))
     plan = store.written(plan, "plan")  # of known size: sent whole while small, else joined by a plain shuffle that splits hot sources
-    dealt = rows.join(plan, "source_key").withColumn("bucket", F.floor((1 - F.exp(-F.col("key"))) * F.col("buckets")).cast("long"))
-    sums = dealt.drop("_row").groupBy("source_key", "bucket").agg(F.sum("size").alias("in_bucket"))
+    dealt = narrow.join(plan, "source_key").withColumn("bucket", key_bucket()).drop("weights", "weight")
+    sums = dealt.groupBy("source_key", "bucket").agg(F.sum("size").alias("in_bucket"))
     offsets = sums.select("source_key", "bucket", (F.sum("in_bucket").over(W.partitionBy("source_key").orderBy("bucket")) - F.col("in_bucket")).alias("offset"))
     inside = W.partitionBy("source_key", "bucket").orderBy("key", "doc_id", "size").rowsBetween(W.unboundedPreceding, W.currentRow)
     placed = dealt.join(offsets, ["source_key", "bucket"]).withColumn("before", F.col("offset") + F.sum("size").over(inside) - F.col("size"))
@@ -90,4 +98,13 @@ def mix(docs: DataFrame, seed: str = "mix", weights: tuple[int, ...] = (1, 2, 3)
     taken = F.col("epochs") * F.col("size") + F.when(drawn, F.col("size")).otherwise(0)
     new = {"size": F.col("size"), "source_size": F.col("source_size"), "target": F.col("target"), "epochs": F.col("epochs"), "drawn": drawn, "taken": taken}
     old = [F.col(f"_row.`{c}`") for c in (docs.columns if whole else ["doc_id", "source"]) if c not in new]
-    return placed.select(*old, *(x.alias(k) for k, x in new.items()))
+    if not whole:
+        return placed.select(*old, *(x.alias(k) for k, x in new.items()))
+    decided = placed.select("_id", *(x.alias(k) for k, x in new.items()))
+    return rows.select("_row", "_id").join(decided, "_id").select(*old, *new)
+
+
+def key_bucket() -> Column:
+    """The bucket of a key: the share of its source's rows that are expected below it, times buckets."""
+    below = F.aggregate("weights", F.lit(0.0), lambda a, x: a + x["n"] * (1 - F.exp(-x["w"] * F.col("key"))))
+    return F.least(F.floor(below / F.col("n_docs") * F.col("buckets")), F.col("buckets") - 1).cast("long")

@@ -4,7 +4,7 @@ OP3 = r"""
 with d as (
   select doc_id, source, coalesce(source, chr(1114111) || chr(1114111)) as sk,
          case when text is null then 0 else len(regexp_extract_all(text, '[^ \t\n\x0B\f\r]+')) end as size,
-         -ln((cast(('0x' || substr(md5('mix:' || coalesce(cast(doc_id as varchar), '')), 1, 12)) as bigint) + 0.5) / 281474976710656.0)
+         -ln((cast(('0x' || substr(md5('mix:' || coalesce(cast(doc_id as varchar), md5(text), '')), 1, 12)) as bigint) + 0.5) / 281474976710656.0)
            / coalesce(0.1 + length(translate(text, '#*$%&|<>0123456789', '')) / greatest(length(text), 1), 0.1) as k
   from documents),
 s as (select sk, sum(size)::bigint as source_size, count(*) as n_docs, row_number() over (order by encode(sk)) as rn from d group by sk),

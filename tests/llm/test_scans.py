@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from parcelwright.llm import chat, licenses, mixing, quality, queries, urls
 
@@ -242,3 +243,28 @@ def test_history_keeps_turns_that_equal_the_system_turn(spark):
     got = chat.format_windows(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), budget=8, history=5).orderBy("window").collect()
     assert [r.n_new for r in got] == [3, 1] and chat.read_turns(got[1].formatted)[0] == ("system", "be kind")
     assert chat.read_turns(got[1].formatted)[1:3] == [("user", "one two three"), ("assistant", "four five six")]
+
+
+def test_mix_buckets_are_even_at_any_weight(spark):
+    """Weights of 0.1 alone, and beside others: the largest bucket stays under three times the mean."""
+    for weights in ([0.1], [0.1, 1.1], [0.1, 0.12, 0.6, 1.0]):
+        n, buckets = 40_000, 50
+        w = F.element_at(F.array(*map(F.lit, weights)), (F.col("id") % len(weights) + 1).cast("int"))
+        rows = spark.range(n).select(mixing.exponential_key(F.col("id"), F.lit(""), w, "s").alias("key"), w.alias("w"))
+        counted = rows.groupBy((F.round(F.col("w") * mixing.WEIGHT_STEPS) / mixing.WEIGHT_STEPS).alias("w")).count().collect()
+        plan = F.array(*(F.struct(F.lit(r.w).alias("w"), F.lit(r["count"]).alias("n")) for r in counted))
+        dealt = rows.withColumns({"weights": plan, "n_docs": F.lit(n), "buckets": F.lit(buckets)}).groupBy(mixing.key_bucket().alias("b")).agg(F.count("*").alias("n"), F.min("key").alias("lo"), F.max("key").alias("hi")).orderBy("b").collect()
+        assert max(r.n for r in dealt) < 3 * n / buckets and len(dealt) > 0.9 * buckets
+        assert all(a.hi <= b.lo for a, b in zip(dealt, dealt[1:]))  # buckets are ranges of keys
+
+
+def test_mix_whole_rows(spark):
+    """Whole rows keep their columns, clashing names too; rows without a doc_id are spread by their text; a very long text is one size."""
+    rows = [(None, f"word{i} " * 3, "s", 9) for i in range(50)] + [(1, None, "s", 9), (2, "", None, 9), (3, "x " * 200_000, "t", 9), (3, "x " * 200_000, "t", 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, taken int").withColumns({"_id": F.lit("mine"), "key": F.lit("mine"), "weight": F.lit("mine")})
+    got = mixing.mix(docs, whole=True, bucket_rows=5).collect()
+    assert len(got) == len(rows) and all(r._id == r.key == r.weight == "mine" for r in got)
+    assert Counter((r.doc_id, r.text, r.source) for r in got) == Counter(r[:3] for r in rows)
+    assert Counter((r.doc_id, r.size, r.taken) for r in got) == Counter((r.doc_id, r.size, r.taken) for r in mixing.mix(docs).collect())
+    keys = spark.createDataFrame(rows[:50], "doc_id long, text string, source string, k int").select(mixing.exponential_key(F.col("doc_id"), F.col("text"), F.lit(1.0), "s")).distinct()
+    assert keys.count() == 50
