@@ -11,16 +11,25 @@ from parcelwright.functions import text as t
 PRECEDENCE = {"proposed": 0, "certified": 1, "certified-with-supplemental": 2}
 
 
+def rule_measures(rules: list[tuple[str, int, Column, float]]) -> list[Column]:
+    """What rules measure of a run, as aggregates for one pass over its rows beside others."""
+    return [agg.cast("double").alias(f"_m{i}") for i, (_, _, agg, _) in enumerate(rules)]
+
+
+def evaluations_of(profile: DataFrame, run: list[str], rules: list[tuple[str, int, Column, float]]) -> DataFrame:
+    """evaluate_rules from a table that has the rules' measures of each run."""
+    entries = F.array(*(F.struct(F.lit(r).alias("rule_id"), F.lit(v).alias("version"), F.col(f"_m{i}").alias("measured"), F.lit(float(most)).alias("expected")) for i, (r, v, _, most) in enumerate(rules)))
+    long = profile.select(*run, F.explode(entries).alias("e")).select(*run, "e.*")
+    return long.withColumn("passed", F.coalesce(F.col("measured") <= F.col("expected"), F.lit(False)))
+
+
 def evaluate_rules(rows: DataFrame, run: list[str], rules: list[tuple[str, int, Column, float]]) -> DataFrame:
     """(run, rule_id, version, measured, expected, passed): a row for each run and rule, passing or not.
 
     rules are (id, version, aggregate, most). All aggregates share one pass over the rows; an explode of
     the few rules makes them long.
     """
-    wide = rows.groupBy(*run).agg(*(agg.cast("double").alias(f"_m{i}") for i, (_, _, agg, _) in enumerate(rules)))
-    entries = F.array(*(F.struct(F.lit(r).alias("rule_id"), F.lit(v).alias("version"), F.col(f"_m{i}").alias("measured"), F.lit(float(most)).alias("expected")) for i, (r, v, _, most) in enumerate(rules)))
-    long = wide.select(*run, F.explode(entries).alias("e")).select(*run, "e.*")
-    return long.withColumn("passed", F.coalesce(F.col("measured") <= F.col("expected"), F.lit(False)))
+    return evaluations_of(rows.groupBy(*run).agg(*rule_measures(rules)), run, rules)
 
 
 def publishable_runs(outcomes: DataFrame, blocking: DataFrame, run: list[str]) -> DataFrame:

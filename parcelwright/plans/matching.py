@@ -97,12 +97,14 @@ def bounded_property_match(spark, sf_dir):
 
 @query(
     "snapshot_diff",
-    """with o as (select o_orderkey // 2 as k, o_orderstatus, o_custkey % 3 as f from orders where o_orderkey % 2 = 0 and o_custkey % 10 > 0), n as (select o_orderkey // 2 as k, o_orderstatus, o_custkey % 3 as f from orders where o_orderkey % 2 = 1 and o_custkey % 10 < 9)
+    """with o as (select case when o_custkey % 10 > 0 then o_orderkey // 2 else -o_orderkey end as k, o_orderstatus, o_custkey % 3 as f from orders where o_orderkey % 2 = 0), n as (select case when o_custkey % 10 < 9 then o_orderkey // 2 else -o_orderkey end as k, o_orderstatus, o_custkey % 3 as f from orders where o_orderkey % 2 = 1)
     select coalesce(o.k, n.k) as k, case when o.k is null then 'added' when n.k is null then 'removed' when o.o_orderstatus = n.o_orderstatus and o.f = n.f then 'retained' else 'changed' end as change from o full join n on o.k = n.k""",
 )
 def snapshot_diff(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").select(F.expr("o_orderkey div 2").alias("k"), "o_orderstatus", (F.col("o_custkey") % 3).alias("f"), "o_orderkey", "o_custkey")
-    return match.snapshot_diff(o.where("o_orderkey % 2 = 0 and o_custkey % 10 > 0"), o.where("o_orderkey % 2 = 1 and o_custkey % 10 < 9"), ["k"], ["o_orderstatus", "f"])
+    """Orders of even and of odd number as two releases that share most keys; the keys of some stand in one of them alone. Every order is in one side."""
+    own = F.expr("case when o_orderkey % 2 = 0 and o_custkey % 10 = 0 or o_orderkey % 2 = 1 and o_custkey % 10 = 9 then -o_orderkey else o_orderkey div 2 end")
+    o = table(spark, sf_dir, "orders").select(own.alias("k"), "o_orderstatus", (F.col("o_custkey") % 3).alias("f"), "o_orderkey")
+    return match.snapshot_diff(o.where("o_orderkey % 2 = 0"), o.where("o_orderkey % 2 = 1"), ["k"], ["o_orderstatus", "f"])
 
 
 @query(

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window as W, functions as F
 
-from parcelwright.operators import match, publish, reshape, versions
+from parcelwright.operators import match, publish, reshape, rules as rules_table, versions
 from parcelwright.plans.profiling import _RELEASES, releases
 from parcelwright.plans.registry import query
 from parcelwright.sources import views, workspace
@@ -47,10 +47,13 @@ def outcomes(spark, sf_dir):
 
 
 def publishable(spark, sf_dir):
-    severities = spark.createDataFrame([(r, v, "blocking" if (r, v) in BLOCKING else "warning") for r, v, _, _ in rules()], "rule_id string, version int, severity string")
-    o = outcomes(spark, sf_dir)
-    good = publish.publishable_runs(o, match.blocking_failures(evaluations(spark, sf_dir), severities), RUN)
-    return o.join(good, RUN, "left_semi")
+    """Publishable runs with their as_of: outcomes and measures of runs come from one pass over accounts, written once."""
+    mine = rules()
+    severities = spark.createDataFrame([(r, v, "blocking" if (r, v) in BLOCKING else "warning") for r, v, _, _ in mine], "rule_id string, version int, severity string")
+    profile = accounts(spark, sf_dir).groupBy(*RUN).agg(F.max("as_of").alias("as_of"), (F.count_if(F.col("o_orderkey") % 4999 == 7) == 0).alias("accepted"), *publish.rule_measures(mine))
+    profile = workspace.written(profile, "runs")
+    good = publish.publishable_runs(profile, match.blocking_failures(publish.evaluations_of(profile, RUN, mine), severities), RUN)
+    return profile.select(*RUN, "as_of", "accepted").join(good, RUN, "left_semi")
 
 
 @query("evaluate_rules", f"with {_EVAL} select county, tax_year, release_kind, rule_id, version, round(measured, 6) as measured, expected, coalesce(measured <= expected, false) as passed from ev")
@@ -58,6 +61,45 @@ def evaluate_rules(spark, sf_dir):
     return evaluations(spark, sf_dir).withColumn("measured", F.round("measured", 6))
 
 
+@query(
+    "evaluate_rule_table",
+    f"""with {A}, r as (select county, tax_year, count(*) as n, count(*) filter (account_id is null) as missing, count(*) - count(distinct account_id) as repeats,
+        count(*) filter (value < 2000 or value > 450000) / count(*) as outside, count(*) filter (not as_of >= date '1995-03-01') as early from accounts group by all),
+      p as (select *, abs(n / lag(n) over (partition by county order by tax_year) - 1) as drift from r),
+      c as (select county, tax_year, count(*) filter (l_partkey % 20 = 0) / count(*) as orphans from accounts join lineitem on l_orderkey = o_orderkey group by all),
+      m as (select county, tax_year, count(*) filter (o_orderpriority = '1-URGENT') = 0 as absent from accounts group by all),
+      v as (select county, tax_year, unnest(['key_present', 'key_unique', 'values_inside', 'values_inside', 'dates_late', 'count_drift', 'orphans', 'members', 'members', 'column_type']) as rule_id,
+        unnest([1, 1, 2, 2, 1, 1, 1, 1, 1, 1]) as version, unnest(['account_id', null, 'value', 'o_custkey', null, null, 'land', '1-URGENT', 'nowhere', 'value decimal(18,2)']) as subject,
+        unnest([missing::double, repeats::double, outside, 0.0, early::double, drift, orphans, absent::int::double, 1.0, 0.0]) as measured, unnest([0.0, 0.0, 0.02, 0.0, 0.0, 0.1, 0.05, 0.0, 0.0, 0.0]) as expected
+        from p join c using (county, tax_year) join m using (county, tax_year))
+    select county, tax_year, rule_id, version, subject, round(measured::double, 6) as measured, expected::double as expected, coalesce(measured <= expected, false) as passed from v""",
+)
+def evaluate_rule_table(spark, sf_dir):
+    """All eight families over accounts by county and year, with rules, subjects and thresholds from a table; one rule is inactive, one superseded."""
+    rows = [
+        ("key_present", 1, "blocking", "required_key_completeness", "account_id", '{"most": 0}', True),
+        ("key_unique", 1, "blocking", "logical_uniqueness", None, '{"most": 0}', True),
+        ("values_inside", 1, "warning", "value_validity", "value", '{"most": 1, "low": 0}', True),
+        ("values_inside", 2, "warning", "value_validity", "value", '{"most": 0.02, "low": 2000, "high": 450000}', True),
+        ("values_inside", 2, "warning", "value_validity", "o_custkey", '{"most": 0, "low": 0}', True),
+        ("dates_late", 1, "warning", "source_specific", None, '{"most": 0, "holds": "as_of >= date \'1995-03-01\'"}', True),
+        ("count_drift", 1, "blocking", "record_count_drift", None, '{"most": 0.1}', True),
+        ("orphans", 1, "blocking", "child_relationship", "land", '{"most": 0.05}', True),
+        ("members", 1, "blocking", "archive_completeness", "1-URGENT", '{"most": 0}', True),
+        ("members", 1, "blocking", "archive_completeness", "nowhere", '{"most": 0}', True),
+        ("column_type", 1, "blocking", "schema_compatibility", "value decimal(18,2)", '{"most": 0}', True),
+        ("retired", 1, "blocking", "source_specific", None, '{"most": 0, "holds": "false"}', False),
+    ]
+    a = accounts(spark, sf_dir)
+    run = ["county", "tax_year"]
+    counts = a.groupBy(*run).agg(F.count("*").alias("n"))
+    previous = counts.withColumn("n_before", F.lag("n").over(W.partitionBy("county").orderBy("tax_year"))).drop("n")  # a row a county and year
+    children = table(spark, sf_dir, "lineitem").join(a.select("o_orderkey", *run), F.col("l_orderkey") == F.col("o_orderkey")).select(*run, F.lit("land").alias("child_table"), (F.col("l_partkey") % 20 == 0).alias("orphaned"))
+    members = a.select(*run, F.col("o_orderpriority").alias("member"))
+    found = rules_table.evaluate(a, run, ["account_id"], spark.createDataFrame(rows, rules_table.RULES), previous, children, members)
+    return found.withColumn("measured", F.round("measured", 6))
+
+
 @query("run_publishable", f"with {_EVAL} select county, tax_year, release_kind from pub")
 def run_publishable(spark, sf_dir):
     return publishable(spark, sf_dir).select(*RUN)
