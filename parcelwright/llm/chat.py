@@ -100,7 +100,8 @@ def format_windows(turns: DataFrame, budget: int = 2048, history: int = 512) ->
     budget (a longer turn has a window of its own). Later windows begin with the system turn and the
     latest turns of up to `history` tokens; `n_context` counts these. loss has the code-point span of each new assistant text,
     so each is trained on once. Null texts and roles are empty; equal turn numbers are ordered by role and
-    text; null conv_ids form one conversation. Repeated rows are repeated turns.
+    text; null conv_ids form one conversation. Repeated rows are repeated turns. Other columns are not read; an empty table
+    gives an empty one.
     """
     kind = dict(turns.dtypes)["conv_id"]
     names = [x.split()[0] for x in WINDOWS.split(", ")]
@@ -132,7 +133,9 @@ def format_windows(turns: DataFrame, budget: int = 2048, history: int = 512) ->
 def read_back(windows: DataFrame) -> DataFrame:
     """Digests of each conversation from its formatted windows, in the order in which format_windows gives them.
 
-    Windows from a stored table have lost that order: sort them within partitions by conv_id and window first.
+    Windows from a stored table have lost that order: sort them within partitions by conv_id and window first. Null conv_ids
+    are one conversation; texts that were null come back empty; repeated turns come back as often as they stood. Texts of any length
+    are digested window by window; other columns are not read; an empty table gives an empty one.
     """
     kind = dict(windows.dtypes)["conv_id"]
     names = [x.split()[0] for x in DIGESTS.split(", ")]

@@ -277,7 +277,8 @@ def license_scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates:
     place. score is the largest share of any template's mandatory words found in order from where its first two words
     stand (1.0 for a phrase or an accepted template). Null and empty texts have no words, empty labels, score 0 and null
     positions. Repeated rows give repeated rows; templates that accept the same place all give their labels. Work is linear
-    in the text: each place that can begin a template is followed for the length of the longest template at most.
+    in the text: each place that can begin a template is followed for the length of the longest template at most. Other columns
+    are not read; an empty table gives an empty one.
     """
     scanner = Scanner(phrases, templates)
     names = [x.split()[0] for x in SCHEMA.split(", ")]

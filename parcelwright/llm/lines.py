@@ -152,7 +152,12 @@ def _at(places: Column, values: str) -> Column:
 
 
 def line_report(docs: DataFrame) -> DataFrame:
-    """What dedup_lines takes from each document, without the texts: doc_id, n_lines, n_words, n_removed, removed_words."""
+    """What dedup_lines takes from each document, without the texts: doc_id, n_lines, n_words, n_removed, removed_words.
+
+    A row for each row of docs; rows of one doc_id and text report alike, null doc_ids are one document each by text. A null or empty text is
+    one empty line. Which occurrence is first, and texts of any length, are as in dedup_lines; other columns are not read;
+    an empty table gives an empty one.
+    """
     counts = docs.select("doc_id", F.xxhash64("text").alias("th"), F.transform(F.split(F.coalesce("text", F.lit("")), "\n", -1), _words).alias("counts"))
     met = counts.join(_gone(docs), F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("th") == F.col("_t")), "left")
     taken = F.when(F.col("_gone").isNull(), F.array().cast("array<int>")).otherwise(_at(_places(), "counts"))

@@ -261,7 +261,9 @@ def score(docs: DataFrame, trees: Trees, threshold: float = 0.5, min_words: int
 
     Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (long), base_failed (too few words or
     too much repetition), quality_score and kept (not base_failed, and a score of at least threshold).
-    Columns of docs with these names are replaced. A null or empty text has counts of 0 and fails.
+    Columns of docs with these names are replaced. A null or empty text has counts of 0 and fails. A narrow scan: the text alone
+    decides, so repeated rows and equal texts fare alike; a score of just threshold is kept. Texts of any length are read
+    whole; an empty table gives an empty one.
     """
     added = {**{name: "long" for name in COUNTS}, "base_failed": "boolean", "quality_score": "double", "kept": "boolean"}
     keep = docs.drop(*added)

@@ -88,7 +88,8 @@ def filter_urls(pages: DataFrame, rules: tuple = RULES, block_globs: tuple = BLO
 
     A narrow scan without shuffle. Where no rule fits, a url that matches one of block_globs is blocked and
     any other allowed. A null url, or one without ://, has an empty host and path, fits no rule and is
-    allowed. Of two rules of one length the earlier wins. Repeated rows give repeated rows.
+    allowed. Of two rules of one length the earlier wins. Repeated rows give repeated rows. Urls of any length are read whole,
+    a byte at a time for all urls of a slice; other columns are not read; an empty table gives an empty one.
     """
     ranked = sorted(rules, key=lambda r: -len(r[1] + r[2]))
     globs = [g for _, host, path in ranked for g in (f"{host}{path}**", f"*.{host}{path}**")] + list(block_globs)

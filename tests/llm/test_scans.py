@@ -268,3 +268,52 @@ def test_mix_whole_rows(spark):
     assert Counter((r.doc_id, r.size, r.taken) for r in got) == Counter((r.doc_id, r.size, r.taken) for r in mixing.mix(docs).collect())
     keys = spark.createDataFrame(rows[:50], "doc_id long, text string, source string, k int").select(mixing.exponential_key(F.col("doc_id"), F.col("text"), F.lit(1.0), "s")).distinct()
     assert keys.count() == 50
+
+
+def test_ties_of_templates_and_rules(spark):
+    """Two templates that accept one place both give their labels; of two rules of one length the earlier wins."""
+    docs = spark.createDataFrame([(1, "x one two three four y"), (1, "x one two three four y")], "doc_id long, text string")
+    two = {"first": "one two three four", "second": "one two {{1}} four"}
+    got = licenses.license_scan(docs, templates=two).collect()
+    assert len(got) == 2 and all(set(r.labels.split(",")) >= {"first", "second"} for r in got)
+    pages = spark.createDataFrame([(1, "http://a.net/x"), (1, "http://a.net/x"), (2, None)], "page_id long, url string").withColumns({"host": F.lit("mine"), "rule": F.lit("mine")})
+    rules = (("block", "a.net", "/x"), ("allow", "a.net", "/x"))
+    assert sorted((r.page_id, r.verdict) for r in urls.filter_urls(pages, rules=rules).collect()) == [(1, "block"), (1, "block"), (2, "allow")]
+
+
+def test_very_long_inputs(spark):
+    """A url of 200 000 bytes, a turn of 100 000 words, and a document of 300 000 words with a repeated row."""
+    url = "http://www.example.org/es/" + "a/" * 100_000
+    got = urls.filter_urls(spark.createDataFrame([(1, url), (2, "http://b.net/" + "x" * 100_000 + "spam")], "page_id long, url string")).collect()
+    assert {r.page_id: (r.rule, r.verdict, len(r.path)) for r in got} == {1: ("example.org/es/", "block", 4 + 200_000), 2: (None, "block", 1 + 100_000 + 4)}
+    turn = "word " * 100_000
+    turns = spark.createDataFrame([(1, 0, "user", "hi"), (1, 1, "assistant", turn), (1, 2, "assistant", "short")], "conv_id long, turn long, role string, text string")
+    back = chat.read_back(chat.format_windows(turns)).first()
+    assert back.n_turns == 3 and back.loss_chars == len(turn) + 5
+    docs = spark.createDataFrame([(1, "alpha beta\n" * 150_000), (2, "gamma " * 5), (2, "gamma " * 5)], "doc_id long, text string")
+    trees = quality.fit(docs, spark.createDataFrame([], "doc_id long, quality int"))
+    rows = sorted(tuple(r) for r in quality.score(docs, trees).select("doc_id", "n_words", "n_dup_lines", "base_failed").collect())
+    assert rows == [(1, 300_000, 149_999, True), (2, 5, 0, True), (2, 5, 0, True)]
+
+
+def test_trees_against_a_loop():
+    """Scores of the flat node arrays equal a walk down each tree, node by node; a feature with a sign never steps against it."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(400, 4))
+    y = (x[:, 0] + x[:, 1] ** 2 > 0.5).astype(float)
+    signs = np.array([1, 0, -1, 0])
+    trees = quality.boost(x, y, signs, rounds=12)
+
+    def walk(row):
+        total = trees.bias
+        for node in trees.roots:
+            while trees.left[node] != node:
+                node = trees.left[node] if row[trees.feature[node]] <= trees.threshold[node] else trees.right[node]
+            total += trees.value[node]
+        return total
+
+    assert len(trees.roots) and np.allclose(trees.margin(x), [walk(r) for r in x], atol=1e-12)
+    for j, sign in ((0, 1), (2, -1)):
+        moved = x.copy()
+        moved[:, j] += sign * rng.random(400)
+        assert (trees.margin(moved) >= trees.margin(x) - 1e-12).all()
