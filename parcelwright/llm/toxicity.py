@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from parcelwright.llm import textbatch as tb
@@ -16,12 +17,10 @@ from parcelwright.sources import workspace as store
 BUCKETS = 1 << 18
 DIM = 8
 GRAMS = (3, 4, 5, 6)
-#: What is fitted on at most: labelled documents of each class, chosen by a hash of doc_id; their distinct words, summed
-#: over documents; and the subwords of all distinct words. These bound the bytes that reach the driver: 24 a word of
-#: a document and 4 a subword.
+#: What is fitted on at most: labelled documents of each class, chosen by a hash of doc_id, and their distinct buckets, summed over
+#: documents. These bound the bytes that reach the driver: 8 a bucket of a document.
 MAX_LABELS = 2_500
-MAX_WORDS = 4_000_000
-MAX_SUBWORDS = 8_000_000
+MAX_ENTRIES = 10_000_000
 HELD_OUT = 2
 
 _MARKED = np.frombuffer(b"<>", np.uint8)
@@ -73,54 +72,75 @@ class Bag:
         return 1 / (1 + np.exp(-margin))
 
 
-def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of the distinct words of each text: hashes, shares of the text's words, their rows; and for each such entry the
-    buckets of its subwords with n+1 offsets into them."""
+def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each text as its buckets' weights: n+1 offsets of texts, buckets, weights.
+
+    A word's vector is the mean of its subwords' vectors, a text's the mean of its words', both linear: a bucket weighs in a text
+    what its subwords make up of their words, times what these make up of the text.
+    """
     w = tb.Words(column, tb.NOT_ALNUM, lower=True)
+    if not len(w):
+        return np.zeros(len(column) + 1, np.int64), np.zeros(0, np.int32), np.zeros(0)
     hashes, which, back = np.unique(w.hashes(), return_index=True, return_inverse=True)
-    pair, n_in = np.unique(w.doc * max(len(hashes), 1) + back, return_counts=True)
-    doc, word = pair // max(len(hashes), 1), pair % max(len(hashes), 1)
-    buckets, first = subwords(w, which) if len(w) else (np.zeros(0, np.int64), np.zeros(1, np.int64))
+    pair, n_in = np.unique(w.doc * len(hashes) + back, return_counts=True)
+    doc, word = np.divmod(pair, len(hashes))
+    buckets, first = subwords(w, which)
     size = np.diff(first)[word]
-    at = np.concatenate([[0], np.cumsum(size)])
-    spread = np.arange(at[-1]) + np.repeat(first[:-1][word] - at[:-1], size)
-    return hashes[word], n_in / np.maximum(w.counts, 1)[doc], doc, buckets[spread].astype(np.int32), at
+    at = np.cumsum(size) - size
+    spread = np.arange(size.sum()) + np.repeat(first[:-1][word] - at, size)
+    key, back = np.unique(np.repeat(doc, size) * BUCKETS + buckets[spread], return_inverse=True)
+    weight = np.bincount(back, np.repeat(n_in / w.counts[doc] / size, size))
+    return np.searchsorted(key, np.arange(len(column) + 1) * BUCKETS), (key % BUCKETS).astype(np.int32), weight
 
 
 def train(texts: pa.Array, y: np.ndarray, **how) -> Bag:
     """train_bag over texts at hand."""
-    hashes, share, doc, buckets, at = features(texts)
-    distinct, which, word = np.unique(hashes, return_index=True, return_inverse=True)
-    size = np.diff(at)[which]
-    first = np.concatenate([[0], np.cumsum(size)])
-    own = buckets[np.arange(first[-1]) + np.repeat(at[:-1][which] - first[:-1], size)]
-    return train_bag(doc, word, share, own, size, y, **how)
+    return train_bag(*features(texts), y, **how)
+
+
+#: Entries that are summed at a time: what fits a processor's cache.
+STRETCH = 1 << 17
+
+
+def _stretches(at: np.ndarray) -> np.ndarray:
+    """Cuts of rows (n+1 offsets) into stretches of about STRETCH entries."""
+    cuts = np.searchsorted(at, np.arange(0, at[-1], STRETCH), "left")
+    return np.unique(np.concatenate([[0], cuts, [len(at) - 1]]))
+
+
+def _sums(values: np.ndarray, which: np.ndarray, weight: np.ndarray, at: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """For each row of n+1 offsets: the sum of values[which] times weight over its entries."""
+    out = np.zeros(len(at) - 1)
+    for lo, hi in zip(cuts, cuts[1:]):
+        a, b = at[lo], at[hi]
+        filled = np.flatnonzero(np.diff(at[lo : hi + 1])) + lo
+        if len(filled):
+            out[filled] = np.add.reduceat(values[which[a:b]] * weight[a:b], at[filled] - a)
+    return out
 
 
-def train_bag(doc: np.ndarray, word: np.ndarray, share: np.ndarray, buckets: np.ndarray, size: np.ndarray, y: np.ndarray, epochs: int = 120, rate: float = 2.0, decay: float = 1e-4, seed: int = 7) -> Bag:
+def train_bag(first: np.ndarray, bucket: np.ndarray, weight: np.ndarray, y: np.ndarray, epochs: int = 120, rate: float = 2.0, decay: float = 1e-4, seed: int = 7) -> Bag:
     """Embeddings of subword buckets and softmax weights, by full-batch Adagrad on the log loss.
 
-    A word's vector is the mean of its subwords' vectors, a document's the mean of its words'. doc, word, share: the
-    distinct words of documents, sorted by document; buckets: those of word 0, word 1, ..., size[i] of word i. One
-    class only, or no rows, gives the prior.
+    Texts come as features gives them; weights may be of single precision. One class only, or no bucket, gives the prior. Beside
+    the entries themselves a second copy in the order of buckets is held; sums go over stretches of both.
     """
     prior = (y.sum() + 1) / (len(y) + 2)
     bias0 = float(np.log(prior / (1 - prior)))
-    if not 0 < y.sum() < len(y) or not len(word):
+    if not 0 < y.sum() < len(y) or not len(bucket):
         return Bag(np.zeros(BUCKETS), bias0)
-    first = np.concatenate([[0], np.cumsum(size)])
-    used, local = np.unique(buckets, return_inverse=True)
-    local = local.astype(np.int32)
-    owner = np.repeat(np.arange(len(size), dtype=np.int32), size)
-    each = 1 / size
     n = len(y)
-    by_doc = np.searchsorted(doc, np.arange(n + 1))
-    order = np.argsort(word, kind="stable")
-    by_word = np.searchsorted(word[order], np.arange(len(size)))
-    order_used = np.argsort(local, kind="stable")
-    by_used = np.searchsorted(local[order_used], np.arange(len(used)))
-    doc_of, share_of, owner_of = doc[order], share[order], owner[order_used]
-    del order, order_used, owner
+    used = np.flatnonzero(np.bincount(bucket, minlength=BUCKETS))
+    place = np.zeros(BUCKETS, np.int32)
+    place[used] = np.arange(len(used))
+    local = place[bucket]
+    del bucket
+    order = np.argsort(local, kind="stable")
+    weight_of = weight[order]
+    doc_of = np.repeat(np.arange(n, dtype=np.int32), np.diff(first))[order]
+    del order
+    by_used = np.concatenate([[0], np.cumsum(np.bincount(local, minlength=len(used)))])
+    stretches = [_stretches(at) for at in (first, by_used)]
     rng = np.random.default_rng(seed)
     e = rng.normal(0, 1 / DIM, (len(used), DIM))
     c = rng.normal(0, 1, DIM)
@@ -128,13 +148,9 @@ def train_bag(doc: np.ndarray, word: np.ndarray, share: np.ndarray, buckets: np.
     ge, gc, gb = np.full_like(e, 1e-10), np.full(DIM, 1e-10), 1e-10
 
     for _ in range(epochs):
-        # both poolings are linear, so they run over e @ c, a number for each bucket
-        of_word = np.add.reduceat((e @ c)[local], first[:-1]) * each
-        total = np.concatenate([[0], np.cumsum(of_word[word] * share)])
-        p = 1 / (1 + np.exp(-(total[by_doc[1:]] - total[by_doc[:-1]] + bias)))
-        d = (p - y) / n
-        to_word = np.add.reduceat(d[doc_of] * share_of, by_word) * each
-        to_used = np.add.reduceat(to_word[owner_of], by_used)
+        # pooling is linear, so it runs over e @ c, a number for each bucket
+        d = (1 / (1 + np.exp(-_sums(e @ c, local, weight, first, stretches[0]) - bias)) - y) / n
+        to_used = _sums(d, doc_of, weight_of, by_used, stretches[1])
         grad_e, grad_c, grad_b = to_used[:, None] * c[None, :] + decay * e / n, e.T @ to_used, d.sum()
         ge += grad_e**2
         gc += grad_c**2
@@ -153,8 +169,8 @@ def in_fold(doc_id, n: int):
 
 
 def _sampled(chosen: DataFrame, docs: DataFrame) -> DataFrame:
-    """(doc_id, y, words): the distinct words, with share and buckets, of one row of each chosen document: of those of
-    a doc_id the one whose text has the least hash."""
+    """(doc_id, y, n, buckets, weights): the features, packed, of one row of each chosen document: of those of a doc_id the one
+    whose text has the least hash."""
     kind = dict(docs.dtypes)["doc_id"]
     hashed = docs.select("doc_id", F.xxhash64("text").alias("th"), "text")
     one = hashed.drop("text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "y").agg(F.min("th").alias("th"))  # as few rows as chosen
@@ -168,26 +184,25 @@ def _sampled(chosen: DataFrame, docs: DataFrame) -> DataFrame:
                 if not fresh:
                     continue
                 batch = batch.take(pa.array(fresh))
-                hashes, share, doc, buckets, at = features(batch.column("text"))
-                words = pa.StructArray.from_arrays([pa.array(hashes.view(np.int64)), pa.array(share), pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(buckets))], ["w", "share", "b"])
-                ends = np.searchsorted(doc, np.arange(batch.num_rows + 1)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), pa.ListArray.from_arrays(pa.array(ends), words)], names=["doc_id", "y", "words"])
+                first, bucket, weight = features(batch.column("text"))
+                packed = [pa.array([x[lo:hi].tobytes() for lo, hi in zip(first, first[1:])], pa.binary()) for x in (bucket.astype("<i4"), weight.astype("<f4"))]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), pa.array(np.diff(first)), *packed], names=["doc_id", "y", "n", "buckets", "weights"])
 
     met = hashed.join(F.broadcast(one), ["doc_id", "th"]).select("doc_id", "y", "text")
-    found = met.mapInArrow(rows, f"doc_id {kind}, y int, words array<struct<w: long, share: double, b: array<int>>>")
-    # copies of a document from several tasks: numbers meet, the lists of words stay where they are
+    found = met.mapInArrow(rows, f"doc_id {kind}, y int, n long, buckets binary, weights binary")
+    # copies of a document from several tasks: numbers meet, the features stay where they are
     numbered = store.written(found.withColumn("_row", F.monotonically_increasing_id()), "sampled")
     least = numbered.groupBy("doc_id").agg(F.min("_row").alias("_row")).select("_row")  # as few rows as chosen
     return numbered.join(F.broadcast(least), "_row", "left_semi").drop("_row")
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS, label: str = "toxic", max_words: int = MAX_WORDS, max_subwords: int = MAX_SUBWORDS) -> Bag:
+def fit(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS, label: str = "toxic", max_entries: int = MAX_ENTRIES) -> Bag:
     """A model from at most max_labels documents of each class, none of them held out.
 
     The sample is taken per class by a hash of doc_id; the bias is then set back to the classes' true rates. Executors
-    turn these documents' whole texts into distinct words and subword buckets; the driver gets these, each distinct
-    word's buckets once. Should the sample have more than max_words or max_subwords, the half of it that comes first by the
-    hash is taken, until it has not. Contradicting or null labels are left out; of rows with one doc_id, one counts.
+    turn these documents' whole texts into weights of subword buckets; the driver gets these alone. Should the sample have more
+    than max_entries, the half of it that comes first by the hash is taken, until it has not. Contradicting or null labels
+    are left out; of rows with one doc_id, one counts; documents of equal hash come in the order of doc_id.
     """
     clean = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.min(label).alias("y"), F.max(label).alias("z")).where("y = z").select("doc_id", F.col("y").cast("int").alias("y"))
     clean = clean.where(in_fold(F.col("doc_id"), 4) != HELD_OUT)
@@ -198,22 +213,21 @@ def fit(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS, label:
     share = 1.0
     while True:
         half = sample.where(F.xxhash64("doc_id") / 2.0**63 < 2 * share - 1)
-        pairs = half.select("doc_id", "y", F.explode("words").alias("x")).select("doc_id", "y", "x.*")
-        distinct = store.written(pairs.groupBy("w").agg(F.first("b").alias("b"), F.count("*").alias("n")), "words")
-        size = distinct.agg(F.sum("n").alias("n"), F.sum(F.size("b").cast("long")).alias("s")).first()
-        if (size.n or 0) <= max_words and (size.s or 0) <= max_subwords:
+        if (half.agg(F.sum("n")).first()[0] or 0) <= max_entries:
             break
         share /= 2
-    of_docs = half.select("doc_id", "y").toArrow().combine_chunks().sort_by([("doc_id", "ascending")])
-    of_pairs = pairs.select("doc_id", "w", "share").toArrow().combine_chunks().sort_by([("doc_id", "ascending"), ("w", "ascending")])
-    of_words = distinct.select("w", "b").toArrow().combine_chunks().sort_by([("w", "ascending")])
-    y = of_docs.column("y").to_numpy().astype(float)
-    place = {d: i for i, d in enumerate(of_docs.column("doc_id").to_pylist())}
-    doc = np.array([place[d] for d in of_pairs.column("doc_id").to_pylist()], np.int64)
-    word = np.searchsorted(of_words.column("w").to_numpy(), of_pairs.column("w").to_numpy())
-    lists = of_words.column("b").combine_chunks() if of_words.num_rows else pa.array([], pa.list_(pa.int32()))
-    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
-    model = train_bag(doc, word, of_pairs.column("share").to_numpy(), lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy()), y)
+    table = half.select("doc_id", "y", "n", "buckets", "weights").toArrow()
+    place = pc.sort_indices(table.column("doc_id")).to_numpy()
+    y = table.column("y").to_numpy()[place].astype(float)
+    first = np.concatenate([[0], np.cumsum(table.column("n").to_numpy()[place])]).astype(np.int64)
+
+    def joined(name: str, kind: str) -> np.ndarray:
+        held = [x.as_buffer() for x in table.column(name)]
+        return np.concatenate([np.zeros(0, kind), *(np.frombuffer(held[i], kind) for i in place)])
+
+    bucket, weight = joined("buckets", "<i4"), joined("weights", "<f4")
+    del table
+    model = train_bag(first, bucket, weight, y)
     tb.forget()
     if 0 < y.sum() < len(y):
         true, seen = counts[1] / counts[0], y.sum() / (len(y) - y.sum())

@@ -90,4 +90,15 @@ def test_sample_is_bounded_and_repeats_count_once(spark):
     once = spark.createDataFrame(list(dict.fromkeys(rows)) + [(41, "fine " * 200_000 + "vile")], "doc_id long, text string")
     a, b = toxicity.fit(docs, labels), toxicity.fit(once, labels)
     assert np.allclose(a.logits, b.logits) and abs(a.bias - b.bias) < 1e-12
-    assert (toxicity.fit(docs, labels, max_words=40).logits != 0).sum() < (a.logits != 0).sum()
+    assert (toxicity.fit(docs, labels, max_entries=400).logits != 0).sum() < (a.logits != 0).sum()
+
+
+def test_ties_in_the_sample(spark, monkeypatch):
+    """Documents whose hashes are equal are chosen by doc_id, so reruns and other partitions choose alike."""
+    rows = [(i, f"w{i} {'vile' if i % 2 else 'fine'}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity.F, "xxhash64", lambda *c: toxicity.F.lit(5).cast("long"))
+    a = toxicity.fit(docs, labels, max_labels=10)
+    b = toxicity.fit(docs.repartition(5), labels.repartition(3), max_labels=10)
+    assert (a.logits == b.logits).all() and a.bias == b.bias and (a.logits != 0).any()
