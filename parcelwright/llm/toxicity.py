@@ -102,6 +102,14 @@ def train(texts: pa.Array, y: np.ndarray, **how) -> Bag:
 STRETCH = 1 << 17
 
 
+def _tally(values: np.ndarray, n: int) -> np.ndarray:
+    """How often each of 0 to n - 1 is among values, without a wide copy of them."""
+    out = np.zeros(n, np.int64)
+    for at in range(0, len(values), STRETCH):
+        out += np.bincount(values[at : at + STRETCH], minlength=n)
+    return out
+
+
 def _stretches(at: np.ndarray) -> np.ndarray:
     """Cuts of rows (n+1 offsets) into stretches of about STRETCH entries."""
     cuts = np.searchsorted(at, np.arange(0, at[-1], STRETCH), "left")
@@ -123,23 +131,24 @@ def train_bag(first: np.ndarray, bucket: np.ndarray, weight: np.ndarray, y: np.n
     """Embeddings of subword buckets and softmax weights, by full-batch Adagrad on the log loss.
 
     Texts come as features gives them; weights may be of single precision. One class only, or no bucket, gives the prior. Beside
-    the entries themselves a second copy in the order of buckets is held; sums go over stretches of both.
+    the entries themselves a second copy in the order of buckets is held; sums go over stretches of both. bucket is overwritten.
     """
     prior = (y.sum() + 1) / (len(y) + 2)
     bias0 = float(np.log(prior / (1 - prior)))
     if not 0 < y.sum() < len(y) or not len(bucket):
         return Bag(np.zeros(BUCKETS), bias0)
     n = len(y)
-    used = np.flatnonzero(np.bincount(bucket, minlength=BUCKETS))
+    used = np.flatnonzero(_tally(bucket, BUCKETS))
     place = np.zeros(BUCKETS, np.int32)
     place[used] = np.arange(len(used))
-    local = place[bucket]
-    del bucket
+    local = bucket
+    for at in range(0, len(local), STRETCH):
+        local[at : at + STRETCH] = place[local[at : at + STRETCH]]
     order = np.argsort(local, kind="stable")
     weight_of = weight[order]
     doc_of = np.repeat(np.arange(n, dtype=np.int32), np.diff(first))[order]
     del order
-    by_used = np.concatenate([[0], np.cumsum(np.bincount(local, minlength=len(used)))])
+    by_used = np.concatenate([[0], np.cumsum(_tally(local, len(used)))])
     stretches = [_stretches(at) for at in (first, by_used)]
     rng = np.random.default_rng(seed)
     e = rng.normal(0, 1 / DIM, (len(used), DIM))
