@@ -440,7 +440,7 @@ def train(docs: DataFrame, order: int = ORDER, block_bytes: int = BLOCK_BYTES, s
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = shard_bits_for(total, shard_keys, block_bytes)
     blocks = packed_blocks(docs, block_bytes)
-    made = store.written(requests(blocks, order, bits).groupBy("n", "shard").applyInArrow(_built(bits), REPLIES), "levels")
+    made = store.written(requests(blocks, order, bits).groupBy("n", "shard").applyInArrow(_built(bits), REPLIES), "levels", drop_shuffles=True)
     shards = made.where("block is null").select("n", "shard", "image", "tokens", "types")
     size = shards.agg(F.sum("tokens"), F.sum("types")).first()
     return Model(shards, order, bits, size[0] or 0, size[1] or 0), blocks, made.where("block is not null")
