@@ -29,11 +29,18 @@ def _slot(window: Column, bits: int) -> Column:
 
 
 def window_flags(hashes: DataFrame, bits: int) -> Column:
-    """Flags of the slots of window hashes, as a constant array."""
-    flags = ["0"] * (1 << bits)
-    for r in hashes.select(_slot(F.col("_known"), bits).alias("i")).distinct().collect():  # at most 2^bits rows
-        flags[r.i] = "1"
-    return F.split(F.lit(",".join(flags)), ",").cast("array<boolean>")  # folded into a constant
+    """Flags of the slots of window hashes, 64 to a number, as a constant array: plans hold it many times over."""
+    slot = _slot(F.col("_known"), bits)
+    flag = F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(63))
+    numbers = ["0"] * (1 << bits - 6)
+    for r in hashes.groupBy(F.shiftright(slot, 6).alias("i")).agg(F.bit_or(flag).alias("x")).collect():  # at most 2^bits / 64 rows
+        numbers[r.i] = str(r.x)
+    return F.split(F.lit(",".join(numbers)), ",").cast("array<bigint>")  # folded into a constant
+
+
+def _flagged(window: Column, flags: Column, bits: int) -> Column:
+    """Whether the slot of a hash has its flag. The array of one is there to hash a window once."""
+    return F.exists(F.array(window), lambda h: F.getbit(F.get(flags, _slot(h, bits - 6)), _slot(h, bits).bitwiseAND(63)) == 1)
 
 
 def hashed_windows(rows: DataFrame, widths: list[int], keep: list[str], flags: Column | None = None, bits: int = 0) -> DataFrame:
@@ -49,7 +56,7 @@ def hashed_windows(rows: DataFrame, widths: list[int], keep: list[str], flags: C
         window = lambda i: F.xxhash64(F.slice("_h", i, w), F.lit(w))
         starts = F.when(F.col("_n") >= w, F.sequence(F.lit(1), F.col("_n") - (w - 1))).otherwise(F.array().cast("array<int>"))
         if flags is not None:
-            starts = F.filter(starts, lambda i: F.get(flags, _slot(window(i), bits)))
+            starts = F.filter(starts, lambda i: _flagged(window(i), flags, bits))
         return F.transform(starts, lambda i: F.struct(window(i).alias("window"), F.lit(w).alias("w"), (i - 1).alias("at")))
 
     return held.select(*keep, F.concat(F.array().cast("array<struct<window:bigint,w:int,at:int>>"), *map(windows, widths)).alias("windows"))

@@ -72,6 +72,18 @@ def line(rng, n):
     return " ".join("".join(rng.choices("abcdefghijklmnop", k=6)) for _ in range(n))
 
 
+def test_flags_let_the_known_pass_and_stay_small(spark, capsys):
+    """All known windows pass and few others do; the driver's plans, which hold the flags again and again, stay small."""
+    known = spark.range(20_000).select(F.xxhash64(F.concat(F.lit("k"), F.col("id").cast("string"))).alias("_known"))
+    flags = decontaminate.window_flags(known, 20)
+    window = spark.range(40_000).select("id", F.xxhash64(F.concat(F.lit("k"), F.col("id").cast("string"))).alias("window"))
+    got = {r.known: r.n for r in window.where(decontaminate._flagged(F.col("window"), flags, 20)).groupBy((F.col("id") < 20_000).alias("known")).agg(F.count("*").alias("n")).collect()}
+    assert got[True] == 20_000 and 0 < got[False] < 800
+    ws = spark.createDataFrame([(1, ["w"] * 30)], "doc_id long, ws array<string>")
+    decontaminate.hashed_windows(ws, [3, 10], ["doc_id"], flags, 20).explain("formatted")
+    assert len(capsys.readouterr().out) < 1_500_000  # 7 MB and more with an element for each flag
+
+
 def test_planted_passages_go_and_clean_texts_stay(spark):
     rng = random.Random(3)
     passages = [[line(rng, rng.randint(6, 20)) for _ in range(rng.randint(5, 9))] for _ in range(20)] + [[line(rng, 60)] for _ in range(10)]
