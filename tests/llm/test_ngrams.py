@@ -2,8 +2,10 @@
 
 import math
 import re
+import time
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -142,3 +144,26 @@ def test_many_children_of_one_word(spark):
     got = {r.doc_id: r for r in ngrams.lm_scores(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()}
     for w in brute(rows, 3, ngrams.CONCENTRATION):
         assert abs(got[w[0]].score - w[6]) <= 6e-4 * w[2] and abs(got[w[0]].base_score - w[5]) <= 1e-9 * w[2] * 10
+
+
+def test_training_leaves_no_shuffle_files(spark, monkeypatch):
+    """What blocks ask of shards is gone when the levels are written: scoring's own shuffle doesn't come on top."""
+    local = [Path(str(p)) for p in spark._jsc.sc().env().blockManager().diskBlockManager().localDirs()]
+    files = lambda: {f: f.stat().st_size for p in local for f in p.rglob("shuffle_*.data")}
+    before, conf, written, asked = files(), spark.conf.get(ngrams.store.DROP_SHUFFLES), ngrams.store.written, {}
+
+    def watched(df, name, **how):  # files may also go early by chance, so what is asked for counts too
+        asked[name] = how
+        return written(df, name, **how)
+
+    monkeypatch.setattr(ngrams.store, "written", watched)
+    model, blocks, replies = ngrams.train(spark.createDataFrame(_words(400, 3), "doc_id long, text string"), block_bytes=60_000, shard_keys=20_000)
+    for _ in range(40):
+        left = sum(n for f, n in files().items() if f not in before)
+        if left < 20_000:
+            break
+        time.sleep(0.25)
+    assert left < 20_000
+    assert asked["levels"] == {"drop_shuffles": True}
+    assert spark.conf.get(ngrams.store.DROP_SHUFFLES) == conf
+    assert ngrams._scores(blocks, replies, model, ngrams.CONCENTRATION).count() == 400
